@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stridecast.config import FULL, FeatureSpec, ForestParams
@@ -79,17 +79,20 @@ def feature_names(transformed: DataFrame, vector: str = "features") -> list[tupl
     return sorted(named)
 
 
-def importances(model: FoldModel, frame: DataFrame) -> DataFrame:
-    """One row per feature slot, most important first.
+def importance_rows(model: FoldModel, frame: DataFrame) -> list[tuple[int, int, str, float]]:
+    """Fold, slot, name and importance of every feature slot.
 
-    Reads schema metadata and the fitted model only; no job runs over ``frame``.
+    Needs the schema of ``frame`` and the fitted model, not the data.
     """
     values = model.forest.featureImportances.toArray()
-    table = [
-        (i, name, float(values[i])) for i, name in feature_names(model.prep.transform(frame))
-    ]
-    schema = "idx int, variable string, importance double"
-    return frame.sparkSession.createDataFrame(table, schema).orderBy(F.desc("importance"), "idx")
+    empty = frame.sparkSession.createDataFrame([], frame.schema)
+    named = feature_names(model.prep.transform(empty))
+    return [(model.fold, slot, name, float(values[slot])) for slot, name in named]
+
+
+def importances(model: FoldModel, frame: DataFrame) -> DataFrame:
+    """One row per feature slot of one model, most important first."""
+    return _importance_table(frame.sparkSession, importance_rows(model, frame)).drop("fold")
 
 
 def importance_report(
@@ -97,17 +100,19 @@ def importance_report(
 ) -> DataFrame:
     """Importances of every full model, with ``model`` telling the first and last fold."""
     full = sorted((m for m in models if m.variant == FULL), key=lambda m: m.fold)
-    label = {full[0].fold: "first"}
-    label.setdefault(full[-1].fold, "last")
-    report = None
-    for m in full:
-        part = importances(m, frame).select(
-            "variable",
-            "importance",
-            "idx",
-            F.lit(m.fold).alias("fold"),
-            F.lit(label.get(m.fold)).alias("model"),
-            F.lit(target).alias("target_variable"),
-        )
-        report = part if report is None else report.unionByName(part)
-    return tag_execution(report, execution).orderBy("fold", F.desc("importance"), "idx")
+    rows = [r for m in full for r in importance_rows(m, frame)]
+    fold = F.col("fold")
+    table = _importance_table(frame.sparkSession, rows).withColumns(
+        {
+            "model": F.when(fold == full[0].fold, "first").when(fold == full[-1].fold, "last"),
+            "target_variable": F.lit(target),
+        }
+    )
+    return tag_execution(table, execution)
+
+
+def _importance_table(
+    spark: SparkSession, rows: Sequence[tuple[int, int, str, float]]
+) -> DataFrame:
+    schema = "fold int, idx int, variable string, importance double"
+    return spark.createDataFrame(list(rows), schema).orderBy("fold", F.desc("importance"), "idx")

@@ -5,17 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.config import BASIC, FOLD_START_DAYS, FULL, MONTHS_AHEAD, UNSCORED, FeatureSpec
 from stridecast.functions.dates import Day, as_date
-from stridecast.operators.folds import fold_rows
+from stridecast.operators.folds import assign_fold, fold_rows
 from stridecast.operators.forest import FoldModel, importance_report, score
 from stridecast.operators.reports import month_report, prediction_metrics, tag_execution
 from stridecast.operators.split import fold_variant, route_nulls
 from stridecast.sources.artifacts import execution_path, load_models
-from stridecast.sources.results import csv_path, write_csv, write_predictions
+from stridecast.sources.results import csv_path, read_predictions, write_csv, write_predictions
 
 
 @dataclass(frozen=True)
@@ -38,6 +39,19 @@ def union_results(parts: Sequence[DataFrame]) -> DataFrame:
     return table
 
 
+def test_rows(
+    data: DataFrame,
+    spec: FeatureSpec,
+    split: Day,
+    starts: tuple[int, ...] = FOLD_START_DAYS,
+    months_ahead: int = MONTHS_AHEAD,
+) -> DataFrame:
+    """The rows of any fold, with the columns any model needs."""
+    columns = dict.fromkeys([*_columns(spec), *spec.inputs()])
+    rows = data.select(*columns)
+    return assign_fold(rows, spec.date, split, starts, months_ahead).drop("fold")
+
+
 def predictions(
     data: DataFrame,
     spec: FeatureSpec,
@@ -85,23 +99,28 @@ def predict(
 
     Uses the given models, or those saved below ``root`` by the training of
     ``dt_execution`` (``first_day`` if not given). With ``root``, predictions are
-    written below it as a partition of the execution and the importances as CSV,
-    and ``results`` reads what was written, so that the reports of ``checks``
-    do not score again. ``keys`` identify a row for the duplicate check.
+    written below it as a partition of the execution and the importances as CSV.
+    The test rows are then cached while all models score them, and ``results``
+    reads what was written, so that the reports of ``checks`` do not score again.
+    Without ``root`` all is lazy. ``keys`` identify a row for the duplicate check.
     """
+    spark = data.sparkSession
     first_day = as_date(first_day)
     if models is None:
         if root is None:
             raise ValueError("predict needs models, or the root folder they are saved in")
         trained = first_day if dt_execution is None else dt_execution
-        models = load_models(execution_path(root, spec.target, trained), spec)
-    results = predictions(data, spec, models, first_day)
-    sample = fold_rows(data, spec.date, first_day, 0)
-    report = importance_report(models, sample, spec.target, first_day)
-    if root is not None:
-        path = write_predictions(results, root, spec.target)
-        written = data.sparkSession.read.schema(results.schema).parquet(path)
-        results = written.where(F.col("dt_execution") == F.lit(first_day))
+        models = load_models(spark, execution_path(root, spec.target, trained), spec)
+    report = importance_report(models, data, spec.target, first_day)
+    if root is None:
+        results = predictions(data, spec, models, first_day)
+    else:
+        rows = test_rows(data, spec, first_day).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_predictions(predictions(rows, spec, models, first_day), root, spec.target)
+        finally:
+            rows.unpersist()
+        results = read_predictions(spark, root, spec.target, [first_day])
         write_csv(report, csv_path(root, spec.target, "feat_importance", first_day))
     metrics = months = None
     if checks:

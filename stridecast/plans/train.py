@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import partial
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.config import BASIC, FULL, FeatureSpec, ForestParams
 from stridecast.functions.dates import Day, as_date
+from stridecast.functions.parallel import run_all
 from stridecast.operators.evaluate import error_means
 from stridecast.operators.forest import FoldModel, regressor, score
 from stridecast.operators.prep import fold_preparation
@@ -144,14 +143,13 @@ def train(
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         wanted = [(fold, variant) for fold in spec.folds for variant in spec.variants]
-        as_thread = inheritable_thread_target(rows.sparkSession)
-        tasks = [as_thread(partial(fit_fold, rows, spec, params, *w)) for w in wanted]
-        with ThreadPool(min(parallelism, len(tasks))) as pool:
-            models = pool.map(lambda task: task(), tasks, chunksize=1)
+        models = run_all(
+            rows.sparkSession, lambda w: fit_fold(rows, spec, params, *w), wanted, parallelism
+        )
         path = None
         if root is not None:
             path = execution_path(root, spec.target, split)
-            save_models(models, path)
+            save_models(rows.sparkSession, models, path)
         metrics = _gathered(training_metrics(rows, spec, params, training_sample))
         errors = _gathered(training_error(models, rows, spec)) if checks else None
     finally:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from stridecast.operators import evaluate, features, folds, prep, reports, split
 from stridecast.operators.forest import importance_report
 from stridecast.plans.backtest import backtest as run_backtest
 from stridecast.plans.predict import predict, union_results
-from stridecast.plans.train import fit_fold, train, training_metrics, training_set
+from stridecast.plans.train import train, training_metrics, training_set
 from stridecast.sources.results import csv_path, read_predictions, write_csv, write_predictions
 from stridecast.sources.shared import shared_folder
 from stridecast.workloads.tables import (
@@ -452,9 +453,9 @@ def rf_predict(spark, sf_dir):
 @query
 def feature_importance(spark, sf_dir):
     data = order_features(spark, sf_dir)
-    rows = training_set(data, ORDER_SPEC, SPLIT)
-    models = [fit_fold(rows, ORDER_SPEC, PARAMS, i) for i in (0, ORDER_SPEC.folds[-1])]
-    return importance_report(models, data, ORDER_SPEC.target, SPLIT)
+    full_only = replace(ORDER_SPEC, basic_features=())
+    models = train(data, full_only, SPLIT, PARAMS).models
+    return importance_report(models, data, full_only.target, SPLIT)
 
 
 @query
