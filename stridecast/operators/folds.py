@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.config import FOLD_START_DAYS, MONTHS_AHEAD
@@ -43,6 +43,27 @@ def fold_rows(
     )
 
 
+def fold_number(
+    date: str, split: Day, starts: tuple[int, ...] = FOLD_START_DAYS
+) -> Column:
+    """Fold of a test row: folds are adjacent, so the later starts decide."""
+    number = F.lit(len(starts) - 1)
+    for i in range(len(starts) - 1, 0, -1):
+        number = F.when(before(date, fold_start(split, i, starts)), F.lit(i - 1)).otherwise(number)
+    return number
+
+
+def in_horizon(
+    date: str,
+    split: Day,
+    starts: tuple[int, ...] = FOLD_START_DAYS,
+    months_ahead: int = MONTHS_AHEAD,
+) -> Column:
+    """True from the first day of the first fold to the last day of the last one."""
+    last = fold_end(split, len(starts) - 1, starts, months_ahead)
+    return on_or_after(date, fold_start(split, 0, starts)) & through(date, last)
+
+
 def assign_fold(
     df: DataFrame,
     date: str,
@@ -50,16 +71,6 @@ def assign_fold(
     starts: tuple[int, ...] = FOLD_START_DAYS,
     months_ahead: int = MONTHS_AHEAD,
 ) -> DataFrame:
-    """Test rows of all folds in one pass, with their ``fold``; other rows are left out.
-
-    The folds are disjoint and adjacent, so a CASE over the later starts decides
-    and no join with the calendar is needed.
-    """
-    last = len(starts) - 1
-    number = F.lit(last)
-    for i in range(last, 0, -1):
-        number = F.when(before(date, fold_start(split, i, starts)), F.lit(i - 1)).otherwise(number)
-    horizon = on_or_after(date, fold_start(split, 0, starts)) & through(
-        date, fold_end(split, last, starts, months_ahead)
-    )
-    return df.where(horizon).withColumn("fold", number)
+    """Test rows of all folds in one pass, with their ``fold``; other rows are left out."""
+    rows = df.where(in_horizon(date, split, starts, months_ahead))
+    return rows.withColumn("fold", fold_number(date, split, starts))

@@ -18,12 +18,12 @@ from stridecast.config import (
 )
 from stridecast.functions.dates import Day, before
 from stridecast.functions.sampling import in_fraction, sampling_hash
-from stridecast.operators.folds import assign_fold, fold_rows
+from stridecast.operators.folds import fold_number, fold_rows, in_horizon
 
-# Hex digits of the sampling hash that form a bucket when counting to the n-th
-# key: a million buckets, so the running count is small and one bucket holds
-# about a millionth of the keys.
-_BUCKET_DIGITS = 5
+# Leading hex digits of the sampling hash that are counted, level by level, to find
+# the n-th key. A level has 16**3 groups, few enough to be combined before the
+# shuffle by any task; the keys sharing six digits are about one in 16 million.
+_DIGITS = (3, 6, 32)
 
 
 def train_rows(df: DataFrame, date: str, split: Day) -> DataFrame:
@@ -38,15 +38,17 @@ def train_test(
     starts: tuple[int, ...] = FOLD_START_DAYS,
     months_ahead: int = MONTHS_AHEAD,
 ) -> DataFrame:
-    """Training and test rows together, with ``role`` and ``fold``.
+    """Training and test rows in one pass, with ``role`` and ``fold``.
 
     Training rows serve all folds and carry a null fold.
     """
-    train = train_rows(df, date, split).select(
-        "*", F.lit("train").alias("role"), F.lit(None).cast("int").alias("fold")
+    is_train = before(date, split)
+    return df.where(is_train | in_horizon(date, split, starts, months_ahead)).withColumns(
+        {
+            "role": F.when(is_train, "train").otherwise("test"),
+            "fold": F.when(~is_train, fold_number(date, split, starts)),
+        }
     )
-    test = assign_fold(df, date, split, starts, months_ahead).withColumn("role", F.lit("test"))
-    return train.unionByName(test)
 
 
 def split_train(
@@ -108,38 +110,33 @@ def sample_count(
     """The ``n`` rows first in the order of their key's hash.
 
     ``keys`` must identify a row; copies of one key are taken or left together.
-    Rows are counted per hash bucket, then per key within the one bucket where
-    the running count reaches ``n``. That fixes the last hash to keep, and the
-    rows themselves only pass a filter: they are neither shuffled nor sorted.
+    Counting runs at once, in three jobs that read the keys alone: each counts the
+    rows per hash prefix and moves into the group where the running count reaches
+    ``n``. That fixes the last hash to keep. The rows themselves only pass a
+    filter; they are neither shuffled nor sorted.
     """
     if not keys:
         raise ValueError("sampling a number of rows needs the columns that identify a row")
     digest = sampling_hash(keys, seed)
-    bucket = F.substring(digest, 1, _BUCKET_DIGITS)
-
-    # At most 16**5 rows reach this window, whatever the size of df.
-    per_bucket = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
-    upto = per_bucket.withColumn("upto", F.sum("rows").over(W.orderBy("bucket")))
-    edge = (
-        upto.where(F.col("upto") >= n)
-        .agg(F.min(F.struct("bucket", (F.col("upto") - F.col("rows")).alias("ahead"))).alias("e"))
-        .scalar()
-    )
-
-    # Only the keys of that bucket, about one in a million, reach this window.
-    in_edge = df.select(digest.alias("digest"), bucket.alias("bucket")).where(
-        F.col("bucket") == edge["bucket"]
-    )
-    per_key = in_edge.groupBy("digest").agg(F.count(F.lit(1)).alias("rows"))
-    reached = edge["ahead"] + F.sum("rows").over(W.orderBy("digest"))
-    last = (
-        per_key.withColumn("reached", reached)
-        .where(F.col("reached") >= n)
-        .agg(F.min("digest"))
-        .scalar()
-    )
-    # No bucket reaches n when df has fewer rows: then all are kept.
-    return df.where(digest <= F.coalesce(last, F.lit("g")))
+    inside, ahead, last = F.lit(True), 0, None
+    for digits in _DIGITS:
+        prefix = F.substring(digest, 1, digits)
+        per_prefix = df.where(inside).groupBy(prefix.alias("prefix")).agg(
+            F.count(F.lit(1)).alias("rows")
+        )
+        upto = F.sum("rows").over(W.orderBy("prefix")) + ahead
+        edge = (
+            per_prefix.withColumn("upto", upto)
+            .where(F.col("upto") >= n)
+            .agg(F.min_by(F.struct("prefix", "rows", "upto"), "prefix").alias("edge"))
+            .first()
+            .edge
+        )
+        if edge is None:
+            return df
+        last, ahead = edge.prefix, edge.upto - edge.rows
+        inside = prefix == last
+    return df.where(digest <= last)
 
 
 def has_null(columns: Sequence[str]) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stridecast.config import BASIC, FOLD_START_DAYS, FULL, MONTHS_AHEAD, UNSCORED, FeatureSpec
 from stridecast.functions.dates import Day, as_date
-from stridecast.operators.folds import assign_fold, fold_rows
+from stridecast.operators.folds import fold_rows, in_horizon
 from stridecast.operators.forest import FoldModel, importance_report, score
 from stridecast.operators.reports import month_report, prediction_metrics, tag_execution
 from stridecast.operators.split import fold_variant, route_nulls
@@ -48,8 +48,7 @@ def test_rows(
 ) -> DataFrame:
     """The rows of any fold, with the columns any model needs."""
     columns = dict.fromkeys([*_columns(spec), *spec.inputs()])
-    rows = data.select(*columns)
-    return assign_fold(rows, spec.date, split, starts, months_ahead).drop("fold")
+    return data.select(*columns).where(in_horizon(spec.date, split, starts, months_ahead))
 
 
 def predictions(
