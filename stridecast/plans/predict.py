@@ -39,7 +39,7 @@ def union_results(parts: Sequence[DataFrame]) -> DataFrame:
     return table
 
 
-def test_rows(
+def horizon_rows(
     data: DataFrame,
     spec: FeatureSpec,
     split: Day,
@@ -114,7 +114,7 @@ def predict(
     if root is None:
         results = predictions(data, spec, models, first_day)
     else:
-        rows = test_rows(data, spec, first_day).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = horizon_rows(data, spec, first_day).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             write_predictions(predictions(rows, spec, models, first_day), root, spec.target)
         finally:
