@@ -93,6 +93,7 @@ def predict(
     dt_execution: Day = None,
     keys: Sequence[str] | None = None,
     checks: bool = False,
+    csv: bool = False,
 ) -> Prediction:
     """Scores the days from ``first_day`` (today if not given) to the horizon's end.
 
@@ -101,7 +102,8 @@ def predict(
     written below it as a partition of the execution and the importances as CSV.
     The test rows are then cached while all models score them, and ``results``
     reads what was written, so that the reports of ``checks`` do not score again.
-    Without ``root`` all is lazy. ``keys`` identify a row for the duplicate check.
+    ``csv`` writes the predictions as CSV as well. Without ``root`` all is lazy.
+    ``keys`` identify a row for the duplicate check.
     """
     spark = data.sparkSession
     first_day = as_date(first_day)
@@ -121,6 +123,8 @@ def predict(
             rows.unpersist()
         results = read_predictions(spark, root, spec.target, [first_day])
         write_csv(report, csv_path(root, spec.target, "feat_importance", first_day))
+        if csv:
+            write_csv(results, csv_path(root, spec.target, "results", first_day))
     metrics = months = None
     if checks:
         metrics = prediction_metrics(results, keys or spec.ids, spec.date)

@@ -23,6 +23,7 @@ from stridecast.operators.split import (
     train_rows,
 )
 from stridecast.sources.artifacts import execution_path, save_models
+from stridecast.sources.shared import staged
 
 
 @dataclass(frozen=True)
@@ -46,6 +47,21 @@ def training_set(
     return sample_training(rows, training_sample, sample_keys)
 
 
+def spread_evenly(
+    rows: DataFrame, ids: Sequence[str], partitions: int | None = None
+) -> DataFrame:
+    """Partitions of like size, in the order of the ids.
+
+    The forest draws its bags row by row, so with rows placed and ordered by id a
+    second run draws the same ones.
+    """
+    if partitions:
+        placed = rows.repartition(partitions, *ids)
+    else:
+        placed = rows.hint("rebalance", *ids)
+    return placed.sortWithinPartitions(*ids)
+
+
 def training_frame(rows: DataFrame, spec: FeatureSpec, fold: int, variant: str) -> DataFrame:
     """Training rows of one model.
 
@@ -131,27 +147,29 @@ def train(
 ) -> Training:
     """Fits every fold's models on the rows before ``split`` (today if not given).
 
-    All folds share their training rows, so these are cached once, on disk where
-    memory is short, and ``parallelism`` models are fitted at a time to keep the
-    cluster busy while one of them grows its last tree levels. ``fit_partitions``
-    spreads the rows evenly first. Models are saved below ``root`` if given.
+    All folds share their training rows, so these are prepared once: spread
+    evenly, written to the shared folder, and cached on top, on disk where memory
+    is short. ``parallelism`` models are fitted at a time to keep the cluster busy
+    while one of them grows its last tree levels. ``fit_partitions`` fixes the
+    number of partitions, which otherwise follows the size of the rows. Models are
+    saved below ``root`` if given.
     """
     split = as_date(split)
+    spark = data.sparkSession
     rows = training_set(data, spec, split, training_sample, sample_keys)
-    if fit_partitions:
-        rows = rows.repartition(fit_partitions)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        wanted = [(fold, variant) for fold in spec.folds for variant in spec.variants]
-        models = run_all(
-            rows.sparkSession, lambda w: fit_fold(rows, spec, params, *w), wanted, parallelism
-        )
-        path = None
-        if root is not None:
-            path = execution_path(root, spec.target, split)
-            save_models(rows.sparkSession, models, path)
-        metrics = _gathered(training_metrics(rows, spec, params, training_sample))
-        errors = _gathered(training_error(models, rows, spec)) if checks else None
-    finally:
-        rows.unpersist()
+    with staged(spread_evenly(rows, spec.ids, fit_partitions), "training") as table:
+        rows = table.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            wanted = [(fold, variant) for fold in spec.folds for variant in spec.variants]
+            models = run_all(
+                spark, lambda w: fit_fold(rows, spec, params, *w), wanted, parallelism
+            )
+            metrics = _gathered(training_metrics(rows, spec, params, training_sample))
+            errors = _gathered(training_error(models, rows, spec)) if checks else None
+        finally:
+            rows.unpersist()
+    path = None
+    if root is not None:
+        path = execution_path(root, spec.target, split)
+        save_models(spark, models, path)
     return Training(models, metrics, errors, path)

@@ -24,17 +24,19 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_predictions(df: DataFrame, root: str, target: str) -> str:
+def write_predictions(df: DataFrame, root: str, target: str, gather: bool = False) -> str:
     """Writes predictions by ``dt_execution`` and returns the path.
 
-    Executions already there stay, but for those written again. Several
-    executions are first gathered by day; rebalancing splits large days over
-    many tasks and files.
+    Executions already there stay, but for those written again. One execution is
+    written where its rows are. For a table of many executions ``gather`` brings
+    each day together first, so that not every task writes a file per day;
+    rebalancing splits large days over many tasks.
     """
     path = results_path(root, target)
+    if gather:
+        df = df.hint("rebalance", "dt_execution")
     (
-        df.hint("rebalance", "dt_execution")
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt_execution")
         .parquet(path)

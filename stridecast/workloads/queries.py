@@ -404,7 +404,7 @@ def _monthly_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def results_written(spark, sf_dir):
     """Predictions written by execution; some executions read back."""
     root = shared_folder(spark, "results")
-    write_predictions(_monthly_forecasts(spark, sf_dir), root, "o_totalprice")
+    write_predictions(_monthly_forecasts(spark, sf_dir), root, "o_totalprice", gather=True)
     return read_predictions(
         spark, root, "o_totalprice", ["2000-11-01", "2000-12-01", SPLIT], last_execution=SPLIT
     )
@@ -424,7 +424,7 @@ def results_csv(spark, sf_dir):
 @query
 def backtest(spark, sf_dir):
     root = shared_folder(spark, "backtest")
-    write_predictions(_monthly_forecasts(spark, sf_dir), root, "o_totalprice")
+    write_predictions(_monthly_forecasts(spark, sf_dir), root, "o_totalprice", gather=True)
     past = read_predictions(spark, root, "o_totalprice")
     actuals = _orders(spark, sf_dir)
     errors = run_backtest(past, actuals, ["o_orderkey"], "o_totalprice", "o_orderdate")

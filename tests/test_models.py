@@ -77,8 +77,8 @@ def test_saved_models_predict_the_same(spark, data, root, scored):
     assert rows(predictions(data, SPEC, loaded, SPLIT)) == rows(scored)
 
 
-def test_same_seed_same_predictions(data, training, scored):
-    one_by_one = train(data, SPEC, SPLIT, PARAMS, parallelism=1)
+def test_same_seed_same_predictions_whatever_the_layout(data, training, scored):
+    one_by_one = train(data.repartition(5, "z"), SPEC, SPLIT, PARAMS, parallelism=1)
     assert rows(predictions(data, SPEC, one_by_one.models, SPLIT)) == rows(scored)
 
 
@@ -123,7 +123,7 @@ def test_importances_of_numeric_features_only(data):
 
 
 def test_predict_writes_and_reports(spark, data, root, scored):
-    out = predict(data, SPEC, SPLIT, root=root, keys=["id", "d"], checks=True)
+    out = predict(data, SPEC, SPLIT, root=root, keys=["id", "d"], checks=True, csv=True)
     assert rows(out.results, *scored.columns) == rows(scored)
     metrics = out.metrics.first()
     assert metrics.check_duplicates == 0
@@ -137,6 +137,8 @@ def test_predict_writes_and_reports(spark, data, root, scored):
     assert rows(tags.where("model is not null")) == [(0, "first"), (5, "last")]
     saved = spark.read.option("header", True).csv(root + "/t_feat_importance_2018_06_01.csv")
     assert saved.count() == out.importances.count()
+    saved = spark.read.option("header", True).csv(root + "/t_results_2018_06_01.csv")
+    assert saved.count() == scored.count() and set(saved.columns) == set(scored.columns)
 
 
 def test_models_of_an_earlier_execution(data, root, training):

@@ -7,7 +7,7 @@ from helpers import plan, rows
 from stridecast.plans.backtest import backtest, last_days
 from stridecast.sources.artifacts import execution_path
 from stridecast.sources.results import csv_path, read_predictions, write_csv, write_predictions
-from stridecast.sources.shared import shared_folder
+from stridecast.sources.shared import shared_folder, staged
 
 FORECASTS = [
     (1, 10.0, "2018-01-01"),
@@ -40,7 +40,7 @@ def test_layout():
 
 
 def test_an_execution_written_again_leaves_the_others(spark, root, forecasts):
-    write_predictions(forecasts, root, "t")
+    write_predictions(forecasts, root, "t", gather=True)
     again = forecasts.where("dt_execution = '2018-02-01' and id = 1").selectExpr(
         "id", "99.0D as t_pred", "dt_execution"
     )
@@ -104,3 +104,11 @@ def test_shared_folder_is_new_each_time(spark):
     assert a != b
     root = spark.conf.get("spark.checkpoint.dir", None)
     assert root is None or a.startswith(root)
+
+
+def test_a_staged_table_is_there_while_needed(spark, forecasts):
+    with staged(forecasts, "stage") as table:
+        (path,) = {f.rsplit("/", 1)[0].removeprefix("file://") for f in table.inputFiles()}
+        assert os.path.isdir(path)
+        assert rows(table) == rows(forecasts)
+    assert not os.path.exists(path)
