@@ -16,6 +16,9 @@ from stridecast.operators.lookup import BROADCAST_BYTES, attach
 # A day number no date has; rows without a date form their own day.
 _NO_DAY = -(10**9)
 
+# Each category becomes a column; a plan with many more is slow to compile.
+MAX_CATEGORIES = 1000
+
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row with the number of distinct values per column, null being a value."""
@@ -114,12 +117,12 @@ def relabel_by_total(
 
 
 def categories(
-    df: DataFrame, columns: Sequence[str], max_categories: int = 1000
+    df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES
 ) -> dict[str, list[str]]:
     """Sorted distinct non-missing values per column, as text, in one pass.
 
-    Each category becomes a column, so this refuses columns with more than
-    ``max_categories`` values instead of bringing them to the driver.
+    Columns with more than ``max_categories`` values are refused, before they can
+    fill the driver.
     """
     values = []
     for i, c in enumerate(columns):
@@ -149,6 +152,7 @@ def dummies(
     df: DataFrame,
     columns: Sequence[str],
     known: Mapping[str, Sequence[str]] | None = None,
+    max_categories: int = MAX_CATEGORIES,
 ) -> tuple[DataFrame, list[str]]:
     """Replaces each column by 0/1 columns ``<column>_<value>``; also returns their names.
 
@@ -160,7 +164,7 @@ def dummies(
     known = dict(known or {})
     unknown = [c for c in present if c not in known]
     if unknown:
-        known.update(categories(df, unknown))
+        known.update(categories(df, unknown, max_categories))
     flags = {
         f"{c}_{value}": F.coalesce((F.col(c).cast("string") == value).cast("int"), F.lit(0))
         for c in present

@@ -1,0 +1,31 @@
+"""Stateless operators on a stream give what they give on the table."""
+
+from helpers import rows
+
+from stridecast.operators.evaluate import error_columns
+from stridecast.operators.features import cyclical
+from stridecast.operators.folds import assign_fold
+
+
+def test_rows_can_be_prepared_and_judged_as_they_arrive(spark, root):
+    spark.range(200).selectExpr(
+        "id", "date_add(date'2018-01-01', cast(id as int)) as d", "id % 12 as m",
+        "cast(id % 5 as double) as t", "1.0D as p",
+    ).repartition(4).write.parquet(root + "/in")
+    table = spark.read.parquet(root + "/in")
+
+    def prepared(df):
+        df = cyclical(assign_fold(df, "d", "2018-03-01"), ["m"], periods={"m": 12})
+        return error_columns(df, "t", "p")
+
+    stream = spark.readStream.schema(table.schema).parquet(root + "/in")
+    query = (
+        prepared(stream)
+        .writeStream.format("parquet")
+        .option("path", root + "/out")
+        .option("checkpointLocation", root + "/state")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination(120)
+    assert rows(spark.read.parquet(root + "/out")) == rows(prepared(table))
