@@ -38,9 +38,11 @@ def attach(
     they are; all other rows meet the lookup in a shuffle join, in which no key
     can hold more than one ``hot_keys``-th of the rows. ``weight`` names a lookup
     column with the rows per key, if it is known; it is not part of the result.
+    Columns of the same name in ``rows`` are replaced.
     """
     keys = list(keys)
     added = [c for c in lookup.columns if c not in keys and c != weight]
+    rows = rows.drop(*added)
     columns = [*rows.columns, *added]
     values = lookup.select(*keys, *added)
 

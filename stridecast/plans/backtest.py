@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.config import APE, PREDICTION
@@ -16,26 +16,45 @@ LAST_DAYS = 90
 OUTLIER = 100
 
 
+def _last_day(df: DataFrame, date: str, until: Day) -> Column:
+    if until is None:
+        return df.agg(F.max(F.to_date(date))).scalar()
+    return day_column(until)
+
+
+def _within(df: DataFrame, date: str, end: Column, days: int) -> DataFrame:
+    first = F.date_sub(end, days - 1)
+    return df.where((F.col(date) >= first) & (F.col(date) < F.date_add(end, 1)))
+
+
 def last_days(df: DataFrame, date: str, days: int = LAST_DAYS, until: Day = None) -> DataFrame:
     """Rows of the ``days`` days up to ``until``, or up to the last date of ``df``."""
-    if until is None:
-        end = df.agg(F.max(F.to_date(date))).scalar()
-    else:
-        end = day_column(until)
-    return df.where(
-        (F.col(date) >= F.date_sub(end, days - 1)) & (F.col(date) < F.date_add(end, 1))
-    )
+    return _within(df, date, _last_day(df, date, until), days)
 
 
 def matched(
-    predictions: DataFrame, actuals: DataFrame, ids: Sequence[str], target: str, date: str
+    predictions: DataFrame,
+    actuals: DataFrame,
+    ids: Sequence[str],
+    target: str,
+    date: str,
+    days: int = LAST_DAYS,
+    until: Day = None,
 ) -> DataFrame:
-    """Predictions with the actual value and date of the same row."""
-    prediction = target + PREDICTION
-    known = actuals.select(*dict.fromkeys([*ids, date, target]))
-    return predictions.select(*dict.fromkeys([*ids, "dt_execution", prediction])).join(
-        known, list(ids)
-    )
+    """Predictions for the last ``days`` days of actual values, with these values.
+
+    Rows meet on the ids, and on the day where the predictions carry it. Then both
+    sides are cut to those days before the join.
+    """
+    end = _last_day(actuals, date, until)
+    known = _within(actuals, date, end, days)
+    keys = list(dict.fromkeys(ids))
+    if date in predictions.columns:
+        predictions = _within(predictions, date, end, days).withColumn(date, F.to_date(date))
+        keys = list(dict.fromkeys([*ids, date]))
+    known = known.withColumn(date, F.to_date(date)).select(*dict.fromkeys([*keys, date, target]))
+    made = predictions.select(*dict.fromkeys([*keys, "dt_execution", target + PREDICTION]))
+    return made.join(known, keys)
 
 
 def backtest(
@@ -53,16 +72,15 @@ def backtest(
 ) -> DataFrame:
     """MAPE, MAE and MSE per execution over the last ``days`` days of actual values.
 
-    Only the actual rows of those days enter the join. With ``remove_outliers``,
-    rows whose percentage error exceeds ``outlier`` are left out of the means and
-    counted apart.
+    With ``remove_outliers``, rows whose percentage error exceeds ``outlier`` are
+    left out of the means and counted apart.
     """
     if executions is not None:
         wanted = [as_date(d) for d in executions]
         predictions = predictions.where(F.col("dt_execution").isin(wanted))
     if last_execution is not None:
         predictions = predictions.where(F.col("dt_execution") <= day_column(last_execution))
-    rows = matched(predictions, last_days(actuals, date, days, until), ids, target, date)
+    rows = matched(predictions, actuals, ids, target, date, days, until)
     prediction = target + PREDICTION
     rows = rows.withColumn(target + APE, percentage_error(target, prediction))
     is_outlier = F.coalesce(F.col(target + APE) > F.lit(float(outlier)), F.lit(False))

@@ -345,7 +345,7 @@ ORACLE_SQL = {
     """,
     "results_written": f"""
         with {_HISTORY}
-        select o_orderkey, gross as o_totalprice_pred,
+        select o_orderkey, d as o_orderdate, gross as o_totalprice_pred,
                cast(date_trunc('month', d) as date) as dt_execution
         from history
         where date_trunc('month', d) in

@@ -395,6 +395,7 @@ def _monthly_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The line totals as forecasts, made on the first day of each order's month."""
     return order_history(spark, sf_dir).select(
         "o_orderkey",
+        F.to_date("o_orderdate").alias("o_orderdate"),
         F.col("gross").alias("o_totalprice_pred"),
         F.trunc("o_orderdate", "month").alias("dt_execution"),
     )

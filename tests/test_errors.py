@@ -9,6 +9,7 @@ from stridecast.operators.evaluate import (
     level_errors,
     outlier_share,
 )
+from stridecast.plans.evaluation import evaluate
 
 LEVELS = [
     ("x", "1", 10.0, 8.0),
@@ -105,6 +106,19 @@ def test_summary_is_the_unweighted_mean_over_groups(levels):
     }
 
 
+def test_evaluation_as_a_whole(spark):
+    df = spark.createDataFrame([("2018-01-31", *r) for r in LEVELS] + [("2018-02-01", *LEVELS[0])],
+                               "d string, a string, b string, t double, p double")
+    out = evaluate(df, "t", "p", "d", "2018-02-01", ["a", "b"])
+    assert out.rows.count() == 1
+    assert {(r.a, r.b, r.abs_error) for r in out.levels.collect()} == {
+        ("x", "1", 2.0), ("x", None, 2.0), (None, "1", 2.0)
+    }
+    assert {r.value for r in out.summary.where("metric = 'mae'").collect()} == {2.0}
+    joint = evaluate(df, "t", "p", "d", "2018-01-01", ["a", "b"], full=False)
+    assert {r.scope for r in joint.summary.collect()} == {"rows", "a,b"}
+
+
 def test_empty_input_gives_null_metrics(levels):
     empty = levels.limit(0)
     summary = error_summary(empty, "t", "p", ["a", "b"]).collect()

@@ -58,6 +58,12 @@ def test_group_totals_leave_out_null_keys(spark, broadcast_bytes):
     assert rows(out) == [("a", 1, 3), ("a", 2, 3), ("b", None, None)]
 
 
+def test_totals_made_twice_are_replaced(spark):
+    df = spark.createDataFrame(GROUPS, "k string, v int")
+    once = features.group_totals(df, ["v"], "k")
+    assert rows(features.group_totals(once, ["v"], "k")) == rows(once)
+
+
 def skewed(spark, n=3000):
     """One key holds a third of all rows, and one day of it half of them."""
     return spark.range(n).selectExpr(

@@ -99,6 +99,15 @@ def test_backtest_choices(forecasts, actuals):
     assert {r.row_count for r in one_day.collect()} == {1}
 
 
+def test_backtest_meets_on_the_day_where_predictions_carry_it(spark, forecasts, actuals):
+    days = spark.createDataFrame(
+        [(1, "2018-03-01"), (2, "2018-03-30"), (3, "2018-03-31")], "id int, d string"
+    ).selectExpr("id", "to_date(d) as d")
+    dated = forecasts.join(days, "id")
+    got = backtest(dated, actuals, ["id"], "t", "d", remove_outliers=False).collect()
+    assert {r.dt_execution.month: r.row_count for r in got} == {1: 1, 2: 2}
+
+
 def test_shared_folder_is_new_each_time(spark):
     a, b = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert a != b
