@@ -28,6 +28,19 @@ def fold_calendar(
     return splits.select("*", F.inline(F.array(*folds)))
 
 
+def in_fold(
+    date: str,
+    split: Day,
+    fold: int,
+    starts: tuple[int, ...] = FOLD_START_DAYS,
+    months_ahead: int = MONTHS_AHEAD,
+) -> Column:
+    """True on the days of one fold, both ends included."""
+    return on_or_after(date, fold_start(split, fold, starts)) & through(
+        date, fold_end(split, fold, starts, months_ahead)
+    )
+
+
 def fold_rows(
     df: DataFrame,
     date: str,
@@ -36,11 +49,8 @@ def fold_rows(
     starts: tuple[int, ...] = FOLD_START_DAYS,
     months_ahead: int = MONTHS_AHEAD,
 ) -> DataFrame:
-    """Test rows of one fold, both end days included."""
-    return df.where(
-        on_or_after(date, fold_start(split, fold, starts))
-        & through(date, fold_end(split, fold, starts, months_ahead))
-    )
+    """Test rows of one fold."""
+    return df.where(in_fold(date, split, fold, starts, months_ahead))
 
 
 def fold_number(

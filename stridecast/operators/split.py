@@ -18,7 +18,7 @@ from stridecast.config import (
 )
 from stridecast.functions.dates import Day, before
 from stridecast.functions.sampling import in_fraction, sampling_hash
-from stridecast.operators.folds import fold_number, fold_rows, in_horizon
+from stridecast.operators.folds import fold_number, in_fold, in_horizon
 
 # Leading hex digits of the sampling hash that are counted, level by level, to find
 # the n-th key. A level has 16**3 groups, few enough to be combined before the
@@ -51,34 +51,48 @@ def train_test(
     )
 
 
-def split_train(
-    frames: Sequence[DataFrame], date: str, split: Day, training_sample: float = 1.0,
-    keys: Sequence[str] = (),
-) -> list[DataFrame]:
-    """The training part of each fold's frame, sampled."""
-    return [sample_training(train_rows(f, date, split), training_sample, keys) for f in frames]
+def train_filters(
+    date: str, split: Day, starts: tuple[int, ...] = FOLD_START_DAYS
+) -> list[Column]:
+    """The training cut, once per fold."""
+    return [before(date, split) for _ in starts]
 
 
-def split_test(
-    frames: Sequence[DataFrame],
+def fold_filters(
     date: str,
     split: Day,
     starts: tuple[int, ...] = FOLD_START_DAYS,
     months_ahead: int = MONTHS_AHEAD,
+) -> list[Column]:
+    """The days of each fold."""
+    return [in_fold(date, split, i, starts, months_ahead) for i in range(len(starts))]
+
+
+def split_train(
+    frames: Sequence[DataFrame],
+    filters: Sequence[Column],
+    training_sample: float = 1.0,
+    keys: Sequence[str] = (),
 ) -> list[DataFrame]:
+    """The training part of each fold's frame, sampled."""
+    parts = zip(frames, filters, strict=True)
+    return [sample_training(f.where(cut), training_sample, keys) for f, cut in parts]
+
+
+def split_test(frames: Sequence[DataFrame], filters: Sequence[Column]) -> list[DataFrame]:
     """The test part of each fold's frame."""
-    return [fold_rows(f, date, split, i, starts, months_ahead) for i, f in enumerate(frames)]
+    return [f.where(days) for f, days in zip(frames, filters, strict=True)]
 
 
 def split_frames(
     frames: Sequence[DataFrame],
-    date: str,
-    split: Day,
+    train: Sequence[Column],
+    test: Sequence[Column],
     training_sample: float = 1.0,
     keys: Sequence[str] = (),
 ) -> tuple[list[DataFrame], list[DataFrame]]:
-    """Training and test parts of per-fold frames whose columns differ by fold."""
-    return split_train(frames, date, split, training_sample, keys), split_test(frames, date, split)
+    """Training and test parts of per-fold frames, whose columns may differ by fold."""
+    return split_train(frames, train, training_sample, keys), split_test(frames, test)
 
 
 def sample_training(

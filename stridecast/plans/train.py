@@ -144,6 +144,7 @@ def train(
     checks: bool = False,
     parallelism: int = 4,
     fit_partitions: int | None = None,
+    spread: bool = True,
 ) -> Training:
     """Fits every fold's models on the rows before ``split`` (today if not given).
 
@@ -151,13 +152,16 @@ def train(
     evenly, written to the shared folder, and cached on top, on disk where memory
     is short. ``parallelism`` models are fitted at a time to keep the cluster busy
     while one of them grows its last tree levels. ``fit_partitions`` fixes the
-    number of partitions, which otherwise follows the size of the rows. Models are
-    saved below ``root`` if given.
+    number of partitions, which otherwise follows the size of the rows; with
+    ``spread`` off, rows that are even already are not shuffled. Models are saved
+    below ``root`` if given.
     """
     split = as_date(split)
     spark = data.sparkSession
     rows = training_set(data, spec, split, training_sample, sample_keys)
-    with staged(spread_evenly(rows, spec.ids, fit_partitions), "training") as table:
+    if spread:
+        rows = spread_evenly(rows, spec.ids, fit_partitions)
+    with staged(rows, "training") as table:
         rows = table.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             wanted = [(fold, variant) for fold in spec.folds for variant in spec.variants]

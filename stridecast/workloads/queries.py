@@ -161,7 +161,11 @@ def split_fold_frames(spark, sf_dir):
     orders = _orders(spark, sf_dir).select("o_orderkey", "o_orderdate", "o_totalprice")
     frames = [orders.withColumn("scale", F.lit(i)) for i in ORDER_SPEC.folds]
     train_parts, test_parts = split.split_frames(
-        frames, "o_orderdate", SPLIT, training_sample=0.5, keys=["o_orderkey"]
+        frames,
+        split.train_filters("o_orderdate", SPLIT),
+        split.fold_filters("o_orderdate", SPLIT),
+        training_sample=0.5,
+        keys=["o_orderkey"],
     )
     tagged = [
         part.select(F.lit(i).alias("fold"), F.lit(role).alias("role"), "o_totalprice", "scale")

@@ -1,3 +1,4 @@
+import calendar
 import datetime as dt
 
 import pytest
@@ -30,6 +31,18 @@ def test_calendar_ends_on_a_month_end_over_year_and_leap_day(spark):
     assert got == ENDS
 
 
+def test_calendar_of_every_day_of_a_leap_cycle(spark):
+    splits = spark.sql(
+        "select explode(sequence(date'2019-01-01', date'2022-12-31', interval 1 day)) as s"
+    )
+    got = fold_calendar(splits, "s").where("fold = 5").collect()
+    assert len(got) == 1461
+    for r in got:
+        year, month = divmod(r.s.year * 12 + r.s.month - 1 + 5, 12)
+        last = calendar.monthrange(year, month + 1)[1]
+        assert r.end_date == dt.date(year, month + 1, last)
+
+
 def test_calendar_is_adjacent_and_disjoint(spark):
     splits = spark.createDataFrame([("2018-01-31",)], "s string")
     folds = sorted(fold_calendar(splits, "s").collect(), key=lambda r: r.fold)
@@ -42,12 +55,12 @@ def test_calendar_is_adjacent_and_disjoint(spark):
 @pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "string"])
 def test_fold_of_each_row_agrees_with_the_calendar(spark, days, kind):
     typed = days.selectExpr(f"cast(d as {kind}) as x", "d")
-    calendar = fold_calendar(spark.createDataFrame([("2018-07-15",)], "s string"), "s").collect()
+    folds = fold_calendar(spark.createDataFrame([("2018-07-15",)], "s string"), "s").collect()
     expected = [
-        (r.d, c.fold) for r in days.collect() for c in calendar if c.start_date <= r.d <= c.end_date
+        (r.d, c.fold) for r in days.collect() for c in folds if c.start_date <= r.d <= c.end_date
     ]
     assert rows(assign_fold(typed, "x", "2018-07-15"), "d", "fold") == sorted(expected, key=repr)
-    for c in calendar:
+    for c in folds:
         alone = [(d, f) for d, f in expected if f == c.fold]
         assert fold_rows(typed, "x", "2018-07-15", c.fold).count() == len(alone)
 

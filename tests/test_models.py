@@ -166,6 +166,8 @@ def test_sampled_training(data):
     one = replace(SPEC, features=(("x",),), basic_features=())
     out = train(data, one, SPLIT, PARAMS, 100, ["id"], checks=True, fit_partitions=3)
     assert out.errors.first().row_count == 100 and out.path is None
+    as_is = train(data, one, SPLIT, PARAMS, 100, ["id"], checks=True, spread=False)
+    assert as_is.errors.first().row_count == 100
 
 
 @pytest.mark.parametrize(

@@ -45,7 +45,9 @@ def test_train_and_test_rows_in_one_pass(numbered):
 
 def test_split_of_frames_that_differ_by_fold(numbered):
     frames = [numbered, numbered.drop("t"), numbered]
-    train, test = split.split_frames(frames, "d", "2018-06-01")
+    cuts = split.train_filters("d", "2018-06-01")[:3]
+    days = split.fold_filters("d", "2018-06-01")[:3]
+    train, test = split.split_frames(frames, cuts, days)
     assert [f.columns for f in train] == [f.columns for f in frames]
     assert {f.count() for f in train} == {split.train_rows(numbered, "d", "2018-06-01").count()}
     counted = split.train_test(numbered, "d", "2018-06-01").groupBy("fold").count().collect()
@@ -53,6 +55,17 @@ def test_split_of_frames_that_differ_by_fold(numbered):
     assert [f.count() for f in test] == [by_fold[i] for i in range(3)]
 
 
+def test_own_filters_per_fold(numbered):
+    cuts = [numbered.id < 10, numbered.id < 100]
+    days = [numbered.id == 10, numbered.id >= 4000]
+    train, test = split.split_frames([numbered, numbered], cuts, days, 0.5, ["id"])
+    assert [f.count() for f in test] == [1, 1000]
+    chosen = [sum(digest(i)[:8] < "80000000" for i in range(n)) for n in (10, 100)]
+    assert [f.count() for f in train] == chosen
+    with pytest.raises(ValueError):
+        split.split_test([numbered], days)
+
+
 def test_bernoulli_sample_uses_the_fixed_seed(numbered):
     got = split.sample_training(numbered, 0.3)
     assert rows(got) == rows(numbered.sample(False, 0.3, 23))
