@@ -375,4 +375,31 @@ ORACLE_SQL = {
                count(*) filter (where is_outlier) as outlier_count
         from flagged group by 1
     """,
+    "rf_predict_counts": f"""
+        with {_FOLDS}, {_HISTORY}
+        select f.fold, case when line_count is null then 'basic' else 'full' end as variant,
+               date '2001-01-01' as dt_execution, count(*) as row_count,
+               cast(sum(f.o_orderkey) as bigint) as key_sum,
+               min(f.d) as date_min, max(f.d) as date_max
+        from folded f join history h on f.o_orderkey = h.o_orderkey
+        group by 1, 2
+    """,
+    "training_error_counts": f"""
+        with {_HISTORY}
+        select fold, case when line_count is null then 'basic' else 'full' end as variant,
+               count(*) as row_count, true as has_error
+        from history cross join (values (0), (5)) t(fold)
+        where o_orderdate < timestamp '2001-01-01'
+        group by 1, 2
+    """,
+    "feature_importance_totals": """
+        with labels as (
+            select count(distinct o_orderpriority) + 1 + count(distinct o_orderstatus) + 1 as n
+            from orders where o_orderdate < timestamp '2001-01-01'
+        )
+        select fold, model, 'o_totalprice' as target_variable, date '2001-01-01' as dt_execution,
+               n + own + 4 as variable_count, cast(1 as double) as importance
+        from labels cross join (values (0, 3, 'first'), (1, 3, null), (2, 2, null), (3, 2, null),
+                                       (4, 1, null), (5, 1, 'last')) t(fold, own, model)
+    """,
 }

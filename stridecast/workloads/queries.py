@@ -467,3 +467,46 @@ def feature_importance(spark, sf_dir):
 def training_error(spark, sf_dir):
     data = order_features(spark, sf_dir)
     return train(data, ORDER_SPEC, SPLIT, PARAMS, checks=True).errors
+
+
+# What holds for any forest, so that SQL can check it.
+
+SMALL = ForestParams(num_trees=3, max_depth=2, max_features="all")
+
+
+@query
+def rf_predict_counts(spark, sf_dir):
+    """Every test row has one prediction, from the model it belongs to."""
+    data = order_features(spark, sf_dir)
+    models = train(data, ORDER_SPEC, SPLIT, SMALL).models
+    root = shared_folder(spark, "scores")
+    results = predict(data, ORDER_SPEC, SPLIT, models=models, root=root).results
+    return results.groupBy("fold", "variant", "dt_execution").agg(
+        F.count(ORDER_SPEC.prediction).alias("row_count"),
+        F.sum("o_orderkey").alias("key_sum"),
+        F.min("o_orderdate").alias("date_min"),
+        F.max("o_orderdate").alias("date_max"),
+    )
+
+
+@query
+def training_error_counts(spark, sf_dir):
+    """The training error of the first and last fold covers the rows of each model."""
+    data = order_features(spark, sf_dir)
+    errors = train(data, ORDER_SPEC, SPLIT, SMALL, checks=True).errors
+    return errors.select(
+        "fold", "variant", "row_count", ((F.col("mae") > 0) & (F.col("mape") > 0)).alias("has_error")
+    )
+
+
+@query
+def feature_importance_totals(spark, sf_dir):
+    """Each fold's importances name every feature and label, and add up to one."""
+    data = order_features(spark, sf_dir)
+    full_only = replace(ORDER_SPEC, basic_features=())
+    models = train(data, full_only, SPLIT, SMALL).models
+    report = importance_report(models, data, full_only.target, SPLIT)
+    return report.groupBy("fold", "model", "target_variable", "dt_execution").agg(
+        F.count_distinct("variable").alias("variable_count"),
+        F.round(F.sum("importance"), 6).alias("importance"),
+    )

@@ -10,7 +10,7 @@ from stridecast.workloads.queries import QUERIES
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 
-MODELS = {"rf_predict", "feature_importance", "training_error"}
+MODELS = {name for name in QUERIES if name.startswith(("rf_", "feature_imp", "training_error"))}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - MODELS))
