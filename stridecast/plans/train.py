@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -83,6 +83,33 @@ def fit_fold(
     return FoldModel(fold, variant, prep, forest)
 
 
+def fit_all(
+    rows: DataFrame, spec: FeatureSpec, params: ForestParams, parallelism: int
+) -> list[FoldModel]:
+    """Every fold's models. Folds with the same features share one fit.
+
+    They learn from the same rows with the same seed, so their models are equal.
+    """
+    wanted = [(fold, variant) for fold in spec.folds for variant in spec.variants]
+    first_with: dict[tuple, tuple[int, str]] = {}
+    for fold, variant in wanted:
+        first_with.setdefault(_inputs_of(spec, fold, variant), (fold, variant))
+    distinct = list(first_with)
+    fitted = run_all(
+        rows.sparkSession,
+        lambda inputs: fit_fold(rows, spec, params, *first_with[inputs]),
+        distinct,
+        parallelism,
+    )
+    model_of = dict(zip(distinct, fitted, strict=True))
+    return [replace(model_of[_inputs_of(spec, f, v)], fold=f) for f, v in wanted]
+
+
+def _inputs_of(spec: FeatureSpec, fold: int, variant: str) -> tuple:
+    """What tells the training set of one model from another's: rows, then columns."""
+    return variant, tuple(spec.numeric(fold, FULL)), tuple(spec.numeric(fold, variant))
+
+
 def training_error(
     models: Sequence[FoldModel],
     rows: DataFrame,
@@ -164,10 +191,7 @@ def train(
     with staged(rows, "training") as table:
         rows = table.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            wanted = [(fold, variant) for fold in spec.folds for variant in spec.variants]
-            models = run_all(
-                spark, lambda w: fit_fold(rows, spec, params, *w), wanted, parallelism
-            )
+            models = fit_all(rows, spec, params, parallelism)
             metrics = _gathered(training_metrics(rows, spec, params, training_sample))
             errors = _gathered(training_error(models, rows, spec)) if checks else None
         finally:

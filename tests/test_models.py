@@ -6,7 +6,7 @@ from helpers import rows
 from stridecast.config import BASIC, FULL, FeatureSpec, ForestParams
 from stridecast.operators.forest import feature_names, importances, subset_strategy
 from stridecast.plans.predict import predict, predictions, horizon_rows
-from stridecast.plans.train import train
+from stridecast.plans.train import fit_fold, train, training_set
 from stridecast.sources.artifacts import execution_path, load_models
 
 SPLIT = "2018-06-01"
@@ -56,6 +56,13 @@ def test_one_model_per_fold_and_variant(training):
     ]
 
 
+def test_folds_with_the_same_features_share_a_fit(data, training):
+    full = [m.forest for m in training.models if m.variant == FULL]
+    assert all(forest is full[0] for forest in full[:5]) and full[5] is not full[0]
+    alone = fit_fold(training_set(data, SPEC, SPLIT).cache(), SPEC, PARAMS, 5, BASIC)
+    assert alone.fold == 5 and alone.prep is not training.models[-1].prep
+
+
 def test_one_prediction_per_test_row(data, scored):
     assert rows(scored, "id") == rows(horizon_rows(data, SPEC, SPLIT), "id")
     assert scored.where("t_pred is null").count() == 0
