@@ -64,10 +64,14 @@ def predictions(
     Each model reads the date range of its fold alone. Rows that lack a feature
     in a fold without a basic model keep their place with a null prediction.
     """
+    if len(starts) != len(spec.features):
+        raise ValueError("the calendar and the spec differ in their number of folds")
     parts = []
     for fold in spec.folds:
         rows = fold_rows(data, spec.date, split, fold, starts, months_ahead)
         variants = {m.variant: m for m in models if m.fold == fold}
+        if FULL not in variants:
+            raise ValueError(f"fold {fold} has no model")
         for variant, model in variants.items():
             frame = fold_variant(rows, spec, fold, variant, with_target=False)
             parts.append(score(model, frame, _columns(spec)))
@@ -94,6 +98,8 @@ def predict(
     keys: Sequence[str] | None = None,
     checks: bool = False,
     csv: bool = False,
+    starts: tuple[int, ...] = FOLD_START_DAYS,
+    months_ahead: int = MONTHS_AHEAD,
 ) -> Prediction:
     """Scores the days from ``first_day`` (today if not given) to the horizon's end.
 
@@ -114,14 +120,16 @@ def predict(
         models = load_models(spark, execution_path(root, spec.target, trained), spec)
     report = importance_report(models, data, spec.target, first_day)
     if root is None:
-        results = predictions(data, spec, models, first_day)
+        results = predictions(data, spec, models, first_day, starts, months_ahead)
     else:
-        rows = horizon_rows(data, spec, first_day).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = horizon_rows(data, spec, first_day, starts, months_ahead)
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_predictions(predictions(rows, spec, models, first_day), root, spec.target)
+            scored = predictions(rows, spec, models, first_day, starts, months_ahead)
+            write_predictions(scored, root, spec.target)
         finally:
             rows.unpersist()
-        results = read_predictions(spark, root, spec.target, [first_day])
+        results = read_predictions(spark, root, spec.target, [first_day], schema=scored.schema)
         write_csv(report, csv_path(root, spec.target, "feat_importance", first_day))
         if csv:
             write_csv(results, csv_path(root, spec.target, "results", first_day))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stridecast.functions.dates import Day, as_date, day_column
 
@@ -50,12 +51,15 @@ def read_predictions(
     target: str,
     executions: Sequence[Day] | None = None,
     last_execution: Day = None,
+    schema: StructType | None = None,
 ) -> DataFrame:
     """Predictions of the given executions, or of all up to the last one wanted.
 
-    Both are partition filters: other executions are not read.
+    Both are partition filters: other executions are not read. ``schema`` spares a
+    look into the files, of which there may be none yet.
     """
-    df = spark.read.parquet(results_path(root, target))
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(results_path(root, target))
     if executions is not None:
         df = df.where(F.col("dt_execution").isin([as_date(d) for d in executions]))
     if last_execution is not None:

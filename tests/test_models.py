@@ -155,6 +155,15 @@ def test_models_of_an_earlier_execution(data, root, training):
     }
 
 
+def test_nothing_to_predict(data, training, tmp_path):
+    out = predict(
+        data, SPEC, "2030-01-01", models=training.models, root=str(tmp_path), checks=True
+    )
+    assert out.results.count() == 0
+    assert out.metrics.first().results_full_count == 0
+    assert out.months.count() == 0
+
+
 def test_rows_no_model_can_score_stay(data, training):
     full_only = replace(SPEC, basic_features=())
     models = [m for m in training.models if m.variant == FULL]
@@ -164,9 +173,20 @@ def test_rows_no_model_can_score_stay(data, training):
     assert out.where("variant = 'unscored'").count() > 0
 
 
-def test_predict_needs_models(data):
+def test_predict_needs_models(data, training):
     with pytest.raises(ValueError):
         predict(data, SPEC, SPLIT)
+    with pytest.raises(ValueError, match="fold 3"):
+        predictions(data, SPEC, [m for m in training.models if m.fold != 3], SPLIT)
+    with pytest.raises(ValueError, match="number of folds"):
+        predictions(data, SPEC, training.models, SPLIT, starts=(0, 8))
+
+
+def test_own_calendar(data, training):
+    two = replace(SPEC, features=SPEC.features[:2], basic_features=SPEC.basic_features[:2])
+    out = predict(data, two, SPLIT, models=training.models, starts=(0, 10), months_ahead=0).results
+    spans = out.groupBy("fold").agg({"d": "max"}).collect()
+    assert {r.fold: r[1].isoformat() for r in spans} == {0: "2018-06-10", 1: "2018-06-30"}
 
 
 def test_sampled_training(data):
