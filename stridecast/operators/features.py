@@ -11,7 +11,13 @@ from pyspark.sql import types as T
 
 from stridecast.config import COS, MINORITY_LABEL, SIN
 from stridecast.functions.encode import angle, keep_or_minority
-from stridecast.operators.lookup import BROADCAST_BYTES, attach
+from stridecast.operators.lookup import (
+    BROADCAST_BYTES,
+    HOT_SHARE,
+    attach,
+    hot_keys,
+    measured_bytes,
+)
 
 # A day number no date has; rows without a date form their own day.
 _NO_DAY = -(10**9)
@@ -24,8 +30,7 @@ def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row with the number of distinct values per column, null being a value."""
     return df.agg(
         *(
-            (F.count_distinct(F.col(c)) + F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0)))
-            .alias(c)
+            (F.count_distinct(c) + F.coalesce(F.max(F.isnull(c).cast("int")), F.lit(0))).alias(c)
             for c in columns
         )
     )
@@ -61,17 +66,30 @@ def group_totals(
     columns: Sequence[str],
     key: str,
     broadcast_bytes: int = BROADCAST_BYTES,
+    hot_share: int = HOT_SHARE,
 ) -> DataFrame:
     """Adds each row's group total as ``sum_<column>_by_<key>``.
 
     Rows with a null key belong to no group and are left out. The totals are
-    aggregated before the shuffle, so the size of a group does not matter.
+    measured and, up to ``broadcast_bytes``, broadcast to rows that stay in place.
+    Beyond that only the totals of hot keys are; the other groups are small, and a
+    window over their rows gives the totals in one shuffle.
     """
-    keyed = df.where(F.col(key).isNotNull())
-    totals = keyed.groupBy(key).agg(
-        *(F.sum(c).alias(f"sum_{c}_by_{key}") for c in columns), F.count(F.lit(1)).alias("_weight")
+    names = {c: f"sum_{c}_by_{key}" for c in columns}
+    keyed = df.drop(*names.values()).where(F.col(key).isNotNull())
+    ordered = [*keyed.columns, *names.values()]
+    totals = keyed.groupBy(key).agg(*(F.sum(c).alias(n) for c, n in names.items()))
+    if measured_bytes(totals) <= broadcast_bytes:
+        return keyed.join(F.broadcast(totals), key).select(*ordered)
+
+    per_key = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = hot_keys(per_key, [key], "_rows", hot_share)
+    group = W.partitionBy(key)
+    small_groups = keyed.join(hot, key, "left_anti").withColumns(
+        {n: F.sum(c).over(group) for c, n in names.items()}
     )
-    return attach(keyed, totals, [key], "_weight", broadcast_bytes)
+    large_groups = keyed.join(F.broadcast(totals.join(hot, key, "left_semi")), key)
+    return small_groups.select(*ordered).unionByName(large_groups.select(*ordered))
 
 
 def trailing_totals(
@@ -81,24 +99,36 @@ def trailing_totals(
     date: str,
     days: int,
     broadcast_bytes: int = BROADCAST_BYTES,
+    hot_share: int = HOT_SHARE,
 ) -> DataFrame:
     """Adds group totals over the trailing ``days`` days, the row's own day included.
 
-    The window runs over one row per key and day, not over the rows, so a group
-    costs as many rows as it has days. Named ``sum_<column>_by_<key>_<days>d``.
+    Most groups are small, and a window over their rows gives the totals in one
+    shuffle. Groups with more than one in ``hot_share`` rows are first added up by
+    day, so that the window runs over their days, and the daily values are joined
+    back to rows that stay in place. Named ``sum_<column>_by_<key>_<days>d``.
     """
     names = {c: f"sum_{c}_by_{key}_{days}d" for c in columns}
-    keyed = df.where(F.col(key).isNotNull()).withColumn(
-        "_day", F.coalesce(F.unix_date(F.to_date(date)), F.lit(_NO_DAY))
+    day = F.coalesce(F.unix_date(F.to_date(date)), F.lit(_NO_DAY))
+    keyed = df.drop(*names.values()).where(F.col(key).isNotNull()).withColumn("_day", day)
+    trailing = W.partitionBy(key).orderBy("_day").rangeBetween(-(days - 1), 0)
+
+    per_key = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = hot_keys(per_key, [key], "_rows", hot_share)
+    small_groups = keyed.join(hot, key, "left_anti").withColumns(
+        {n: F.sum(c).over(trailing) for c, n in names.items()}
     )
-    daily = keyed.groupBy(key, "_day").agg(
+
+    large = keyed.join(hot, key, "left_semi")
+    daily = large.groupBy(key, "_day").agg(
         *(F.sum(c).alias(n) for c, n in names.items()), F.count(F.lit(1)).alias("_weight")
     )
-    trailing = W.partitionBy(key).orderBy("_day").rangeBetween(-(days - 1), 0)
     rolled = daily.select(
         key, "_day", "_weight", *(F.sum(n).over(trailing).alias(n) for n in names.values())
     )
-    return attach(keyed, rolled, [key, "_day"], "_weight", broadcast_bytes).drop("_day")
+    large_groups = attach(large, rolled, [key, "_day"], "_weight", broadcast_bytes, hot_share)
+    ordered = [c for c in keyed.columns if c != "_day"] + list(names.values())
+    return small_groups.select(*ordered).unionByName(large_groups.select(*ordered))
 
 
 def relabel_minority(

@@ -9,36 +9,49 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 10_000
+
+# A key is hot when it holds more than one in this many rows. So there are fewer hot
+# keys than this, however large the data.
+HOT_SHARE = 10_000
 
 
 def measured_bytes(df: DataFrame) -> int:
     """Size of the values of ``df``, measured by one aggregate over it."""
     size = F.lit(0).cast("long")
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            size = size + F.coalesce(F.octet_length(f.name), F.lit(0)).cast("long")
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0))
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(f.name), F.lit(0))
         size = size + F.lit(16)
     return df.agg(F.sum(size)).first()[0] or 0
 
 
+def hot_keys(per_key: DataFrame, keys: Sequence[str], rows: str, share: int) -> DataFrame:
+    """Keys holding more than one in ``share`` rows, given the rows per key.
+
+    Fewer than ``share`` keys can, which bounds what is broadcast.
+    """
+    total = per_key.agg(F.sum(rows)).scalar()
+    return F.broadcast(per_key.where(F.col(rows) * F.lit(share) > total).select(*keys))
+
+
 def attach(
     rows: DataFrame,
     lookup: DataFrame,
     keys: Sequence[str],
     weight: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_keys: int = HOT_KEYS,
+    hot_share: int = HOT_SHARE,
 ) -> DataFrame:
     """Inner join of ``rows`` with ``lookup``, which has one row per key.
 
     The lookup is measured first. Up to ``broadcast_bytes`` it is broadcast and
-    the rows do not move. Beyond that, the ``hot_keys`` keys with the most rows
-    are broadcast alone (a fixed number, so bounded) and their rows stay where
-    they are; all other rows meet the lookup in a shuffle join, in which no key
-    can hold more than one ``hot_keys``-th of the rows. ``weight`` names a lookup
-    column with the rows per key, if it is known; it is not part of the result.
-    Columns of the same name in ``rows`` are replaced.
+    the rows do not move. Beyond that, its hot keys are broadcast alone and their
+    rows stay where they are; all other rows meet the lookup in a shuffle join, in
+    which no key holds more than one in ``hot_share`` rows. ``weight`` names a
+    lookup column with the rows per key, if it is known; it is not part of the
+    result. Columns of the same name in ``rows`` are replaced.
     """
     keys = list(keys)
     added = [c for c in lookup.columns if c not in keys and c != weight]
@@ -50,11 +63,11 @@ def attach(
         return rows.join(F.broadcast(values), keys).select(*columns)
 
     if weight:
-        per_key = lookup.select(*keys, F.col(weight).alias("_rows"))
+        per_key = lookup.select(*keys, weight)
     else:
-        per_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = per_key.orderBy(F.desc("_rows"), *keys).limit(hot_keys).select(*keys)
-    hot_values = values.join(F.broadcast(hot), keys)
-    stay = rows.join(F.broadcast(hot_values), keys).select(*columns)
-    move = rows.join(F.broadcast(hot), keys, "left_anti").join(values, keys).select(*columns)
+        weight = "_rows"
+        per_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(weight))
+    hot = hot_keys(per_key, keys, weight, hot_share)
+    stay = rows.join(F.broadcast(values.join(hot, keys)), keys).select(*columns)
+    move = rows.join(hot, keys, "left_anti").join(values, keys).select(*columns)
     return stay.unionByName(move)

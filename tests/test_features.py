@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stridecast.functions.encode import keep_or_minority
 from stridecast.operators import features
-from stridecast.operators.lookup import attach, measured_bytes
+from stridecast.operators.lookup import attach, hot_keys, measured_bytes
 
 
 def test_cyclical_casts_text_and_counts_null(spark):
@@ -76,43 +76,66 @@ def skewed(spark, n=3000):
     )
 
 
-@pytest.mark.parametrize("hot_keys", [1, 5, 1000])
-def test_every_way_of_attaching_gives_the_same_rows(spark, hot_keys):
+@pytest.mark.parametrize("hot_share", [1, 5, 1000])
+def test_every_way_of_attaching_gives_the_same_rows(spark, hot_share):
     df = skewed(spark)
     totals = df.groupBy("k").agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("n"))
     expected = rows(df.join(totals.drop("n"), "k").select(*df.columns, "s"))
     assert rows(attach(df, totals, ["k"], "n")) == expected
-    assert rows(attach(df, totals, ["k"], "n", 0, hot_keys)) == expected
-    assert rows(attach(df, totals.drop("n"), ["k"], None, 0, hot_keys)) == expected
+    assert rows(attach(df, totals, ["k"], "n", 0, hot_share)) == expected
+    assert rows(attach(df, totals.drop("n"), ["k"], None, 0, hot_share)) == expected
 
 
-def test_rows_of_hot_keys_do_not_enter_the_shuffle_join(spark, root):
+@pytest.mark.parametrize("hot_share", [1, 4, 10**4])
+def test_group_totals_beyond_the_broadcast_equal_the_window(spark, hot_share):
+    df = skewed(spark)
+    out = features.group_totals(df, ["v", "u"], "k", broadcast_bytes=0, hot_share=hot_share)
+    group = W.partitionBy("k")
+    assert out.columns == [*df.columns, "sum_v_by_k", "sum_u_by_k"]
+    assert rows(out, "id", "sum_v_by_k", "sum_u_by_k") == rows(
+        df.select("id", F.sum("v").over(group).alias("a"), F.sum("u").over(group).alias("b"))
+    )
+
+
+def test_rows_of_hot_keys_are_not_shuffled(spark, root):
     skewed(spark).write.parquet(root + "/rows")
     df = spark.read.parquet(root + "/rows")
-    out = features.group_totals(df, ["v"], "k", broadcast_bytes=0)
-    text = plan(out)
-    assert "LeftAnti" in text and "BroadcastHashJoin" in text and "Union" in text
-    assert "CartesianProduct" not in text and "NestedLoop" not in text
-    assert rows(out, "id", "sum_v_by_k") == rows(
-        df.withColumn("s", F.sum("v").over(W.partitionBy("k"))), "id", "s"
-    )
+    totals = df.groupBy("k").agg(F.sum("v").alias("s"))
+    for out in (
+        features.group_totals(df, ["v"], "k", broadcast_bytes=0),
+        attach(df, totals, ["k"], None, 0),
+    ):
+        text = plan(out)
+        assert "LeftAnti" in text and "BroadcastHashJoin" in text and "Union" in text
+        assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_hot_keys_are_fewer_than_the_share(spark):
+    df = skewed(spark)
+    per_key = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    assert rows(hot_keys(per_key, ["k"], "n", 1)) == []
+    assert rows(hot_keys(per_key, ["k"], "n", 3)) == [(0,)]
+    assert 1 < hot_keys(per_key, ["k"], "n", 150).count() < 150
+    assert hot_keys(per_key.limit(0), ["k"], "n", 3).count() == 0
 
 
 def test_size_of_a_lookup_is_measured(spark):
     df = spark.createDataFrame([("abc", 1), (None, 2)], "k string, v int")
     assert measured_bytes(df) == 3 + 4 * 16
     assert measured_bytes(df.limit(0)) == 0
+    assert measured_bytes(spark.sql("select array('abcdef', 'ghi') as a")) >= 9 + 16
 
 
 @pytest.mark.parametrize("days", [1, 7, 30])
 @pytest.mark.parametrize("broadcast_bytes", [10**8, 0])
-def test_trailing_totals_equal_the_window_over_rows(spark, days, broadcast_bytes):
+@pytest.mark.parametrize("hot_share", [1, 4, 10**4])
+def test_trailing_totals_equal_the_window_over_rows(spark, days, broadcast_bytes, hot_share):
     df = skewed(spark)
     over = (
         W.partitionBy("k").orderBy(F.unix_date("d")).rangeBetween(-(days - 1), W.currentRow)
     )
     expected = df.select("id", F.sum("v").over(over).alias("s"), F.sum("u").over(over).alias("t"))
-    out = features.trailing_totals(df, ["v", "u"], "k", "d", days, broadcast_bytes)
+    out = features.trailing_totals(df, ["v", "u"], "k", "d", days, broadcast_bytes, hot_share)
     names = [f"sum_v_by_k_{days}d", f"sum_u_by_k_{days}d"]
     assert out.columns == [*df.columns, *names]
     assert rows(out, "id", *names) == rows(expected)
