@@ -14,7 +14,7 @@ from stridecast.functions.dates import Day, as_date
 from stridecast.operators.folds import fold_rows, in_horizon
 from stridecast.operators.forest import FoldModel, importance_report, score
 from stridecast.operators.reports import month_report, prediction_metrics, tag_execution
-from stridecast.operators.split import fold_variant, route_nulls
+from stridecast.operators.split import project_fold, route_nulls
 from stridecast.sources.artifacts import execution_path, load_models
 from stridecast.sources.results import csv_path, read_predictions, write_csv, write_predictions
 
@@ -61,8 +61,9 @@ def predictions(
 ) -> DataFrame:
     """Ids, date and prediction of every test row, with its fold and variant. Lazy.
 
-    Each model reads the date range of its fold alone. Rows that lack a feature
-    in a fold without a basic model keep their place with a null prediction.
+    Each model reads the date range of its fold alone. Rows that lack a feature go
+    to the basic model. Rows it cannot score either, or all of them where there is
+    none, keep their place with a null prediction.
     """
     if len(starts) != len(spec.features):
         raise ValueError("the calendar and the spec differ in their number of folds")
@@ -72,19 +73,19 @@ def predictions(
         variants = {m.variant: m for m in models if m.fold == fold}
         if FULL not in variants:
             raise ValueError(f"fold {fold} has no model")
-        for variant, model in variants.items():
-            frame = fold_variant(rows, spec, fold, variant, with_target=False)
-            parts.append(score(model, frame, _columns(spec)))
-        if BASIC not in variants:
-            _, lacking = route_nulls(rows, spec.numeric(fold, FULL))
-            parts.append(
-                lacking.select(
-                    *_columns(spec),
-                    F.lit(None).cast("double").alias(spec.prediction),
-                    F.lit(fold).alias("fold"),
-                    F.lit(UNSCORED).alias("variant"),
-                )
+        rest = rows
+        for variant in (v for v in (FULL, BASIC) if v in variants):
+            frame, rest = route_nulls(rest, spec.numeric(fold, variant))
+            frame = project_fold(frame, spec, fold, variant, with_target=False)
+            parts.append(score(variants[variant], frame, _columns(spec)))
+        parts.append(
+            rest.select(
+                *_columns(spec),
+                F.lit(None).cast("double").alias(spec.prediction),
+                F.lit(fold).alias("fold"),
+                F.lit(UNSCORED).alias("variant"),
             )
+        )
     return tag_execution(union_results(parts), split, spec.date)
 
 

@@ -173,6 +173,15 @@ def test_rows_no_model_can_score_stay(data, training):
     assert out.where("variant = 'unscored'").count() > 0
 
 
+def test_rows_the_basic_model_cannot_score_stay_too(data, training):
+    poor = data.selectExpr("id", "d", "x", "y", "if(id % 22 = 0, null, z) as z", "k")
+    out = predictions(poor, SPEC, training.models, SPLIT)
+    assert rows(out, "id") == rows(horizon_rows(data, SPEC, SPLIT), "id")
+    lost = out.where("variant = 'unscored'")
+    assert lost.where("t_pred is not null or id % 22 <> 0 or fold = 5").count() == 0
+    assert lost.count() == out.where("id % 22 = 0 and fold < 5").count() > 0
+
+
 def test_predict_needs_models(data, training):
     with pytest.raises(ValueError):
         predict(data, SPEC, SPLIT)
