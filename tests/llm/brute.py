@@ -1,0 +1,122 @@
+"""The same results by plain loops, for small tables."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import xxhash
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def exact(rows):
+    """rows: (doc_id, text) -> doc_id: (keep_id, group_size, kept, sha)."""
+    groups = defaultdict(list)
+    for doc_id, text in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]", "", text or "")].append((-len(text or ""), doc_id))
+    out = {}
+    for key, members in groups.items():
+        keep = min(members)[1]
+        for _, doc_id in members:
+            out[doc_id] = (keep, len(members), doc_id == keep, sha(key))
+    return out
+
+
+def simhash(text):
+    w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(w[i : i + 4]) for i in range(max(1, len(w) - 3))] if w else []
+    counts = [0] * 64
+    for s in shingles:
+        h = xxhash.xxh64_intdigest(s.encode(), 42)
+        for b in range(64):
+            counts[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if 2 * counts[b] > len(shingles))
+
+
+def near(rows, radius=4):
+    """rows: (doc_id, text) -> doc_id: (fingerprint, component_id)."""
+    prints = {d: simhash(t) for d, t in rows}
+    ids = sorted(prints)
+    fps = np.array([prints[d] for d in ids], np.uint64)
+    root = list(range(len(ids)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i in range(len(ids)):
+        for j in np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= radius).tolist():
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)
+    return {d: (f"{prints[d]:016x}", ids[find(i)]) for i, d in enumerate(ids)}
+
+
+def repeats(rows, window=50):
+    """rows: (doc_id, text) -> doc_id: (n_words, n_removed, sha of what is left)."""
+    first = {}
+    docs = {d: words(t) for d, t in rows}
+    for d in sorted(docs):
+        w = docs[d]
+        for i in range(len(w) - window + 1):
+            first.setdefault(tuple(w[i : i + window]), d)
+    out = {}
+    for d, w in docs.items():
+        keep = [True] * len(w)
+        for i in range(len(w) - window + 1):
+            if first[tuple(w[i : i + window])] < d:
+                keep[i : i + window] = [False] * window
+        out[d] = (len(w), keep.count(False), sha(" ".join(x for x, k in zip(w, keep, strict=True) if k)))
+    return out
+
+
+def check_packing(rows, pieces, tokenizer, capacity=4096):
+    """The round trip: every id in exactly one piece, no gap in a sequence, right checksums."""
+    ids = {d: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for d, t in rows}
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        by_doc[p["doc_id"]].append(p)
+        by_sequence[p["sequence_id"]].append(p)
+    assert by_doc.keys() == ids.keys()
+    for d, own in by_doc.items():
+        at = 0
+        for p in sorted(own, key=lambda p: p["start"]):
+            part = np.array(ids[d][at : at + p["length"]], "<u4")
+            assert p["start"] == at and len(part) == p["length"] > 0
+            assert p["ids_crc32"] == zlib.crc32(part.tobytes()) and p["doc_tokens"] == len(ids[d])
+            at += p["length"]
+        assert at == len(ids[d])
+    padding = 0
+    for own in by_sequence.values():
+        at = 0
+        for p in sorted(own, key=lambda p: p["offset"]):
+            assert p["offset"] == at
+            at += p["length"]
+        assert 0 < at <= capacity
+        padding += 0 if at & (at - 1) == 0 else capacity - at
+    return padding, sum(map(len, ids.values()))
+
+
+def check_shards(rows, out, shards=16):
+    texts = dict(rows)
+    slots = defaultdict(list)
+    for r in out:
+        raw = (texts[r["doc_id"]] or "").encode()
+        assert r["size"] == len(raw) + 1 and r["text_crc32"] == zlib.crc32(raw) and r["law"] == "key"
+        assert 0 <= r["shard"] < shards and r["grown_shard"] in (r["shard"], shards)
+        slots[r["shard"]].append(r["slot"])
+    assert len(out) == len(rows)
+    for s in slots.values():
+        assert sorted(s) == list(range(len(s)))
+    return Counter(r["shard"] for r in out), sum(r["grown_shard"] == shards for r in out)
