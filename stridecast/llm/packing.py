@@ -12,9 +12,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stridecast.llm.textbatch import texts_of
+
 CAPACITY, END = 4096, 2
 #: Sequences that a task holds open at most: their ids are all it keeps in memory.
 MOST_OPEN = 1024
-#: Words whose ids a Python worker remembers at most.
-REMEMBERED = 200_000
+#: Words and parts of words whose ids a Python worker remembers at most (about 200 bytes each).
+REMEMBERED = 1_000_000
 
 # The tokenizer's own way to cut text into words, for ASCII and Latin-1 letters only
 # (fixed values); words with any other character go through the tokenizer whole.
@@ -35,6 +37,10 @@ _PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 
 
+def _bytes(ids: Iterable[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 class WordIds:
     """Ids of texts by a tokenizer that drops white space, word by word.
 
@@ -53,32 +59,42 @@ class WordIds:
             for c in (*map(chr, range(0xC0, 0x100)),)
             if c not in "×÷"
         }
-        self.words: dict[bytes, tuple[int, ...]] = {}
-        self.parts: dict[str, tuple[int, ...]] = {}
+        # Ids as little-endian bytes, four each: joining them makes a text's ids.
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.again: set[bytes] = set()
 
-    def _part(self, part: str) -> tuple[int, ...]:
+    def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
             letters = part if part.isascii() else part.translate(self.bytes_of)
-            ids = tuple(t.id for t in self.tokenizer.model.tokenize(letters))
+            ids = _bytes([t.id for t in self.tokenizer.model.tokenize(letters)])
             self.parts[part] = ids
         return ids
 
-    def _word(self, raw: bytes) -> tuple[int, ...]:
+    def _word(self, raw: bytes) -> bytes:
         word = raw.decode()
         if _PLAIN.fullmatch(word) and "<|" not in word:
-            return tuple(chain.from_iterable(map(self._part, _PARTS.findall(word.lower()))))
-        return tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
-
-    def __call__(self, text: str) -> list[int]:
-        words = text.encode().split()  # at space and U+0009 to U+000D
-        known = self.words
-        if len(known) + len(self.parts) > REMEMBERED:
-            known.clear()
-            self.parts.clear()
-        for word in set(words).difference(known):
+            return b"".join(map(self._part, _PARTS.findall(word.lower())))
+        return _bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    def _forget(self) -> None:
+        """Keeps the words that returned since the last time, if they are not too many."""
+        keep = self.again if len(self.again) < REMEMBERED // 2 else ()
+        self.words = {w: self.words[w] for w in keep}
+        self.parts, self.again = {}, set()
+
+    def __call__(self, raw: bytes) -> bytes:
+        """The ids of a text in UTF-8."""
+        words = raw.split()  # at space and U+0009 to U+000D
+        if len(self.words) + len(self.parts) > REMEMBERED:
+            self._forget()
+        known, used = self.words, set(words)
+        new = used.difference(known)
+        self.again |= used - new
+        for word in new:
             known[word] = self._word(word)
-        return list(chain.from_iterable(map(known.__getitem__, words)))
+        return b"".join(map(known.__getitem__, words))
 
 
 _IDS: dict[str, WordIds] = {}
@@ -169,25 +185,28 @@ class Packer:
         return min(self.capacity, 1 << (left.bit_length() - 1)) if left else 0
 
 
-def _pack(tokenizer: str, capacity: int, end: int):
+def _pack(tokenizer: str, capacity: int, end: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_ids(tokenizer)
         packer = Packer(capacity, first=TaskContext.get().partitionId() << 36)
+        final = np.array([end], "<u4").tobytes()
         totals: dict[int, int] = {}  # row of an open document -> its tokens
         names: dict[int, int | None] = {}
         row = 0
         for batch in batches:
-            out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.array([*encode(text.as_py() or ""), end], "<u4")
-                names[row], totals[row] = doc_id, len(ids)
-                out.extend(_row(p, names, totals) for p in packer.add(row, ids))
-                row += 1
-            yield _batch(out)
-            held = {d for sequences in packer.open.values() for s in sequences for d, *_ in s}
-            totals = {d: totals[d] for d in held}
-            names = {d: names[d] for d in held}
-        yield _batch(_row(p, names, totals) for p in packer.flush())
+            doc_ids = batch.column(0).to_pylist()
+            for texts in texts_of(batch.column(1)):
+                out = []
+                for i in range(len(texts)):
+                    ids = np.frombuffer(encode(texts.raw(i)) + final, "<u4")
+                    names[row], totals[row] = doc_ids[texts.first + i], len(ids)
+                    out.extend(_row(p, names, totals) for p in packer.add(row, ids))
+                    row += 1
+                yield _batch(out, with_ids)
+                held = {d for sequences in packer.open.values() for s in sequences for d, *_ in s}
+                totals = {d: totals[d] for d in held}
+                names = {d: names[d] for d in held}
+        yield _batch((_row(p, names, totals) for p in packer.flush()), with_ids)
 
     return run
 
@@ -199,16 +218,18 @@ def _row(piece: tuple, names: dict, totals: dict) -> tuple:
 
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
-    "sequence_id bigint, `offset` bigint, ids array<int>"
+    "sequence_id bigint, `offset` bigint"
 )
-_NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
+_NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
-def _batch(rows: Iterable[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [()] * len(_NAMES)
-    types = [pa.int64()] * 7 + [pa.list_(pa.int32())]
-    columns[-1] = [ids.view("<i4") for ids in columns[-1]]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], _NAMES)
+def _batch(rows: Iterable[tuple], with_ids: bool) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * (len(_NAMES) + 1)
+    out = [pa.array(c, pa.int64()) for c in columns[:-1]]
+    if not with_ids:
+        return pa.RecordBatch.from_arrays(out, _NAMES)
+    ids = pa.array([x.view("<i4") for x in columns[-1]], pa.list_(pa.int32()))
+    return pa.RecordBatch.from_arrays([*out, ids], [*_NAMES, "ids"])
 
 
 def packed(
@@ -218,9 +239,10 @@ def packed(
     end: int = END,
     text: str = "text",
     doc_id: str = "doc_id",
+    with_ids: bool = True,
 ) -> DataFrame:
     """The pieces of all documents: ``doc_id, start, length, ids_crc32, doc_tokens,
-    sequence_id, offset`` and ``ids``.
+    sequence_id, offset`` and, unless they are not wanted, ``ids``.
 
     A document's ids are its text's by the tokenizer file, then ``end``; a null or empty
     text is ``end`` alone. Each of its ids lies in exactly one piece. ``sequence_id`` is
@@ -229,4 +251,5 @@ def packed(
     gives the same pieces of the same rows.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_pack(tokenizer, capacity, end), SCHEMA)
+    schema = f"{SCHEMA}, ids array<int>" if with_ids else SCHEMA
+    return rows.mapInArrow(_pack(tokenizer, capacity, end, with_ids), schema)

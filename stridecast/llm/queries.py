@@ -53,7 +53,7 @@ def op3_exact_dedup(spark, sf_dir):
 
 @query
 def op4_packing(spark, sf_dir):
-    return packing.packed(table(spark, sf_dir, "documents"), default_tokenizer()).drop("ids")
+    return packing.packed(table(spark, sf_dir, "documents"), default_tokenizer(), with_ids=False)
 
 
 @query
