@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.llm.components import components
-from stridecast.llm.tables import checked_broadcast, stage
+from stridecast.llm.tables import checked_broadcast, shuffle_partitions, stage
 from stridecast.llm.textbatch import Texts, texts_of
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -194,7 +194,9 @@ def near_duplicates(docs: DataFrame, key: list[str], text: str = "text", radius:
     result.
     """
     prints = stage(fingerprints(docs, key, text), "fingerprints")
-    points = stage(prints.select("fp").distinct(), "points")
+    # In many parts, since every point is entered in some 50 cells.
+    parts = 2 * shuffle_partitions(docs.sparkSession)
+    points = stage(prints.select("fp").repartition(parts, "fp").distinct(), "points")
     found = stage(components(links(points, radius)), "components").select(
         F.col("node").alias("fp"), "root"
     )
