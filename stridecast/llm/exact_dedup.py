@@ -138,9 +138,9 @@ def distinct_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         ),
         "kept",
     )
-    keyed = docs.withColumn("exact_hash", key)
-    same = F.col(doc_id).eqNullSafe(F.col("exact_id")) & (F.col("exact_hash") == F.col("exact_key"))
-    return keyed.join(kept, same, "left_semi").dropDuplicates([doc_id, "exact_hash"]).select(*docs.columns)
+    keyed = docs.select(F.struct("*").alias("doc"), F.col(doc_id).alias("doc_id"), key.alias("key"))
+    same = F.col("doc_id").eqNullSafe(F.col("exact_id")) & (F.col("key") == F.col("exact_key"))
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "key"]).select("doc.*")
 
 
 ORACLE = r"""

@@ -146,13 +146,14 @@ def mixed(
     id, size and source draw alike. An empty table gives an empty result.
     """
     plan = stage(source_plan(_sizes(docs, text, doc_id, source)), "plan")
-    sized = docs.withColumn("mix_size", word_count(text))
-    repeated = (
-        with_copies(sized, plan, doc_id, source, "mix_size")
-        .where("mix_copies > 0")
-        .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
+    sized = docs.select(
+        F.struct("*").alias("doc"),  # whatever its columns are called
+        F.col(doc_id).alias("doc_id"),
+        F.col(source).alias("source"),
+        word_count(text).alias("size"),
     )
-    return repeated.select(*docs.columns)
+    repeated = with_copies(sized, plan, "doc_id", "source", "size").where("mix_copies > 0")
+    return repeated.select("doc", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select("doc.*")
 
 
 def mix_report(

@@ -159,7 +159,7 @@ def fingerprinted(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     n = 4 * shuffle_partitions(spark)
     cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n)).first()[0] or []
     infinity = float("inf")
-    splits = [-infinity, *sorted({float(c) for c in cuts}), infinity]
+    splits = [-infinity, *(sorted({float(c) for c in cuts}) or [0.0]), infinity]
     bucketizer = Bucketizer(splits=splits, inputCol="id", outputCol="bucket")
 
     def bucketed(df: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ CAPACITY, END = 4096, 2
 #: Sequences that a task holds open at most: their ids are all it keeps in memory.
 MOST_OPEN = 1024
 #: Words and parts of words whose ids a Python worker remembers at most (about 200 bytes each).
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 
 # The tokenizer's own way to cut text into words, for ASCII and Latin-1 letters only
 # (fixed values); words with any other character go through the tokenizer whole.

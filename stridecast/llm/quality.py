@@ -270,5 +270,8 @@ def scored(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
 
 def accepted(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without the documents that the field rejects."""
-    out = with_quality(docs, fit(docs, labels, text, doc_id), text, "llm_quality")
-    return out.where(F.col("llm_quality") >= THRESHOLD).select(*docs.columns)
+    score = "quality_score"
+    while score in docs.columns:
+        score += "_"
+    out = with_quality(docs, fit(docs, labels, text, doc_id), text, score)
+    return out.where(F.col(score) >= THRESHOLD).drop(score)

@@ -221,13 +221,13 @@ def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
     Of rows with equal id and equal text one stays.
     """
-    mark = {"near_hash": F.xxhash64(text)}
-    rows = docs.withColumns(mark).select(F.col(doc_id).alias("doc_id"), "near_hash", F.col(text).alias("text"))
-    found = stage(near_duplicates(rows, ["doc_id", "near_hash"]), "near")
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "near_hash")
-    kept = found.groupBy("root").agg(F.min(rank).alias("kept")).select("kept.*").select(
-        F.col("doc_id").alias("near_id"), F.col("near_hash").alias("near_kept")
+    key = F.xxhash64(text)
+    keyed = docs.select(F.col(doc_id).alias("doc_id"), key.alias("key"), F.col(text).alias("text"))
+    found = stage(near_duplicates(keyed, ["doc_id", "key"]), "near")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    kept = found.groupBy("root").agg(F.min(rank).alias("kept")).select(
+        F.col("kept.doc_id").alias("near_id"), F.col("kept.key").alias("near_key")
     )
-    same = F.col(doc_id).eqNullSafe(F.col("near_id")) & (F.col("near_hash") == F.col("near_kept"))
-    stayed = docs.withColumns(mark).join(kept, same, "left_semi")
-    return stayed.dropDuplicates([doc_id, "near_hash"]).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("doc"), F.col(doc_id).alias("doc_id"), key.alias("key"))
+    same = F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("key") == F.col("near_key"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "key"]).select("doc.*")

@@ -16,7 +16,7 @@ SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 
 #: Texts are worked on so many bytes at a time; a longer text is worked on alone.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 #: Two independent multipliers, for hashes of 64 and of 128 bits.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
