@@ -53,10 +53,14 @@ def fold_end(
     starts: tuple[int, ...] = FOLD_START_DAYS,
     months_ahead: int = MONTHS_AHEAD,
 ) -> Column:
-    """Last day of a fold; for the last fold a month end ``months_ahead`` away."""
+    """Last day of a fold: before the next one starts, or the horizon's month end.
+
+    With a short horizon a fold may end before it starts; it then has no day.
+    """
+    horizon = F.last_day(F.add_months(day_column(split), months_ahead))
     if fold + 1 < len(starts):
-        return F.date_add(day_column(split), starts[fold + 1] - 1)
-    return F.last_day(F.add_months(day_column(split), months_ahead))
+        return F.least(F.date_add(day_column(split), starts[fold + 1] - 1), horizon)
+    return horizon
 
 
 def month_of(date: str) -> Column:

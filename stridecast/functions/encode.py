@@ -27,4 +27,4 @@ def keep_or_minority(
     label = F.col(label) if isinstance(label, str) else label
     total = (F.col(total) if isinstance(total, str) else total)
     above = (total > F.lit(threshold)) & ~F.isnan(total.cast("double"))
-    return F.when(above, label).otherwise(F.lit(minority))
+    return F.when(above, label.cast("string")).otherwise(F.lit(minority))

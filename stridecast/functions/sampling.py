@@ -11,8 +11,15 @@ from stridecast.config import SAMPLE_SEED
 
 
 def sampling_hash(keys: Sequence[str], seed: int = SAMPLE_SEED) -> Column:
-    """Hex digest of the row key and the seed, uniform over rows with distinct keys."""
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    """Hex digest of the row key and the seed, uniform over rows with distinct keys.
+
+    Of several keys each is preceded by its length, and a null key by none, so that no
+    two rows are mistaken for each other.
+    """
+    texts = [F.col(k).cast("string") for k in keys]
+    if len(texts) > 1:
+        texts = [F.concat(F.char_length(t).cast("string"), F.lit(":"), t) for t in texts]
+    parts = [F.coalesce(t, F.lit("null" if len(texts) == 1 else "")) for t in texts]
     return F.md5(F.concat_ws("#", *parts, F.lit(str(seed))))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -22,9 +23,6 @@ from stridecast.operators.lookup import (
 # A day number no date has; rows without a date form their own day.
 _NO_DAY = -(10**9)
 
-# Each category becomes a column; a plan with many more is slow to compile.
-MAX_CATEGORIES = 1000
-
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row with the number of distinct values per column, null being a value."""
@@ -146,13 +144,11 @@ def relabel_by_total(
     return relabel_minority(group_totals(df, [amount], label), label, total, threshold, minority)
 
 
-def categories(
-    df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES
-) -> dict[str, list[str]]:
-    """Sorted distinct non-missing values per column, as text, in one pass.
+def categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Distinct non-missing values per column, as text, in the order of the column's type.
 
-    Columns with more than ``max_categories`` values are refused, before they can
-    fill the driver.
+    However many there are: each becomes a column of its own in ``dummies``, so they
+    are all needed where the plan is made.
     """
     values = []
     for i, c in enumerate(columns):
@@ -160,21 +156,11 @@ def categories(
         if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
             value = F.when(~F.isnan(c), value)
         values.append(F.struct(F.lit(i).alias("i"), value.cast("string").alias("value")))
-    limit = max_categories * len(columns)
-    found = (
-        df.select(F.inline(F.array(*values)))
-        .where(F.col("value").isNotNull())
-        .distinct()
-        .limit(limit + 1)
-        .collect()
-    )
-    out = {}
+    found = df.select(F.inline(F.array(*values))).where(F.col("value").isNotNull()).distinct().collect()
+    out: dict[str, list[str]] = {}
     for i, c in enumerate(columns):
-        texts = [r.value for r in found if r.i == i]
-        if len(found) > limit or len(texts) > max_categories:
-            raise ValueError(f"more than {max_categories} categories in {', '.join(columns)}")
         numeric = isinstance(df.schema[c].dataType, T.NumericType)
-        out[c] = sorted(texts, key=float if numeric else None)
+        out[c] = sorted((r.value for r in found if r.i == i), key=Decimal if numeric else None)
     return out
 
 
@@ -182,7 +168,6 @@ def dummies(
     df: DataFrame,
     columns: Sequence[str],
     known: Mapping[str, Sequence[str]] | None = None,
-    max_categories: int = MAX_CATEGORIES,
 ) -> tuple[DataFrame, list[str]]:
     """Replaces each column by 0/1 columns ``<column>_<value>``; also returns their names.
 
@@ -194,7 +179,7 @@ def dummies(
     known = dict(known or {})
     unknown = [c for c in present if c not in known]
     if unknown:
-        known.update(categories(df, unknown, max_categories))
+        known.update(categories(df, unknown))
     flags = {
         f"{c}_{value}": F.coalesce((F.col(c).cast("string") == value).cast("int"), F.lit(0))
         for c in present

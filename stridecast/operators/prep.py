@@ -43,7 +43,8 @@ def fold_preparation(spec: FeatureSpec, fold: int, variant: str = FULL) -> Pipel
     return preparation(spec.numeric(fold, variant), spec.categorical)
 
 
-def slots(df: DataFrame, vector: str, size: int, prefix: str) -> DataFrame:
-    """Replaces a vector column by one double column per slot."""
+def slots(df: DataFrame, vector: str, prefix: str) -> DataFrame:
+    """Replaces a vector column by one double column per slot, as many as its metadata says."""
+    size = df.schema[vector].metadata["ml_attr"]["num_attrs"]
     values = vector_to_array(F.col(vector))
     return df.withColumns({f"{prefix}{i}": values[i] for i in range(size)}).drop(vector)

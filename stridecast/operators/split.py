@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stridecast.config import (
     BASIC,
@@ -123,7 +124,8 @@ def sample_count(
 ) -> DataFrame:
     """The ``n`` rows first in the order of their key's hash.
 
-    ``keys`` must identify a row; copies of one key are taken or left together.
+    ``keys`` should identify a row; of the copies of the last key so many are taken
+    that ``n`` rows come out.
     Counting runs at once, in three jobs that read the keys alone: each counts the
     rows per hash prefix and moves into the group where the running count reaches
     ``n``. That fixes the last hash to keep. The rows themselves only pass a
@@ -150,25 +152,29 @@ def sample_count(
             return df
         last, ahead = edge.prefix, edge.upto - edge.rows
         inside = prefix == last
-    return df.where(digest <= last)
+    if edge.upto == n:
+        return df.where(digest <= last)
+    return df.where(digest < last).unionByName(df.where(digest == last).limit(n - ahead))
 
 
-def has_null(columns: Sequence[str]) -> Column:
-    """True where any of the columns is null."""
+def lacks(df: DataFrame, columns: Sequence[str]) -> Column:
+    """True where any of the columns is null or, as a float, not a number."""
     flag = F.lit(False)
     for c in columns:
         flag = flag | F.col(c).isNull()
+        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+            flag = flag | F.isnan(c)
     return flag
 
 
 def flag_basic(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Marks the rows that lack a feature and need the basic model."""
-    return df.withColumn("is_basic", has_null(features))
+    return df.withColumn("is_basic", lacks(df, features))
 
 
 def route_nulls(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with all features, and rows that lack one."""
-    return df.where(~has_null(features)), df.where(has_null(features))
+    return df.where(~lacks(df, features)), df.where(lacks(df, features))
 
 
 def project_fold(

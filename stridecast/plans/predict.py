@@ -127,7 +127,7 @@ def predict(
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             scored = predictions(rows, spec, models, first_day, starts, months_ahead)
-            write_predictions(scored, root, spec.target)
+            write_predictions(scored, root, spec.target, execution=first_day)
         finally:
             rows.unpersist()
         results = read_predictions(spark, root, spec.target, [first_day], schema=scored.schema)

@@ -18,6 +18,7 @@ from stridecast.operators.prep import fold_preparation
 from stridecast.operators.reports import date_range
 from stridecast.operators.split import (
     fold_variant,
+    lacks,
     project_fold,
     sample_training,
     train_rows,
@@ -65,13 +66,13 @@ def spread_evenly(
 def training_frame(rows: DataFrame, spec: FeatureSpec, fold: int, variant: str) -> DataFrame:
     """Training rows of one model.
 
-    A basic model learns from the rows that lack a feature; where none does, from
-    all rows, so that scoring always finds a basic model.
+    A basic model learns from all rows that have its own, fewer features, however many
+    of them lack another; so scoring always finds a basic model.
     """
-    frame = fold_variant(rows, spec, fold, variant)
-    if variant == BASIC and frame.isEmpty():
-        return project_fold(rows, spec, fold, BASIC)
-    return frame
+    if variant == BASIC:
+        frame = project_fold(rows, spec, fold, BASIC)
+        return frame.where(~lacks(frame, spec.numeric(fold, BASIC)))
+    return fold_variant(rows, spec, fold, variant)
 
 
 def fit_fold(

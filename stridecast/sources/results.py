@@ -25,15 +25,22 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_predictions(df: DataFrame, root: str, target: str, gather: bool = False) -> str:
+def write_predictions(
+    df: DataFrame, root: str, target: str, gather: bool = False, execution: Day = None
+) -> str:
     """Writes predictions by ``dt_execution`` and returns the path.
 
-    Executions already there stay, but for those written again. One execution is
+    Executions already there stay, but for those written again. ``execution`` names the
+    only one in ``df``; what it has written before goes, also if ``df`` has no rows. It is
     written where its rows are. For a table of many executions ``gather`` brings
     each day together first, so that not every task writes a file per day;
     rebalancing splits large days over many tasks.
     """
     path = results_path(root, target)
+    if execution is not None:
+        partition = f"{path}/dt_execution={as_date(execution).isoformat()}"
+        df.drop("dt_execution").write.mode("overwrite").parquet(partition)
+        return path
     if gather:
         df = df.hint("rebalance", "dt_execution")
     (

@@ -29,7 +29,6 @@ sales as (
            cast(l_extendedprice as decimal(18,2)) as t,
            cast(l_quantity * p_retailprice as decimal(18,2)) as p
     from lineitem join part on l_partkey = p_partkey
-    where l_shipdate >= timestamp '2000-01-01'
 ),
 scored as (
     select *, cast(t as double) as td, cast(p as double) as pd,
@@ -97,7 +96,7 @@ ORACLE_SQL = {
         with {_SALES}
         select l_orderkey, l_linenumber, p_type, cast(l_shipdate as date) as l_shipdate,
                td as revenue, pd as revenue_pred, ape as "revenue_APE", ae as "revenue_AE"
-        from scored
+        from scored where l_shipdate >= timestamp '2000-01-01'
     """,
     "eval_levels": f"with {_SALES} {_levels(_ALL_SETS)}",
     "eval_levels_basic": f"with {_SALES} {_levels('(p_type, ship_month)')}",

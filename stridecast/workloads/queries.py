@@ -77,8 +77,8 @@ def eval_rows(spark, sf_dir):
 
 
 def _evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.evaluation_rows(
-        sales(spark, sf_dir), "revenue", "revenue_pred", "l_shipdate", EVAL_START
+    return evaluate.error_columns(
+        sales(spark, sf_dir), "revenue", "revenue_pred", squared=False
     )
 
 
@@ -321,7 +321,7 @@ def one_hot(spark, sf_dir):
     encoded = model.transform(_orders(spark, sf_dir)).select(
         "o_orderkey", F.col("o_orderpriority" + ONE_HOT).alias("v")
     )
-    return prep.slots(encoded, "v", 5, "slot_")
+    return prep.slots(encoded, "v", "slot_")
 
 
 @query
@@ -333,7 +333,7 @@ def assemble(spark, sf_dir):
 
     model = prep.preparation(numeric, category).fit(with_month(_train_orders(spark, sf_dir)))
     vectors = model.transform(with_month(_orders(spark, sf_dir)))
-    return prep.slots(vectors.select("o_orderkey", "features"), "features", 8, "feature_")
+    return prep.slots(vectors.select("o_orderkey", "features"), "features", "feature_")
 
 
 # --- results and reports

@@ -99,3 +99,11 @@ def test_execution_tag_and_plain_date(spark):
     out = tag_execution(df, "2018-07-15", "x")
     assert dict(out.dtypes) == {"x": "date", "dt_execution": "date"}
     assert tuple(out.first()) == (dt.date(2018, 7, 22), dt.date(2018, 7, 15))
+
+
+def test_no_fold_goes_past_a_short_horizon(spark):
+    df = spark.sql("select explode(sequence(date'2018-06-01', date'2018-12-31')) as d")
+    split, counts = "2018-06-10", []
+    for fold in range(6):
+        counts.append(fold_rows(df, "d", split, fold, months_ahead=0).count())
+    assert sum(counts) == assign_fold(df, "d", split, months_ahead=0).count() == 21

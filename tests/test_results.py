@@ -121,3 +121,10 @@ def test_a_staged_table_is_there_while_needed(spark, forecasts):
         assert os.path.isdir(path)
         assert rows(table) == rows(forecasts)
     assert not os.path.exists(path)
+
+
+def test_an_empty_rerun_leaves_nothing_behind(spark, root):
+    df = spark.createDataFrame([(1, dt.date(2020, 1, 1))], "k int, dt_execution date")
+    write_predictions(df, root, "t", execution="2020-01-01")
+    write_predictions(df.limit(0), root, "t", execution="2020-01-01")
+    assert read_predictions(spark, root, "t", schema=df.schema).count() == 0
