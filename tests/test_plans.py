@@ -27,7 +27,7 @@ def test_no_cross_join_and_no_python(spark, name):
         ("fold_assign", ["GreaterThanOrEqual(o_orderdate,2001-01-01", "LessThan(o_orderdate,2001-07-01"]),
         ("fold_counts", ["GreaterThanOrEqual(o_orderdate,2001-01-01", "LessThan(o_orderdate,2001-07-01"]),
         ("union_folds", ["GreaterThanOrEqual(o_orderdate,2001-03-06", "LessThan(o_orderdate,2001-01-09"]),
-        ("eval_levels", ["GreaterThanOrEqual(l_shipdate,2000-01-01"]),
+        ("eval_rows", ["GreaterThanOrEqual(l_shipdate,2000-01-01"]),
         ("train_test_split", ["LessThan(o_orderdate,2001-01-01", "LessThan(o_orderdate,2001-07-01"]),
     ],
 )
