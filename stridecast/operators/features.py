@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,13 +13,9 @@ from pyspark.sql import types as T
 
 from stridecast.config import COS, MINORITY_LABEL, SIN
 from stridecast.functions.encode import angle, keep_or_minority
-from stridecast.operators.lookup import (
-    BROADCAST_BYTES,
-    HOT_SHARE,
-    attach,
-    hot_keys,
-    measured_bytes,
-)
+from stridecast.operators.lookup import BROADCAST_BYTES, ROWS_PER_TASK, attach
+from stridecast.operators.split import lacks
+from stridecast.sources.shared import written
 
 # A day number no date has; rows without a date form their own day.
 _NO_DAY = -(10**9)
@@ -64,30 +61,20 @@ def group_totals(
     columns: Sequence[str],
     key: str,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_share: int = HOT_SHARE,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Adds each row's group total as ``sum_<column>_by_<key>``.
 
-    Rows with a null key belong to no group and are left out. The totals are
-    measured and, up to ``broadcast_bytes``, broadcast to rows that stay in place.
-    Beyond that only the totals of hot keys are; the other groups are small, and a
-    window over their rows gives the totals in one shuffle.
+    Rows with a null key belong to no group and are left out. One pass aggregates the
+    totals with the rows per key into a table in the shared folder, at once; a second
+    pass attaches them to the rows (see ``lookup.attach``).
     """
     names = {c: f"sum_{c}_by_{key}" for c in columns}
     keyed = df.drop(*names.values()).where(F.col(key).isNotNull())
-    ordered = [*keyed.columns, *names.values()]
-    totals = keyed.groupBy(key).agg(*(F.sum(c).alias(n) for c, n in names.items()))
-    if measured_bytes(totals) <= broadcast_bytes:
-        return keyed.join(F.broadcast(totals), key).select(*ordered)
-
-    per_key = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = hot_keys(per_key, [key], "_rows", hot_share)
-    group = W.partitionBy(key)
-    small_groups = keyed.join(hot, key, "left_anti").withColumns(
-        {n: F.sum(c).over(group) for c, n in names.items()}
+    totals = keyed.groupBy(key).agg(
+        *(F.sum(c).alias(n) for c, n in names.items()), F.count(F.lit(1)).alias("_rows")
     )
-    large_groups = keyed.join(F.broadcast(totals.join(hot, key, "left_semi")), key)
-    return small_groups.select(*ordered).unionByName(large_groups.select(*ordered))
+    return attach(keyed, written(totals, "totals"), [key], "_rows", broadcast_bytes, rows_per_task)
 
 
 def trailing_totals(
@@ -97,36 +84,27 @@ def trailing_totals(
     date: str,
     days: int,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_share: int = HOT_SHARE,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Adds group totals over the trailing ``days`` days, the row's own day included.
 
-    Most groups are small, and a window over their rows gives the totals in one
-    shuffle. Groups with more than one in ``hot_share`` rows are first added up by
-    day, so that the window runs over their days, and the daily values are joined
-    back to rows that stay in place. Named ``sum_<column>_by_<key>_<days>d``.
+    One pass adds the rows up by key and day. The window runs over one row per key and
+    day, so a group has no more rows than there are days, and its values go to a table
+    in the shared folder, at once. A second pass attaches them to the rows (see
+    ``lookup.attach``). Named ``sum_<column>_by_<key>_<days>d``.
     """
     names = {c: f"sum_{c}_by_{key}_{days}d" for c in columns}
     day = F.coalesce(F.unix_date(F.to_date(date)), F.lit(_NO_DAY))
     keyed = df.drop(*names.values()).where(F.col(key).isNotNull()).withColumn("_day", day)
-    trailing = W.partitionBy(key).orderBy("_day").rangeBetween(-(days - 1), 0)
-
-    per_key = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = hot_keys(per_key, [key], "_rows", hot_share)
-    small_groups = keyed.join(hot, key, "left_anti").withColumns(
-        {n: F.sum(c).over(trailing) for c, n in names.items()}
-    )
-
-    large = keyed.join(hot, key, "left_semi")
-    daily = large.groupBy(key, "_day").agg(
-        *(F.sum(c).alias(n) for c, n in names.items()), F.count(F.lit(1)).alias("_weight")
+    daily = keyed.groupBy(key, "_day").agg(
+        *(F.sum(c).alias(n) for c, n in names.items()), F.count(F.lit(1)).alias("_rows")
     )
+    trailing = W.partitionBy(key).orderBy("_day").rangeBetween(-(days - 1), 0)
     rolled = daily.select(
-        key, "_day", "_weight", *(F.sum(n).over(trailing).alias(n) for n in names.values())
+        key, "_day", "_rows", *(F.sum(n).over(trailing).alias(n) for n in names.values())
     )
-    large_groups = attach(large, rolled, [key, "_day"], "_weight", broadcast_bytes, hot_share)
-    ordered = [c for c in keyed.columns if c != "_day"] + list(names.values())
-    return small_groups.select(*ordered).unionByName(large_groups.select(*ordered))
+    table = written(rolled, "trailing")
+    return attach(keyed, table, [key, "_day"], "_rows", broadcast_bytes, rows_per_task).drop("_day")
 
 
 def relabel_minority(
@@ -187,3 +165,55 @@ def dummies(
     }
     kept = [c for c in df.columns if c not in present]
     return df.select(*kept, *(flag.alias(name) for name, flag in flags.items())), list(flags)
+
+
+def category_table(df: DataFrame, column: str) -> DataFrame:
+    """Every non-missing value of ``column`` with ``_place`` in their order, from 0, and
+    ``_rows``, their number; a table in the shared folder, made at once.
+
+    Values are sorted by ranges and numbered within each range, so no task and not the
+    driver sees them all.
+    """
+    values = df.where(~lacks(df, [column])).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = written(
+        values.repartitionByRange(ranges, column).withColumn("_range", F.spark_partition_id()),
+        "categories",
+    )
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    starts = (
+        placed.groupBy("_range")
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    )
+    within = W.partitionBy("_range").orderBy(column)
+    numbered = placed.withColumn("_in_range", F.row_number().over(within) - 1).join(
+        F.broadcast(starts), "_range"
+    )
+    return written(
+        numbered.select(column, (F.col("_start") + F.col("_in_range")).alias("_place"), "_rows"),
+        "places",
+    )
+
+
+def dummy_vector(
+    df: DataFrame,
+    column: str,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Replaces a column by ``<column>_vec``: ``dummies`` as one sparse vector per row.
+
+    For any number of categories, of which neither the plan nor the driver holds a list.
+    The first category and a missing value have no slot; the others follow in the order
+    of their type.
+    """
+    known = category_table(df, column)
+    size = known.count()
+    found = attach(df, known, [column], "_rows", broadcast_bytes, rows_per_task, "left")
+    # The encoder gives its last category no slot: that is where the first one goes.
+    slot = F.coalesce(F.nullif("_place", F.lit(0)) - 1, F.lit(max(size - 1, 0))).cast("double")
+    found = found.withColumn("_slot", slot).drop("_place", column)
+    widest = df.sparkSession.createDataFrame([(float(max(size - 1, 0)),)], "_slot double")
+    encoder = OneHotEncoder(inputCol="_slot", outputCol=f"{column}_vec", dropLast=True)
+    return encoder.fit(widest).transform(found).drop("_slot")

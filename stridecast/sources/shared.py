@@ -38,3 +38,13 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
     finally:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, which goes with ``spark.checkpoint.dir``.
+
+    It is made once, however often it is read, and has no lineage.
+    """
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,12 +2,13 @@ import math
 
 import pytest
 from helpers import close, plan, rows
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stridecast.functions.encode import keep_or_minority
 from stridecast.operators import features
-from stridecast.operators.lookup import attach, hot_keys, measured_bytes
+from stridecast.operators.lookup import attach, measured_bytes, split_above
 
 
 def test_cyclical_casts_text_and_counts_null(spark):
@@ -76,20 +77,20 @@ def skewed(spark, n=3000):
     )
 
 
-@pytest.mark.parametrize("hot_share", [1, 5, 1000])
-def test_every_way_of_attaching_gives_the_same_rows(spark, hot_share):
-    df = skewed(spark)
-    totals = df.groupBy("k").agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("n"))
-    expected = rows(df.join(totals.drop("n"), "k").select(*df.columns, "s"))
-    assert rows(attach(df, totals, ["k"], "n")) == expected
-    assert rows(attach(df, totals, ["k"], "n", 0, hot_share)) == expected
-    assert rows(attach(df, totals.drop("n"), ["k"], None, 0, hot_share)) == expected
+@pytest.mark.parametrize("rows_per_task", [1, 40, 10**6])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_every_way_of_attaching_gives_the_same_rows(spark, rows_per_task, how):
+    df = skewed(spark).withColumn("k", F.nullif("k", F.lit(5)))
+    totals = df.where("k <> 11").groupBy("k").agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("n"))
+    expected = rows(df.join(totals.drop("n"), "k", how).select(*df.columns, "s"))
+    assert rows(attach(df, totals, ["k"], "n", how=how)) == expected
+    assert rows(attach(df, totals, ["k"], "n", 0, rows_per_task, how)) == expected
 
 
-@pytest.mark.parametrize("hot_share", [1, 4, 10**4])
-def test_group_totals_beyond_the_broadcast_equal_the_window(spark, hot_share):
+@pytest.mark.parametrize("rows_per_task", [1, 40, 10**6])
+def test_group_totals_beyond_the_broadcast_equal_the_window(spark, rows_per_task):
     df = skewed(spark)
-    out = features.group_totals(df, ["v", "u"], "k", broadcast_bytes=0, hot_share=hot_share)
+    out = features.group_totals(df, ["v", "u"], "k", 0, rows_per_task)
     group = W.partitionBy("k")
     assert out.columns == [*df.columns, "sum_v_by_k", "sum_u_by_k"]
     assert rows(out, "id", "sum_v_by_k", "sum_u_by_k") == rows(
@@ -97,26 +98,27 @@ def test_group_totals_beyond_the_broadcast_equal_the_window(spark, hot_share):
     )
 
 
-def test_rows_of_hot_keys_are_not_shuffled(spark, root):
+@pytest.mark.parametrize("broadcast_bytes, rows_per_task", [(10**8, 10**6), (0, 10**6), (0, 40)])
+def test_totals_read_the_rows_once_more_at_most(spark, root, broadcast_bytes, rows_per_task):
     skewed(spark).write.parquet(root + "/rows")
     df = spark.read.parquet(root + "/rows")
-    totals = df.groupBy("k").agg(F.sum("v").alias("s"))
     for out in (
-        features.group_totals(df, ["v"], "k", broadcast_bytes=0),
-        attach(df, totals, ["k"], None, 0),
+        features.group_totals(df, ["v"], "k", broadcast_bytes, rows_per_task),
+        features.trailing_totals(df, ["v"], "k", "d", 7, broadcast_bytes, rows_per_task),
     ):
         text = plan(out)
-        assert "LeftAnti" in text and "BroadcastHashJoin" in text and "Union" in text
+        scans = [line for line in text.splitlines() if "Location" in line and root in line]
+        assert len(scans) == 1 and "Union" not in text and "Window" not in text
         assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
-def test_hot_keys_are_fewer_than_the_share(spark):
+def test_a_hot_key_is_split(spark):
     df = skewed(spark)
-    per_key = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    assert rows(hot_keys(per_key, ["k"], "n", 1)) == []
-    assert rows(hot_keys(per_key, ["k"], "n", 3)) == [(0,)]
-    assert 1 < hot_keys(per_key, ["k"], "n", 150).count() < 150
-    assert hot_keys(per_key.limit(0), ["k"], "n", 3).count() == 0
+    totals = df.groupBy("k").agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("n"))
+    text = plan(attach(df, totals, ["k"], "n", 0, 50))
+    assert "_lookup_splits" in text and "sequence(0" in text
+    assert "_lookup_splits" not in plan(attach(df, totals, ["k"], "n", 0, 10**6))
+    assert split_above(10**12) == 10**7 and split_above(10) == 4_000_000
 
 
 def test_size_of_a_lookup_is_measured(spark):
@@ -128,14 +130,14 @@ def test_size_of_a_lookup_is_measured(spark):
 
 @pytest.mark.parametrize("days", [1, 7, 30])
 @pytest.mark.parametrize("broadcast_bytes", [10**8, 0])
-@pytest.mark.parametrize("hot_share", [1, 4, 10**4])
-def test_trailing_totals_equal_the_window_over_rows(spark, days, broadcast_bytes, hot_share):
+@pytest.mark.parametrize("rows_per_task", [20, 10**6])
+def test_trailing_totals_equal_the_window_over_rows(spark, days, broadcast_bytes, rows_per_task):
     df = skewed(spark)
     over = (
         W.partitionBy("k").orderBy(F.unix_date("d")).rangeBetween(-(days - 1), W.currentRow)
     )
     expected = df.select("id", F.sum("v").over(over).alias("s"), F.sum("u").over(over).alias("t"))
-    out = features.trailing_totals(df, ["v", "u"], "k", "d", days, broadcast_bytes, hot_share)
+    out = features.trailing_totals(df, ["v", "u"], "k", "d", days, broadcast_bytes, rows_per_task)
     names = [f"sum_v_by_k_{days}d", f"sum_u_by_k_{days}d"]
     assert out.columns == [*df.columns, *names]
     assert rows(out, "id", *names) == rows(expected)
@@ -196,3 +198,26 @@ def test_any_number_of_categories_in_their_own_order(spark):
 def test_labels_of_any_type_can_be_minor(spark):
     df = spark.createDataFrame([(1, 9.0), (2, 1.0)], "label bigint, s double")
     assert rows(features.relabel_minority(df, "label", "s", 5, "minor")) == [("1", 9.0), ("minor", 1.0)]
+
+
+@pytest.mark.parametrize("broadcast_bytes", [10**8, 0])
+def test_dummy_vectors_equal_dummies(spark, broadcast_bytes):
+    df = spark.range(300).selectExpr("id", "id as place", "if(id % 7 = 0, null, id % 23 * 10) as c")
+    wide, names = features.dummies(df, ["c"])
+    narrow = features.dummy_vector(df, "c", broadcast_bytes, 5)
+    assert narrow.columns == ["id", "place", "c_vec"]
+    expected = wide.select("id", "place", F.array(*(F.col(n).cast("double") for n in names)).alias("v"))
+    assert rows(narrow.select("id", "place", vector_to_array("c_vec").alias("v"))) == rows(expected)
+
+
+def test_dummy_vectors_without_categories(spark):
+    df = spark.createDataFrame([(1, float("nan")), (2, None)], "id int, c double")
+    assert rows(features.dummy_vector(df, "c").selectExpr("id", "cast(c_vec as string) as v")) == [
+        (1, "(0,[],[])"),
+        (2, "(0,[],[])"),
+    ]
+    one = spark.createDataFrame([(1, "a"), (2, None)], "id int, c string")
+    assert {r[0] for r in features.dummy_vector(one, "c").selectExpr("cast(c_vec as string)").collect()} == {
+        "(0,[],[])"
+    }
+    assert features.dummy_vector(df.limit(0), "c").count() == 0
