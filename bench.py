@@ -15,9 +15,11 @@ import time
 
 from pyspark.sql import SparkSession
 
-from stridecast.workloads.queries import QUERIES
+from stridecast.workloads.queries import FORESTS, QUERIES as CHECKED
 
-MODEL_QUERIES = ("rf_", "feature_importance", "training_error")
+QUERIES = CHECKED | FORESTS
+
+MODEL_QUERIES = ("rf_", "forest_", "feature_importance", "training_error")
 
 
 def timed(query, spark: SparkSession, sf_dir: str) -> float:

@@ -77,3 +77,4 @@ class ForestParams:
     seed: int = SAMPLE_SEED
     max_memory_mb: int = 256
     cache_node_ids: bool = False
+    bootstrap: bool = True

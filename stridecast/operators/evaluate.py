@@ -33,8 +33,9 @@ def error_columns(
 def evaluation_rows(
     df: DataFrame, target: str, prediction: str, date: str, start: Day
 ) -> DataFrame:
-    """Rows from ``start`` on with their percentage and absolute error."""
-    return error_columns(df.where(on_or_after(date, start)), target, prediction, squared=False)
+    """Rows from ``start`` on (all of them without one) with percentage and absolute error."""
+    rows = df if start is None else df.where(on_or_after(date, start))
+    return error_columns(rows, target, prediction, squared=False)
 
 
 def _grouping_sets(levels: Sequence[str], full: bool) -> list[list[str]]:

@@ -58,6 +58,7 @@ def regressor(spec: FeatureSpec, params: ForestParams) -> RandomForestRegressor:
         seed=params.seed,
         maxMemoryInMB=params.max_memory_mb,
         cacheNodeIds=params.cache_node_ids,
+        bootstrap=params.bootstrap,
     )
 
 
@@ -79,15 +80,19 @@ def feature_names(transformed: DataFrame, vector: str = "features") -> list[tupl
     return sorted(named)
 
 
-def importance_rows(model: FoldModel, frame: DataFrame) -> list[tuple[int, int, str, float]]:
-    """Fold, slot, name and importance of every feature slot.
+def importance_rows(model: FoldModel, frame: DataFrame) -> list[tuple[int, int, int, str, float]]:
+    """Fold, rank, slot, name and importance of every feature slot, most important first.
 
     Needs the schema of ``frame`` and the fitted model, not the data.
     """
     values = model.forest.featureImportances.toArray()
     empty = frame.sparkSession.createDataFrame([], frame.schema)
     named = feature_names(model.prep.transform(empty))
-    return [(model.fold, slot, name, float(values[slot])) for slot, name in named]
+    ranked = sorted(named, key=lambda slot_name: (-values[slot_name[0]], slot_name[0]))
+    return [
+        (model.fold, rank, slot, name, float(values[slot]))
+        for rank, (slot, name) in enumerate(ranked, 1)
+    ]
 
 
 def importances(model: FoldModel, frame: DataFrame) -> DataFrame:
@@ -112,7 +117,7 @@ def importance_report(
 
 
 def _importance_table(
-    spark: SparkSession, rows: Sequence[tuple[int, int, str, float]]
+    spark: SparkSession, rows: Sequence[tuple[int, int, int, str, float]]
 ) -> DataFrame:
-    schema = "fold int, idx int, variable string, importance double"
-    return spark.createDataFrame(list(rows), schema).orderBy("fold", F.desc("importance"), "idx")
+    schema = "fold int, rank int, idx int, variable string, importance double"
+    return spark.createDataFrame(list(rows), schema).orderBy("fold", "rank")

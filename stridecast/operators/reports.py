@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stridecast.config import BASIC, FULL
 from stridecast.functions.dates import Day, day_column, month_of
 
 
@@ -48,21 +47,38 @@ def date_range(df: DataFrame, date: str, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by).agg(F.min(day).alias("date_min"), F.max(day).alias("date_max"))
 
 
-def prediction_metrics(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
-    """Duplicates, row counts and date range of scored rows, in one pass and one row."""
+def prediction_metrics(
+    df: DataFrame, tests: DataFrame, keys: Sequence[str], date: str
+) -> DataFrame:
+    """Duplicates, row counts and date range of scored rows, in one row.
+
+    The test sets are counted in ``tests``, which has the rows to be scored with their
+    ``is_basic``, so that rows lost in scoring show up.
+    """
+    counted = tests.agg(
+        F.struct(
+            F.count_if(~F.col("is_basic")).alias("n_full"),
+            F.count_if(F.col("is_basic")).alias("n_basic"),
+        )
+    ).scalar()
     per_key = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("variant") == FULL).alias("n_full"),
-        F.count_if(F.col("variant") == BASIC).alias("n_basic"),
         F.min(F.to_date(date)).alias("d_min"),
         F.max(F.to_date(date)).alias("d_max"),
     )
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    return per_key.agg(
+    metrics = per_key.agg(
         (F.count(F.lit(1)) - total("n")).alias("check_duplicates"),
         total("n").alias("results_full_count"),
-        total("n_full").alias("test_set_count"),
-        total("n_basic").alias("test_basic_set_count"),
         F.min("d_min").alias("pred_date_min"),
         F.max("d_max").alias("pred_date_max"),
+    ).withColumn("_tests", counted)
+    # The names of the metrics.
+    return metrics.select(
+        "check_duplicates",
+        "results_full_count",
+        F.col("_tests.n_full").alias("test_set_count"),
+        F.col("_tests.n_basic").alias("test_basic_set_count"),
+        "pred_date_min",
+        "pred_date_max",
     )

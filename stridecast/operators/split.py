@@ -52,6 +52,25 @@ def train_test(
     )
 
 
+def sampled_train_test(
+    df: DataFrame,
+    date: str,
+    split: Day,
+    fraction: float,
+    keys: Sequence[str],
+    starts: tuple[int, ...] = FOLD_START_DAYS,
+    months_ahead: int = MONTHS_AHEAD,
+    seed: int = SAMPLE_SEED,
+) -> DataFrame:
+    """``train_test`` with a share of the training rows, chosen by row key. One pass.
+
+    It holds what ``split_frames`` gives as one frame per fold: the rows of role
+    ``train`` once for all folds, and each test row with its fold.
+    """
+    rows = train_test(df, date, split, starts, months_ahead)
+    return rows.where((F.col("role") == "test") | in_fraction(keys, fraction, seed))
+
+
 def train_filters(
     date: str, split: Day, starts: tuple[int, ...] = FOLD_START_DAYS
 ) -> list[Column]:
@@ -172,6 +191,11 @@ def flag_basic(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumn("is_basic", lacks(df, features))
 
 
+def with_variant(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Adds the ``variant`` of the model each row goes to. One pass for both."""
+    return df.withColumn("variant", F.when(lacks(df, features), BASIC).otherwise(FULL))
+
+
 def route_nulls(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with all features, and rows that lack one."""
     return df.where(~lacks(df, features)), df.where(lacks(df, features))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stridecast.config import APE, PREDICTION
+from stridecast.config import APE, MONTHS_AHEAD, PREDICTION
 from stridecast.functions.dates import Day, as_date, day_column
 from stridecast.functions.errors import absolute_error, percentage_error, squared_error
 
@@ -40,13 +40,20 @@ def matched(
     date: str,
     days: int = LAST_DAYS,
     until: Day = None,
+    months_ahead: int | None = None,
 ) -> DataFrame:
     """Predictions for the last ``days`` days of actual values, with these values.
 
     Rows meet on the ids, and on the day where the predictions carry it. Then both
-    sides are cut to those days before the join.
+    sides are cut to those days before the join. An execution reaches from its day to
+    the end of the month ``months_ahead`` later; where that is given, executions that
+    cannot reach those days are not read.
     """
     end = _last_day(actuals, date, until)
+    if months_ahead is not None:
+        earliest = F.add_months(F.trunc(F.date_sub(end, days - 1), "month"), -months_ahead)
+        made_on = F.col("dt_execution")
+        predictions = predictions.where((made_on >= earliest) & (made_on <= end))
     known = _within(actuals, date, end, days)
     keys = list(dict.fromkeys(ids))
     if date in predictions.columns:
@@ -69,18 +76,20 @@ def backtest(
     last_execution: Day = None,
     remove_outliers: bool = True,
     outlier: float = OUTLIER,
+    months_ahead: int | None = MONTHS_AHEAD,
 ) -> DataFrame:
     """MAPE, MAE and MSE per execution over the last ``days`` days of actual values.
 
     With ``remove_outliers``, rows whose percentage error exceeds ``outlier`` are
-    left out of the means and counted apart.
+    left out of the means and counted apart. ``months_ahead`` is the longest horizon of
+    the executions; None reads them all.
     """
     if executions is not None:
         wanted = [as_date(d) for d in executions]
         predictions = predictions.where(F.col("dt_execution").isin(wanted))
     if last_execution is not None:
         predictions = predictions.where(F.col("dt_execution") <= day_column(last_execution))
-    rows = matched(predictions, actuals, ids, target, date, days, until)
+    rows = matched(predictions, actuals, ids, target, date, days, until, months_ahead)
     prediction = target + PREDICTION
     rows = rows.withColumn(target + APE, percentage_error(target, prediction))
     is_outlier = F.coalesce(F.col(target + APE) > F.lit(float(outlier)), F.lit(False))

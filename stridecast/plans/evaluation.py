@@ -27,7 +27,7 @@ def evaluate(
     levels: Sequence[str],
     full: bool = True,
 ) -> Evaluation:
-    """Errors of the rows from ``start`` on, of the groups, and overall. All lazy.
+    """Errors of the rows from ``start`` on (None: all), of the groups, and overall. Lazy.
 
     ``full`` looks at each level alone too, besides all levels together.
     """

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.config import BASIC, FOLD_START_DAYS, FULL, MONTHS_AHEAD, UNSCORED, FeatureSpec
-from stridecast.functions.dates import Day, as_date
-from stridecast.operators.folds import fold_rows, in_horizon
+from stridecast.functions.dates import Day, as_date, before
+from stridecast.operators.folds import assign_fold, fold_rows, in_horizon
 from stridecast.operators.forest import FoldModel, importance_report, score
 from stridecast.operators.reports import month_report, prediction_metrics, tag_execution
-from stridecast.operators.split import project_fold, route_nulls
+from stridecast.operators.split import lacks, project_fold, route_nulls
+from stridecast.plans.backtest import backtest as run_backtest
 from stridecast.sources.artifacts import execution_path, load_models
 from stridecast.sources.results import csv_path, read_predictions, write_csv, write_predictions
 
@@ -25,6 +26,7 @@ class Prediction:
     importances: DataFrame
     metrics: DataFrame | None
     months: DataFrame | None
+    backtest: DataFrame | None
 
 
 def _columns(spec: FeatureSpec) -> list[str]:
@@ -51,6 +53,22 @@ def horizon_rows(
     return data.select(*columns).where(in_horizon(spec.date, split, starts, months_ahead))
 
 
+def rows_to_score(
+    data: DataFrame,
+    spec: FeatureSpec,
+    split: Day,
+    starts: tuple[int, ...] = FOLD_START_DAYS,
+    months_ahead: int = MONTHS_AHEAD,
+) -> DataFrame:
+    """The rows of any fold as they come in, with ``fold`` and ``is_basic``: whether they
+    lack a feature of their fold's full model."""
+    rows = assign_fold(data, spec.date, split, starts, months_ahead)
+    is_basic = F.lit(False)
+    for fold in spec.folds:
+        is_basic = F.when(F.col("fold") == fold, lacks(rows, spec.numeric(fold))).otherwise(is_basic)
+    return rows.withColumn("is_basic", is_basic)
+
+
 def predictions(
     data: DataFrame,
     spec: FeatureSpec,
@@ -110,7 +128,9 @@ def predict(
     The test rows are then cached while all models score them, and ``results``
     reads what was written, so that the reports of ``checks`` do not score again.
     ``csv`` writes the predictions as CSV as well. Without ``root`` all is lazy.
-    ``keys`` identify a row for the duplicate check.
+    ``keys`` identify a row for the duplicate check. With ``checks``, ``root`` and the
+    target in ``data``, the executions before ``first_day`` that are below ``root`` are
+    judged too, on the rows of ``data`` before that day that have the target.
     """
     spark = data.sparkSession
     first_day = as_date(first_day)
@@ -134,8 +154,20 @@ def predict(
         write_csv(report, csv_path(root, spec.target, "feat_importance", first_day))
         if csv:
             write_csv(results, csv_path(root, spec.target, "results", first_day))
-    metrics = months = None
+    metrics = months = past_errors = None
     if checks:
-        metrics = prediction_metrics(results, keys or spec.ids, spec.date)
+        tests = rows_to_score(data, spec, first_day, starts, months_ahead)
+        metrics = prediction_metrics(results, tests, keys or spec.ids, spec.date)
         months = month_report(results, spec.date, spec.ids[0], spec.prediction)
-    return Prediction(results, report, metrics, months)
+        if root is not None and spec.target in data.columns:
+            past = read_predictions(spark, root, spec.target, schema=results.schema)
+            known = data.where(before(spec.date, first_day) & F.col(spec.target).isNotNull())
+            past_errors = run_backtest(
+                past.where(before("dt_execution", first_day)),
+                known,
+                spec.ids,
+                spec.target,
+                spec.date,
+                months_ahead=months_ahead,
+            )
+    return Prediction(results, report, metrics, months, past_errors)

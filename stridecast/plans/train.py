@@ -120,14 +120,17 @@ def training_error(
     """MAPE, MAE and row count on the training rows, by fold and variant.
 
     For the first and last fold unless others are asked for. Each model's rows
-    are reduced to one before the results are put together.
+    are reduced to one before the results are put together; a model without rows
+    has count 0 and null errors. Rows no model can score are left out.
     """
     folds = {spec.folds[0], spec.folds[-1]} if folds is None else set(folds)
+    judged = [m for m in models if m.fold in folds]
     report = None
-    for m in models:
-        if m.fold not in folds:
-            continue
-        frame = fold_variant(rows, spec, m.fold, m.variant)
+    for m in judged:
+        lacking = lacks(rows, spec.numeric(m.fold, FULL))
+        able = ~lacks(rows, spec.numeric(m.fold, m.variant))
+        wanted = rows.where(able & (lacking if m.variant == BASIC else ~lacking))
+        frame = project_fold(wanted, spec, m.fold, m.variant)
         scored = score(m, frame, dict.fromkeys([*spec.ids, spec.target]))
         part = scored.select(
             F.lit(m.fold).alias("fold"),
@@ -136,13 +139,17 @@ def training_error(
         )
         part = error_means(part, spec.target, spec.prediction, spec.ids[0], ["fold", "variant"])
         report = part if report is None else report.unionByName(part)
-    return report
+    names = rows.sparkSession.createDataFrame(
+        [(m.fold, m.variant) for m in judged], "fold int, variant string"
+    )
+    return names.join(report, ["fold", "variant"], "left").fillna(0, ["row_count"])
 
 
 def training_metrics(
     rows: DataFrame, spec: FeatureSpec, params: ForestParams, training_sample: float
 ) -> DataFrame:
     """The settings of the run and the date range it learned from, in one row."""
+    # The names of the settings and metrics.
     return date_range(rows, spec.date).select(
         F.lit(spec.target).alias("col_target"),
         F.lit(params.num_trees).alias("num_trees"),

@@ -84,6 +84,61 @@ def _slots(column: str, prefix: str, size: int, first: int = 0) -> str:
     )
 
 
+# The best single split on flags, per fold and variant. Of all flags a model has, that
+# with the largest sum of squared side totals over side counts reduces the variance most.
+_STUMP = f"""
+{_HISTORY},
+flagged as (
+    select o_orderkey, d, o_orderpriority as label, o_totalprice as t, d < date '2001-01-01' as past,
+           line_count >= 5 as many, quantity >= 100 as bulky, gross >= 200000 as dear
+    from history
+),
+training as (
+    select 'full' as variant, * from flagged where past and many is not null
+    union all select 'basic', * from flagged where past
+),
+labels as (
+    select variant, label as name, row_number() over (partition by variant order by count(*) desc, label) - 1 as i
+    from training group by 1, 2
+),
+flags as (
+    select variant, 'many' as feature, 0 as place, many as flag, t from training where variant = 'full'
+    union all select variant, 'bulky', 1, bulky, t from training where variant = 'full'
+    union all select variant, 'dear', 2, dear, t from training where variant = 'full'
+    union all select variant, name, 3 + i, label = name, t from training join labels using (variant)
+),
+sides as (
+    select variant, feature, place,
+           count(*) filter (where flag) as n1,
+           sum(cast(t as decimal(18,2))) filter (where flag)::double as s1,
+           count(*) filter (where not flag) as n0,
+           sum(cast(t as decimal(18,2))) filter (where not flag)::double as s0
+    from flags group by 1, 2, 3
+),
+folds(fold, own) as (values (0, 3), (1, 3), (2, 2), (3, 2), (4, 1), (5, 1)),
+ranked as (
+    select *, row_number() over (
+               partition by fold, variant order by s1 * s1 / n1 + s0 * s0 / n0 desc, place) as choice
+    from sides cross join folds
+    where (place < own or place >= 3) and n1 > 0 and n0 > 0
+),
+chosen as (
+    select fold, variant, feature, s1 / n1 as mean1, s0 / n0 as mean0 from ranked where choice = 1
+)
+"""
+
+# The folds of 2001-01-10 up to the month's end.
+_SHORT = """
+    select o_orderkey, cast(o_orderdate as date) as o_orderdate,
+           case when o_orderdate < timestamp '2001-01-18' then 0
+                when o_orderdate < timestamp '2001-01-25' then 1 else 2 end as fold
+    from orders
+    where o_orderdate >= timestamp '2001-01-10' and o_orderdate < timestamp '2001-02-01'
+"""
+
+_FLAG = """case feature when 'many' then many when 'bulky' then bulky when 'dear' then dear
+               else label = feature end"""
+
 ORACLE_SQL = {
     "error_cols": """
         select l_orderkey, l_linenumber, l_discount, l_tax,
@@ -152,6 +207,8 @@ ORACLE_SQL = {
         from days cross join {_FOLD_DAYS} t(fold, a, b)
     """,
     "fold_assign": f"with {_FOLDS} select o_orderkey, d as o_orderdate, fold from folded",
+    "fold_assign_short": _SHORT,
+    "fold_calendar_short": _SHORT,
     "fold_assign_timestamps": """
         select event_id, user_id,
                case when cast(ts as date) <= date '2024-01-08' then 0
@@ -206,6 +263,12 @@ ORACLE_SQL = {
         select o_orderkey, line_count is null or quantity is null or gross is null as is_basic
         from history
     """,
+    "nan_routing": f"""
+        with {_HISTORY}
+        select o_orderkey, case when quantity is null or o_orderstatus = 'P' then 'basic'
+                                else 'full' end as variant
+        from history
+    """,
     "null_routing_sets": f"""
         with {_HISTORY}
         select o_orderkey, quantity,
@@ -272,6 +335,18 @@ ORACLE_SQL = {
                cast(o_orderstatus = 'P' as integer) as "o_orderstatus_P"
         from orders
     """,
+    "dummy_vectors": """
+        with customers as (
+            select nullif(o_custkey, 7) as c, dense_rank() over (order by nullif(o_custkey, 7)) - 2 as slot,
+                   o_orderkey
+            from orders
+        ),
+        size as (select count(distinct c) - 1 as n from customers)
+        select o_orderkey,
+               case when c is null or c = (select min(c) from customers) then '(' || n || ',[],[])'
+                    else '(' || n || ',[' || slot || '],[1.0])' end as customer_vec
+        from customers cross join size
+    """,
     "string_index": f"""
         with {_RANKS.format(name="priorities", column="o_orderpriority", more="")},
         {_RANKS.format(name="statuses", column="o_orderstatus", more="")}
@@ -350,11 +425,17 @@ ORACLE_SQL = {
         where date_trunc('month', d) in
               (date '2000-11-01', date '2000-12-01', date '2001-01-01')
     """,
-    "results_csv": f"""
-        with {_FOLDS}
-        select o_orderkey, d as o_orderdate, o_totalprice, fold,
+    "results_csv": """
+        select o_orderkey, cast(o_orderdate as date) as o_orderdate, o_totalprice,
                date '2001-01-01' as dt_execution
-        from folded
+        from orders
+    """,
+    "results_rerun": f"""
+        with {_HISTORY}
+        select o_orderkey, d as o_orderdate, gross as o_totalprice_pred,
+               cast(date_trunc('month', d) as date) as dt_execution
+        from history
+        where date_trunc('month', d) <> date '2001-01-01' or gross is null
     """,
     "backtest": f"""
         with {_HISTORY},
@@ -374,6 +455,52 @@ ORACLE_SQL = {
                count(*) filter (where is_outlier) as outlier_count
         from flagged group by 1
     """,
+    "rf_predict": f"""
+        with {_FOLDS}, {_STUMP},
+        tested as (
+            select g.*, f.fold, case when many is null then 'basic' else 'full' end as variant
+            from flagged g join folded f using (o_orderkey)
+        )
+        select o_orderkey, tested.d as o_orderdate, fold, variant, date '2001-01-01' as dt_execution,
+               round(case when {_FLAG} then mean1 else mean0 end, 4) as o_totalprice_pred
+        from tested join chosen using (fold, variant)
+    """,
+    "feature_importance": f"""
+        with {_STUMP},
+        slots as (
+            select fold, place as idx, feature as name, feature as variable
+            from folds join (values ('many', 0), ('bulky', 1), ('dear', 2)) v(feature, place)
+                 on place < own
+            union all select fold, own + i, name, 'o_orderpriority_catVec_' || name
+            from folds cross join labels where variant = 'full'
+            union all select fold, own + (select count(*) from labels where variant = 'full'), null,
+                      'o_orderpriority_catVec___unknown'
+            from folds
+        )
+        select s.fold, s.idx, s.variable,
+               case when feature is not null then 1.0::double else 0.0::double end as importance,
+               row_number() over (partition by s.fold order by feature is not null desc, s.idx) as rank,
+               case s.fold when 0 then 'first' when 5 then 'last' end as model,
+               'o_totalprice' as target_variable, date '2001-01-01' as dt_execution
+        from slots s left join chosen c on c.variant = 'full' and c.fold = s.fold and c.feature = s.name
+    """,
+    "training_error": f"""
+        with {_STUMP},
+        judged as (
+            select c.fold, c.variant, t, case when {_FLAG} then mean1 else mean0 end as p
+            from flagged g join chosen c
+                 on c.variant = case when many is null then 'basic' else 'full' end
+            where past and c.fold in (0, 5)
+        ),
+        means as (
+            select fold, variant, round(avg(abs((t - p) / nullif(t, 0) * 100)), 6) as mape,
+                   round(avg(abs(t - p)), 4) as mae, count(*) as row_count
+            from judged group by 1, 2
+        )
+        select fold, variant, mape, mae, coalesce(row_count, 0) as row_count
+        from (values (0, 'full'), (0, 'basic'), (5, 'full'), (5, 'basic')) v(fold, variant)
+             left join means using (fold, variant)
+    """,
     "rf_predict_counts": f"""
         with {_FOLDS}, {_HISTORY}
         select f.fold, case when line_count is null then 'basic' else 'full' end as variant,

@@ -10,20 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stridecast.config import BASIC, FULL, INDEX, ONE_HOT, ForestParams
-from stridecast.functions.dates import before
+from stridecast.functions.dates import as_date, before
 from stridecast.operators import evaluate, features, folds, prep, reports, split
 from stridecast.operators.forest import importance_report
 from stridecast.plans.backtest import backtest as run_backtest
+from stridecast.plans.evaluation import Evaluation, evaluate as run_evaluation
 from stridecast.plans.predict import predict, union_results
 from stridecast.plans.train import train, training_metrics, training_set
 from stridecast.sources.results import csv_path, read_predictions, write_csv, write_predictions
 from stridecast.sources.shared import shared_folder
 from stridecast.workloads.tables import (
     EVAL_START,
+    FLAG_SPEC,
     ORDER_SPEC,
     SPLIT,
     money,
     order_features,
+    order_flags,
     order_history,
     sales,
     table,
@@ -76,37 +79,30 @@ def eval_rows(spark, sf_dir):
     )
 
 
-def _evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.error_columns(
-        sales(spark, sf_dir), "revenue", "revenue_pred", squared=False
-    )
+def _evaluated(spark: SparkSession, sf_dir: str, full: bool = True) -> Evaluation:
+    levels = ["p_type", "ship_month"]
+    rows = sales(spark, sf_dir)
+    return run_evaluation(rows, "revenue", "revenue_pred", "l_shipdate", None, levels, full)
 
 
 @query
 def eval_levels(spark, sf_dir):
-    return evaluate.level_errors(
-        _evaluated(spark, sf_dir), "revenue", "revenue_pred", ["p_type", "ship_month"]
-    )
+    return _evaluated(spark, sf_dir).levels
 
 
 @query
 def eval_levels_basic(spark, sf_dir):
-    return evaluate.level_errors(
-        _evaluated(spark, sf_dir), "revenue", "revenue_pred", ["p_type", "ship_month"], full=False
-    )
+    return _evaluated(spark, sf_dir, full=False).levels
 
 
 @query
 def eval_summary(spark, sf_dir):
-    summary = evaluate.error_summary(
-        _evaluated(spark, sf_dir), "revenue", "revenue_pred", ["p_type", "ship_month"]
-    )
-    return summary.withColumn("value", F.round("value", 6))
+    return _evaluated(spark, sf_dir).summary.withColumn("value", F.round("value", 6))
 
 
 @query
 def outlier_share(spark, sf_dir):
-    return evaluate.outlier_share(_evaluated(spark, sf_dir), "revenue", "revenue_pred")
+    return evaluate.outlier_share(_evaluated(spark, sf_dir).rows, "revenue", "revenue_pred")
 
 
 @query
@@ -134,6 +130,26 @@ def fold_assign(spark, sf_dir):
     return _plain_date(folds.assign_fold(orders, "o_orderdate", SPLIT))
 
 
+@query
+def fold_assign_short(spark, sf_dir):
+    """A horizon that ends before the last folds begin: these have no rows."""
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_orderdate")
+    return _plain_date(folds.assign_fold(orders, "o_orderdate", "2001-01-10", months_ahead=0))
+
+
+@query
+def fold_calendar_short(spark, sf_dir):
+    """The same rows from the calendar of each fold."""
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_orderdate")
+    parts = [
+        folds.fold_rows(orders, "o_orderdate", "2001-01-10", i, months_ahead=0).withColumn(
+            "fold", F.lit(i)
+        )
+        for i in ORDER_SPEC.folds
+    ]
+    return _plain_date(union_results(parts))
+
+
 @query
 def fold_assign_timestamps(spark, sf_dir):
     """Events carry a time of day: the last day of a fold counts to its end."""
@@ -157,29 +173,17 @@ def train_test_split(spark, sf_dir):
 
 @query
 def split_fold_frames(spark, sf_dir):
-    """Per-fold frames cut into training and test parts, counted."""
+    """The sampled training part and the test part of every fold, counted in one pass."""
     orders = _orders(spark, sf_dir).select("o_orderkey", "o_orderdate", "o_totalprice")
-    frames = [orders.withColumn("scale", F.lit(i)) for i in ORDER_SPEC.folds]
-    train_parts, test_parts = split.split_frames(
-        frames,
-        split.train_filters("o_orderdate", SPLIT),
-        split.fold_filters("o_orderdate", SPLIT),
-        training_sample=0.5,
-        keys=["o_orderkey"],
+    rows = split.sampled_train_test(orders, "o_orderdate", SPLIT, 0.5, ["o_orderkey"])
+    parts = rows.groupBy("role", "fold").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum(money("o_totalprice")).cast("double").alias("total"),
     )
-    tagged = [
-        part.select(F.lit(i).alias("fold"), F.lit(role).alias("role"), "o_totalprice", "scale")
-        for role, parts in (("train", train_parts), ("test", test_parts))
-        for i, part in enumerate(parts)
-    ]
-    return (
-        union_results(tagged)
-        .groupBy("role", "fold")
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.sum(money("o_totalprice")).cast("double").alias("total"),
-            F.sum("scale").alias("scale"),
-        )
+    every = F.array(*map(F.lit, ORDER_SPEC.folds))
+    folds_of = F.when(F.col("role") == "train", every).otherwise(F.array("fold"))
+    return parts.withColumn("fold", F.explode(folds_of)).withColumn(
+        "scale", F.col("row_count") * F.col("fold")
     )
 
 
@@ -212,13 +216,17 @@ def null_routing(spark, sf_dir):
 @query
 def null_routing_sets(spark, sf_dir):
     """The rows of fold 0's full model, and those that fall back to its basic model."""
-    full, basic = split.route_nulls(order_history(spark, sf_dir), ORDER_SPEC.features[0])
-    return union_results(
-        [
-            part.select("o_orderkey", "quantity", F.lit(variant).alias("variant"))
-            for part, variant in ((full, FULL), (basic, BASIC))
-        ]
+    rows = split.with_variant(order_history(spark, sf_dir), ORDER_SPEC.features[0])
+    return rows.select("o_orderkey", "quantity", "variant")
+
+
+@query
+def nan_routing(spark, sf_dir):
+    """A feature that is not a number counts as lacking, as null does."""
+    rows = order_history(spark, sf_dir).withColumn(
+        "quantity", F.when(F.col("o_orderstatus") == "P", float("nan")).otherwise(F.col("quantity"))
     )
+    return split.with_variant(rows, ["quantity"]).select("o_orderkey", "variant")
 
 
 # --- features
@@ -295,6 +303,16 @@ def dummies(spark, sf_dir):
     return features.dummies(orders, ["o_orderpriority", "o_orderstatus", "not_there"])[0]
 
 
+@query
+def dummy_vectors(spark, sf_dir):
+    """One slot per customer but the first, as a sparse vector in its text form."""
+    orders = _orders(spark, sf_dir).select(
+        "o_orderkey", F.nullif(F.col("o_custkey"), F.lit(7)).alias("customer")
+    )
+    encoded = features.dummy_vector(orders, "customer")
+    return encoded.select("o_orderkey", F.col("customer_vec").cast("string").alias("customer_vec"))
+
+
 # --- model inputs
 
 
@@ -389,10 +407,10 @@ def run_metrics_train(spark, sf_dir):
 @query
 def run_metrics_predict(spark, sf_dir):
     orders = split.flag_basic(order_history(spark, sf_dir), ["quantity"])
-    rows = folds.assign_fold(orders, "o_orderdate", SPLIT).withColumn(
-        "variant", F.when(F.col("is_basic"), BASIC).otherwise(FULL)
+    rows = folds.assign_fold(orders, "o_orderdate", SPLIT)
+    return reports.prediction_metrics(
+        rows.drop("is_basic"), rows, ["o_custkey", "o_orderpriority"], "o_orderdate"
     )
-    return reports.prediction_metrics(rows, ["o_custkey", "o_orderpriority"], "o_orderdate")
 
 
 def _monthly_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -415,12 +433,22 @@ def results_written(spark, sf_dir):
     )
 
 
+@query
+def results_rerun(spark, sf_dir):
+    """An execution written again: the earlier rows go, other executions stay."""
+    root = shared_folder(spark, "results")
+    made = _monthly_forecasts(spark, sf_dir)
+    write_predictions(made, root, "o_totalprice", gather=True)
+    again = made.where((F.col("dt_execution") == as_date(SPLIT)) & F.col("o_totalprice_pred").isNull())
+    write_predictions(again, root, "o_totalprice", execution=SPLIT)
+    return read_predictions(spark, root, "o_totalprice")
+
+
 @query
 def results_csv(spark, sf_dir):
-    """Predictions of the test folds as CSV with a header."""
+    """Results as CSV with a header."""
     orders = _orders(spark, sf_dir).select("o_orderkey", "o_orderdate", "o_totalprice")
-    rows = folds.assign_fold(orders, "o_orderdate", SPLIT)
-    rows = reports.tag_execution(rows, SPLIT, "o_orderdate")
+    rows = reports.tag_execution(orders, SPLIT, "o_orderdate")
     path = csv_path(shared_folder(spark, "results"), "o_totalprice", "results", SPLIT)
     write_csv(rows, path)
     return spark.read.schema(rows.schema).option("header", True).csv(path)
@@ -446,25 +474,66 @@ def backtest(spark, sf_dir):
 # --- models
 
 
+# One tree of one split on flags, without a bootstrap: SQL finds the split with the
+# largest reduction of the variance, and the means of its two sides.
+STUMP = ForestParams(num_trees=1, max_depth=1, max_features="all", bootstrap=False)
+
+
 @query
 def rf_predict(spark, sf_dir):
     """Train on the past, save, load, and score every test row."""
+    root = shared_folder(spark, "models")
+    data = order_flags(spark, sf_dir)
+    train(data, FLAG_SPEC, SPLIT, STUMP, root=root)
+    results = predict(data, FLAG_SPEC, SPLIT, root=root).results
+    return results.withColumn(FLAG_SPEC.prediction, F.round(FLAG_SPEC.prediction, 4))
+
+
+@query
+def feature_importance(spark, sf_dir):
+    """Name, slot, value and rank of every feature, written as CSV and read back."""
+    root = shared_folder(spark, "importances")
+    data = order_flags(spark, sf_dir)
+    models = train(data, replace(FLAG_SPEC, basic_features=()), SPLIT, STUMP).models
+    report = importance_report(models, data, FLAG_SPEC.target, SPLIT)
+    path = csv_path(root, FLAG_SPEC.target, "feat_importance", SPLIT)
+    write_csv(report, path)
+    return spark.read.schema(report.schema).option("header", True).csv(path)
+
+
+@query
+def training_error(spark, sf_dir):
+    errors = train(order_flags(spark, sf_dir), FLAG_SPEC, SPLIT, STUMP, checks=True).errors
+    return errors.withColumns({"mape": F.round("mape", 6), "mae": F.round("mae", 4)})
+
+
+# Larger forests, for measuring alone: their values follow from MLlib's random draws.
+FORESTS: dict[str, Query] = {}
+
+
+def forest(fn: Query) -> Query:
+    FORESTS[fn.__name__] = fn
+    return fn
+
+
+@forest
+def forest_predict(spark, sf_dir):
     root = shared_folder(spark, "models")
     data = order_features(spark, sf_dir)
     train(data, ORDER_SPEC, SPLIT, PARAMS, root=root)
     return predict(data, ORDER_SPEC, SPLIT, root=root).results
 
 
-@query
-def feature_importance(spark, sf_dir):
+@forest
+def forest_importance(spark, sf_dir):
     data = order_features(spark, sf_dir)
     full_only = replace(ORDER_SPEC, basic_features=())
     models = train(data, full_only, SPLIT, PARAMS).models
     return importance_report(models, data, full_only.target, SPLIT)
 
 
-@query
-def training_error(spark, sf_dir):
+@forest
+def forest_training_error(spark, sf_dir):
     data = order_features(spark, sf_dir)
     return train(data, ORDER_SPEC, SPLIT, PARAMS, checks=True).errors
 
@@ -493,7 +562,7 @@ def rf_predict_counts(spark, sf_dir):
 def training_error_counts(spark, sf_dir):
     """The training error of the first and last fold covers the rows of each model."""
     data = order_features(spark, sf_dir)
-    errors = train(data, ORDER_SPEC, SPLIT, SMALL, checks=True).errors
+    errors = train(data, ORDER_SPEC, SPLIT, SMALL, checks=True).errors.where("row_count > 0")
     return errors.select(
         "fold", "variant", "row_count", ((F.col("mae") > 0) & (F.col("mape") > 0)).alias("has_error")
     )

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from stridecast.config import FeatureSpec
 from stridecast.operators.features import cyclical
-from stridecast.operators.lookup import attach
 
 SPLIT = "2001-01-01"
 EVAL_START = "2000-01-01"
@@ -30,6 +29,24 @@ ORDER_SPEC = FeatureSpec(
 )
 
 
+# All features are 0 or 1, so that SQL can grow the same tree.
+FLAG_SPEC = FeatureSpec(
+    target="o_totalprice",
+    date="o_orderdate",
+    ids=("o_orderkey",),
+    features=(
+        ("many", "bulky", "dear"),
+        ("many", "bulky", "dear"),
+        ("many", "bulky"),
+        ("many", "bulky"),
+        ("many",),
+        ("many",),
+    ),
+    basic_features=((),) * 6,
+    categorical=("o_orderpriority",),
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -48,7 +65,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"
     )
-    return attach(lines, part, ["l_partkey"]).select(
+    return lines.join(part, "l_partkey").select(
         "l_orderkey",
         "l_linenumber",
         "p_type",
@@ -84,3 +101,16 @@ def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"month": F.month("o_orderdate"), "weekday": F.dayofweek("o_orderdate")}
     )
     return cyclical(dated, ["month", "weekday"], periods={"month": 12, "weekday": 7}, drop=True)
+
+
+def order_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with line totals as flags; null for an order without lines."""
+    return order_history(spark, sf_dir).select(
+        "o_orderkey",
+        "o_orderdate",
+        "o_orderpriority",
+        "o_totalprice",
+        (F.col("line_count") >= 5).cast("double").alias("many"),
+        (F.col("quantity") >= 100).cast("double").alias("bulky"),
+        (F.col("gross") >= 200_000).cast("double").alias("dear"),
+    )

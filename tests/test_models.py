@@ -2,10 +2,12 @@ from dataclasses import replace
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from stridecast.config import BASIC, FULL, FeatureSpec, ForestParams
 from stridecast.operators.forest import feature_names, importances, subset_strategy
-from stridecast.plans.predict import predict, predictions, horizon_rows
+from stridecast.operators.reports import prediction_metrics
+from stridecast.plans.predict import horizon_rows, predict, predictions, rows_to_score
 from stridecast.plans.train import fit_fold, train, training_set
 from stridecast.sources.artifacts import execution_path, load_models
 
@@ -105,8 +107,9 @@ def test_training_error_covers_first_and_last_fold(data, training):
     assert got[0, FULL].row_count == past.count() - lacking
     assert got[0, BASIC].row_count == lacking
     assert got[5, FULL].row_count == past.count()
-    # No row lacks a feature of the last fold, so its basic model has no rows to report.
-    assert (5, BASIC) not in got
+    # No row lacks a feature of the last fold: its basic model has no rows and no errors.
+    empty = got[5, BASIC]
+    assert (empty.row_count, empty.mape, empty.mae) == (0, None, None)
     assert 0 < got[0, FULL].mae < got[5, FULL].mae
 
 
@@ -138,6 +141,7 @@ def test_predict_writes_and_reports(spark, data, root, scored):
     assert metrics.test_basic_set_count == scored.where("variant = 'basic'").count()
     assert metrics.pred_date_min.isoformat() == "2018-06-01"
     assert metrics.pred_date_max.isoformat() == "2018-11-30"
+    assert out.backtest.count() == 0  # no execution came before
     months = [r.month for r in out.months.collect()]
     assert months == [f"2018-{m:02d}" for m in range(6, 12)]
     tags = out.importances.select("fold", "model").distinct()
@@ -155,6 +159,38 @@ def test_models_of_an_earlier_execution(data, root, training):
     }
 
 
+def test_past_executions_are_judged(data, training, tmp_path):
+    root = str(tmp_path)
+    predict(data, SPEC, SPLIT, models=training.models, root=root)
+    out = predict(data, SPEC, "2018-07-01", models=training.models, root=root, checks=True)
+    (june,) = out.backtest.collect()
+    assert june.dt_execution.isoformat() == SPLIT
+    assert june.row_count + june.outlier_count == data.where(
+        f"d >= '{SPLIT}' and d < '2018-07-01'"
+    ).count()
+
+
+def test_lost_rows_show_up(data, training):
+    """The test sets are counted at their source, not in the results."""
+    out = predict(data, SPEC, SPLIT, models=training.models, checks=True)
+    tests = rows_to_score(data, SPEC, SPLIT)
+    short = prediction_metrics(out.results.where("id % 2 = 0"), tests, ["id"], "d").first()
+    assert short.test_set_count + short.test_basic_set_count == tests.count()
+    assert short.results_full_count < tests.count()
+    assert short.test_basic_set_count == out.results.where("variant = 'basic'").count()
+
+
+def test_a_tree_without_bootstrap_gives_the_means_of_the_sides(data):
+    spec = replace(SPEC, features=(("flag",),), basic_features=(), categorical=())
+    flagged = data.selectExpr("id", "d", "t", "cast(x >= 5 as double) as flag")
+    params = ForestParams(num_trees=1, max_depth=1, max_features="all", bootstrap=False)
+    model = train(flagged, spec, SPLIT, params).models
+    out = predict(flagged, spec, SPLIT, models=model, starts=(0,)).results.join(flagged, ["id", "d"])
+    means = {r.flag: r.m for r in flagged.where(f"d < '{SPLIT}'").groupBy("flag").agg(F.avg("t").alias("m")).collect()}
+    for r in out.select("flag", "t_pred").distinct().collect():
+        assert r.t_pred == pytest.approx(means[r.flag], rel=1e-12)
+
+
 def test_nothing_to_predict(data, training, tmp_path):
     out = predict(
         data, SPEC, "2030-01-01", models=training.models, root=str(tmp_path), checks=True

@@ -47,7 +47,8 @@ def test_prediction_metrics(spark):
         "select * from values ('a', date'2018-02-03', 'full'), ('a', date'2018-02-03', 'full'), "
         "('b', date'2018-01-01', 'basic'), ('c', date'2018-01-02', 'unscored') t(id, d, variant)"
     )
-    got = reports.prediction_metrics(df, ["id", "d"], "d").first()
-    assert tuple(got) == (-1, 4, 2, 1, dt.date(2018, 1, 1), dt.date(2018, 2, 3))
-    nothing = reports.prediction_metrics(df.limit(0), ["id"], "d").first()
+    tests = spark.sql("select * from values (false), (false), (false), (true) t(is_basic)")
+    got = reports.prediction_metrics(df, tests, ["id", "d"], "d").first()
+    assert tuple(got) == (-1, 4, 3, 1, dt.date(2018, 1, 1), dt.date(2018, 2, 3))
+    nothing = reports.prediction_metrics(df.limit(0), tests.limit(0), ["id"], "d").first()
     assert tuple(nothing) == (0, 0, 0, 0, None, None)

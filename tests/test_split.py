@@ -148,3 +148,26 @@ def test_spec_checks_and_names():
     assert SPEC.inputs() == ["a", "b", "m_sin", "m_cos", "c", "k"]
     with pytest.raises(ValueError):
         FeatureSpec(target="t", date="d", ids=("id",), features=((), ()), basic_features=((),))
+
+
+def test_one_pass_split_equals_the_frames(spark):
+    df = spark.range(900).selectExpr("id", "date_add(date'2018-01-01', cast(id % 300 as int)) as d")
+    split_day, starts = "2018-05-01", (0, 8, 15)
+    frames = [df for _ in starts]
+    train_parts, test_parts = split.split_frames(
+        frames,
+        split.train_filters("d", split_day, starts),
+        split.fold_filters("d", split_day, starts),
+        0.5,
+        ["id"],
+    )
+    once = split.sampled_train_test(df, "d", split_day, 0.5, ["id"], starts)
+    for part in train_parts:
+        assert rows(once.where("role = 'train'"), "id") == rows(part, "id")
+    for i, part in enumerate(test_parts):
+        assert rows(once.where(f"fold = {i}"), "id") == rows(part, "id")
+
+
+def test_variant_in_one_pass(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, None), (3, float("nan"))], "id int, x double")
+    assert rows(split.with_variant(df, ["x"]), "id", "variant") == [(1, "full"), (2, "basic"), (3, "basic")]
