@@ -2,15 +2,17 @@
 
 Bounds are built from literals, so Catalyst folds them to constants, and the date
 column itself is never wrapped: the predicates reach the Parquet scan and prune
-partitions. They hold for DATE, TIMESTAMP and ``yyyy-MM-dd`` string columns.
+partitions. They hold for DATE and TIMESTAMP columns, and for ``yyyy-MM-dd`` text, with
+or without a time after it, where ``typed`` names the column: text is compared as text.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stridecast.config import FOLD_START_DAYS, MONTHS_AHEAD
 
@@ -30,17 +32,30 @@ def day_column(day: Day) -> Column:
     return F.to_date(day) if isinstance(day, Column) else F.lit(as_date(day))
 
 
+class TextDate(str):
+    """Name of a date column that holds text."""
+
+
+def typed(df: DataFrame, date: str) -> str:
+    """The name of the date column, as a ``TextDate`` if ``df`` has text there."""
+    return TextDate(date) if isinstance(df.schema[date].dataType, T.StringType) else date
+
+
+def _bound(date: str, day: Column) -> Column:
+    return day.cast("string") if isinstance(date, TextDate) else day
+
+
 def before(date: str, day: Day) -> Column:
-    return F.col(date) < day_column(day)
+    return F.col(date) < _bound(date, day_column(day))
 
 
 def on_or_after(date: str, day: Day) -> Column:
-    return F.col(date) >= day_column(day)
+    return F.col(date) >= _bound(date, day_column(day))
 
 
 def through(date: str, day: Day) -> Column:
     """On or before ``day``, the whole last day included for timestamps too."""
-    return F.col(date) < F.date_add(day_column(day), 1)
+    return F.col(date) < _bound(date, F.date_add(day_column(day), 1))
 
 
 def fold_start(split: Day, fold: int, starts: tuple[int, ...] = FOLD_START_DAYS) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.config import AE, APE, OUTLIER_PERCENT, SE
-from stridecast.functions.dates import Day, on_or_after
+from stridecast.functions.dates import Day, on_or_after, typed
 from stridecast.functions.errors import (
     absolute_error,
     outlier_percent,
@@ -34,7 +34,7 @@ def evaluation_rows(
     df: DataFrame, target: str, prediction: str, date: str, start: Day
 ) -> DataFrame:
     """Rows from ``start`` on (all of them without one) with percentage and absolute error."""
-    rows = df if start is None else df.where(on_or_after(date, start))
+    rows = df if start is None else df.where(on_or_after(typed(df, date), start))
     return error_columns(rows, target, prediction, squared=False)
 
 

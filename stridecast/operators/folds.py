@@ -6,7 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.config import FOLD_START_DAYS, MONTHS_AHEAD
-from stridecast.functions.dates import Day, before, fold_end, fold_start, on_or_after, through
+from stridecast.functions.dates import (
+    Day,
+    before,
+    fold_end,
+    fold_start,
+    on_or_after,
+    through,
+    typed,
+)
 
 
 def fold_calendar(
@@ -50,7 +58,7 @@ def fold_rows(
     months_ahead: int = MONTHS_AHEAD,
 ) -> DataFrame:
     """Test rows of one fold."""
-    return df.where(in_fold(date, split, fold, starts, months_ahead))
+    return df.where(in_fold(typed(df, date), split, fold, starts, months_ahead))
 
 
 def fold_number(
@@ -82,5 +90,6 @@ def assign_fold(
     months_ahead: int = MONTHS_AHEAD,
 ) -> DataFrame:
     """Test rows of all folds in one pass, with their ``fold``; other rows are left out."""
+    date = typed(df, date)
     rows = df.where(in_horizon(date, split, starts, months_ahead))
     return rows.withColumn("fold", fold_number(date, split, starts))

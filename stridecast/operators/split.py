@@ -17,7 +17,7 @@ from stridecast.config import (
     SAMPLE_SEED,
     FeatureSpec,
 )
-from stridecast.functions.dates import Day, before
+from stridecast.functions.dates import Day, before, typed
 from stridecast.functions.sampling import in_fraction, sampling_hash
 from stridecast.operators.folds import fold_number, in_fold, in_horizon
 
@@ -29,7 +29,7 @@ _DIGITS = (3, 6, 32)
 
 def train_rows(df: DataFrame, date: str, split: Day) -> DataFrame:
     """Rows strictly before the split; the same cut serves every fold."""
-    return df.where(before(date, split))
+    return df.where(before(typed(df, date), split))
 
 
 def train_test(
@@ -43,6 +43,7 @@ def train_test(
 
     Training rows serve all folds and carry a null fold.
     """
+    date = typed(df, date)
     is_train = before(date, split)
     return df.where(is_train | in_horizon(date, split, starts, months_ahead)).withColumns(
         {

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.config import APE, MONTHS_AHEAD, PREDICTION
-from stridecast.functions.dates import Day, as_date, day_column
+from stridecast.functions.dates import Day, as_date, day_column, on_or_after, through, typed
 from stridecast.functions.errors import absolute_error, percentage_error, squared_error
 
 # Days looked back on, and the percentage error that makes an outlier.
@@ -23,8 +23,8 @@ def _last_day(df: DataFrame, date: str, until: Day) -> Column:
 
 
 def _within(df: DataFrame, date: str, end: Column, days: int) -> DataFrame:
-    first = F.date_sub(end, days - 1)
-    return df.where((F.col(date) >= first) & (F.col(date) < F.date_add(end, 1)))
+    date = typed(df, date)
+    return df.where(on_or_after(date, F.date_sub(end, days - 1)) & through(date, end))
 
 
 def last_days(df: DataFrame, date: str, days: int = LAST_DAYS, until: Day = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.config import BASIC, FOLD_START_DAYS, FULL, MONTHS_AHEAD, UNSCORED, FeatureSpec
-from stridecast.functions.dates import Day, as_date, before
+from stridecast.functions.dates import Day, as_date, before, typed
 from stridecast.operators.folds import assign_fold, fold_rows, in_horizon
 from stridecast.operators.forest import FoldModel, importance_report, score
 from stridecast.operators.reports import month_report, prediction_metrics, tag_execution
@@ -50,7 +50,8 @@ def horizon_rows(
 ) -> DataFrame:
     """The rows of any fold, with the columns any model needs."""
     columns = dict.fromkeys([*_columns(spec), *spec.inputs()])
-    return data.select(*columns).where(in_horizon(spec.date, split, starts, months_ahead))
+    date = typed(data, spec.date)
+    return data.select(*columns).where(in_horizon(date, split, starts, months_ahead))
 
 
 def rows_to_score(
@@ -161,7 +162,7 @@ def predict(
         months = month_report(results, spec.date, spec.ids[0], spec.prediction)
         if root is not None and spec.target in data.columns:
             past = read_predictions(spark, root, spec.target, schema=results.schema)
-            known = data.where(before(spec.date, first_day) & F.col(spec.target).isNotNull())
+            known = data.where(before(typed(data, spec.date), first_day) & F.col(spec.target).isNotNull())
             past_errors = run_backtest(
                 past.where(before("dt_execution", first_day)),
                 known,

@@ -2,11 +2,13 @@ import calendar
 import datetime as dt
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 
 from stridecast.functions.dates import as_date
+from stridecast.operators import evaluate, folds, split
 from stridecast.operators.folds import assign_fold, fold_calendar, fold_rows
 from stridecast.operators.reports import tag_execution
+from stridecast.plans.backtest import last_days
 
 ENDS = {
     "2018-01-31": "2018-06-30",
@@ -107,3 +109,31 @@ def test_no_fold_goes_past_a_short_horizon(spark):
     for fold in range(6):
         counts.append(fold_rows(df, "d", split, fold, months_ahead=0).count())
     assert sum(counts) == assign_fold(df, "d", split, months_ahead=0).count() == 21
+
+
+def test_text_dates_give_the_same_rows_and_reach_the_scan(spark, root):
+    spark.range(400).selectExpr(
+        "id", "date_add(date'2018-01-01', cast(id % 200 as int)) as d"
+    ).selectExpr("id", "d", "cast(d as string) as s", "concat(d, ' 12:30:00') as s2").write.parquet(root + "/t")
+    df = spark.read.parquet(root + "/t")
+    for text in ("s", "s2"):
+        for fn, bounds in (
+            (lambda c: split.train_rows(df, c, "2018-03-01"), ["LessThan({},2018-03-01)"]),
+            (
+                lambda c: folds.assign_fold(df, c, "2018-03-01", months_ahead=1),
+                ["GreaterThanOrEqual({},2018-03-01)", "LessThan({},2018-05-01)"],
+            ),
+            (
+                lambda c: folds.fold_rows(df, c, "2018-03-01", 1),
+                ["GreaterThanOrEqual({},2018-03-09)", "LessThan({},2018-03-16)"],
+            ),
+            (
+                lambda c: evaluate.evaluation_rows(df, "id", "id", c, "2018-06-01"),
+                ["GreaterThanOrEqual({},2018-06-01)"],
+            ),
+        ):
+            assert rows(fn(text)) == rows(fn("d")) != []
+            assert all(b.format(text) in plan(fn(text)) for b in bounds)
+        cut = split.train_test(df, text, "2018-03-01")
+        assert rows(cut) == rows(split.train_test(df, "d", "2018-03-01"))
+        assert rows(last_days(df, text, 7)) == rows(last_days(df, "d", 7)) != []

@@ -128,3 +128,19 @@ def test_an_empty_rerun_leaves_nothing_behind(spark, root):
     write_predictions(df, root, "t", execution="2020-01-01")
     write_predictions(df.limit(0), root, "t", execution="2020-01-01")
     assert read_predictions(spark, root, "t", schema=df.schema).count() == 0
+
+
+def test_executions_that_cannot_reach_the_days_are_not_read(spark, root, actuals):
+    """Days from 2018-01-01 on: with five months ahead, executions from 2017-08 on reach them."""
+    made = spark.createDataFrame(
+        [(1, 10.0, "2017-07-31"), (1, 11.0, "2017-08-01"), (1, 12.0, "2018-03-31"), (1, 13.0, "2018-04-01")],
+        "id int, t_pred double, e string",
+    ).selectExpr("id", "t_pred", "to_date(e) as dt_execution")
+    write_predictions(made, root, "t")
+    past = read_predictions(spark, root, "t")
+    some = backtest(past, actuals, ["id"], "t", "d", until="2018-03-31")
+    line = next(x for x in plan(some).splitlines() if "PartitionFilters" in x)
+    assert "dt_execution" in line and "2017-08-01" in line and "2018-03-31" in line
+    assert [str(r.dt_execution) for r in some.orderBy("dt_execution").collect()] == ["2017-08-01", "2018-03-31"]
+    every = backtest(past, actuals, ["id"], "t", "d", until="2018-03-31", months_ahead=None)
+    assert every.count() == 4
