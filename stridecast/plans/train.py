@@ -189,7 +189,7 @@ def train(
     while one of them grows its last tree levels. ``fit_partitions`` fixes the
     number of partitions, which otherwise follows the size of the rows; with
     ``spread`` off, rows that are even already are not shuffled. Models are saved
-    below ``root`` if given.
+    below ``root`` if given. Training rows without the target are an error.
     """
     split = as_date(split)
     spark = data.sparkSession
@@ -199,6 +199,9 @@ def train(
     with staged(rows, "training") as table:
         rows = table.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            lost = rows.where(lacks(rows, [spec.target])).count()
+            if lost:
+                raise ValueError(f"{lost} training rows have no {spec.target}")
             models = fit_all(rows, spec, params, parallelism)
             metrics = _gathered(training_metrics(rows, spec, params, training_sample))
             errors = _gathered(training_error(models, rows, spec)) if checks else None

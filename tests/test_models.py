@@ -264,3 +264,10 @@ def test_features_per_split(value, expected):
 def test_bad_features_per_split(value):
     with pytest.raises(ValueError):
         subset_strategy(value)
+
+
+def test_training_rows_without_target_are_told(data):
+    poor = data.withColumn("t", F.expr("if(id % 500 = 1, null, t)"))
+    lost = poor.where(f"t is null and d < '{SPLIT}'").count()
+    with pytest.raises(ValueError, match=f"^{lost} training rows"):
+        train(poor, SPEC, SPLIT, PARAMS)
