@@ -6,29 +6,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.llm.tables import stage
+from stridecast.operators.lookup import attach
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _least(neighbours: DataFrame) -> DataFrame:
-    return neighbours.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
+def _with_least(links: DataFrame, neighbours: DataFrame) -> DataFrame:
+    """``links`` with ``least``: of their end ``a`` and its neighbours the smallest.
+
+    The smallest node of a large component has links to all of it: ``attach`` splits the
+    links of such a node, if they are not joined by a broadcast.
+    """
+    least = neighbours.groupBy("a").agg(
+        F.least(F.min("b"), F.col("a")).alias("least"), F.count(F.lit(1)).alias("n")
+    )
+    return attach(links, stage(least, "least"), ["a"], "n")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour."""
     near = _both_ways(edges)
-    larger = near.where("b > a")
-    return larger.join(_least(near), "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    return _with_least(near.where("b > a"), near).select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, are linked to the smallest."""
     smaller = edges.where("b < a")
-    least = smaller.groupBy("a").agg(F.min("b").alias("least"))
-    linked = smaller.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-    return linked.unionByName(least.select("a", F.col("least").alias("b")))
+    near = _with_least(smaller, smaller)
+    ends = F.explode(F.array("a", "b")).alias("a")
+    return near.select(ends, F.col("least").alias("b"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -44,8 +52,8 @@ def components(edges: DataFrame) -> DataFrame:
     )
     before = None
     while True:
-        links = _small_star(_large_star(edges)).where("a <> b").distinct()
-        edges = stage(links, "links")
+        large = stage(_large_star(edges), "large")
+        edges = stage(_small_star(large).where("a <> b").distinct(), "links")
         state = edges.agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")
         ).first()

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from stridecast.llm.components import components
 from stridecast.llm.tables import checked_broadcast, shuffle_partitions, stage
 from stridecast.llm.textbatch import Texts, texts_of
+from stridecast.operators.lookup import attach
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
 #: Runs of this many fingerprints in a cell are compared pair by pair, with all links given.
@@ -196,12 +197,13 @@ def near_duplicates(docs: DataFrame, key: list[str], text: str = "text", radius:
     prints = stage(fingerprints(docs, key, text), "fingerprints")
     # In many parts, since every point is entered in some 50 cells.
     parts = 2 * shuffle_partitions(docs.sparkSession)
-    points = stage(prints.select("fp").repartition(parts, "fp").distinct(), "points")
+    counted = prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
+    points = stage(counted.repartition(parts, "fp"), "points")
     found = stage(components(links(points, radius)), "components").select(
         F.col("node").alias("fp"), "root"
     )
-    roots = points.join(found, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
-    return prints.join(roots, "fp").select(*key, "fp", "root")
+    roots = points.join(found, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "n")
+    return attach(prints, stage(roots, "roots"), ["fp"], "n").select(*key, "fp", "root")
 
 
 def near_duplicate_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -210,8 +212,8 @@ def near_duplicate_groups(docs: DataFrame, text: str = "text", doc_id: str = "do
     alone has none."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     found = stage(near_duplicates(rows, ["doc_id"]), "near")
-    names = stage(found.groupBy("root").agg(F.min("doc_id").alias("component_id")), "names")
-    return found.join(names, "root").select(
+    names = found.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    return attach(found, stage(names, "names"), ["root"], "n").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 

@@ -122,6 +122,18 @@ def test_components_of_a_long_chain(spark):
     assert found == {**dict.fromkeys(range(101), 0), 400: 400, 500: 400}
 
 
+def test_components_of_a_hot_node(spark, monkeypatch):
+    from functools import partial
+
+    from stridecast.llm import components as module
+
+    # Nothing broadcast, and a node of more than 20 links is split.
+    monkeypatch.setattr(module, "attach", partial(module.attach, broadcast_bytes=-1, rows_per_task=20))
+    hub = [(3, i) for i in range(10, 400)] + [(i, i + 1) for i in range(1000, 1005)] + [(1003, 1005)]
+    found = {r["node"]: r["root"] for r in module.components(spark.createDataFrame(hub, "a bigint, b bigint")).collect()}
+    assert found == {3: 3, **dict.fromkeys(range(10, 400), 3), **dict.fromkeys(range(1000, 1006), 1000)}
+
+
 def test_substrings(docs, cases):
     assert by_id(substring.substring_dedup(docs), "n_words", "n_removed", "kept_sha256") == brute.repeats(cases)
 
