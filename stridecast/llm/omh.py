@@ -157,9 +157,10 @@ def fingerprinted(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     n = 4 * shuffle_partitions(spark)
-    cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n)).first()[0] or []
+    ranges = rows.select("doc_id").where("doc_id IS NOT NULL").repartitionByRange(n, "doc_id")
+    cuts = ranges.withColumn("range", F.spark_partition_id()).groupBy("range").agg(F.min("doc_id").alias("cut"))
     infinity = float("inf")
-    splits = [-infinity, *(sorted({float(c) for c in cuts}) or [0.0]), infinity]
+    splits = [-infinity, *(sorted({float(r["cut"]) for r in cuts.collect()}) or [0.0]), infinity]
     bucketizer = Bucketizer(splits=splits, inputCol="id", outputCol="bucket")
 
     def bucketed(df: DataFrame) -> DataFrame:
