@@ -33,8 +33,8 @@ from stridecast.llm.textbatch import BASES, Spans, Texts, Words, texts_of
 
 WINDOW, ANCHOR = 50, 8
 BLOCK = WINDOW // 2
-#: Aims per task of step 3: phrases in an automaton, pieces of text that it reads.
-PHRASES, PIECES = 100_000, 50_000
+#: Aims per task of step 3: phrases in an automaton, pieces of text that it reads, their bytes.
+PHRASES, PIECES, PIECE_BYTES = 100_000, 50_000, 32_000_000
 #: So many shards' sizes are broadcast at most.
 BROADCAST_SHARDS = 200_000
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -310,9 +310,11 @@ def _spans(texts: DataFrame, phrases: DataFrame, shards: int) -> DataFrame:
         ),
         "pieces",
     )
+    # A phrase that a text repeats over and over makes one long piece.
+    crowding = (F.count(F.lit(1)) / PIECES, F.sum(F.octet_length("piece")) / PIECE_BYTES)
     sizes = (
         pieces.groupBy("shard")
-        .agg(F.ceil(F.count(F.lit(1)) / PIECES).cast("int").alias("salts"))
+        .agg(F.ceil(F.greatest(*crowding)).cast("int").alias("salts"))
         .join(
             phrases.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / PHRASES).cast("int").alias("parts")), "shard"
         )

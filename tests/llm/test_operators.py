@@ -141,6 +141,7 @@ def test_substrings(docs, cases):
 def test_substrings_in_split_shards(docs, cases, monkeypatch):
     monkeypatch.setattr(substring, "PIECES", 2)
     monkeypatch.setattr(substring, "PHRASES", 3)
+    monkeypatch.setattr(substring, "PIECE_BYTES", 500)
     assert by_id(substring.substring_dedup(docs), "n_words", "n_removed", "kept_sha256") == brute.repeats(cases)
 
 
