@@ -10,6 +10,9 @@ One row per band and ``BANDS`` bands: where a template is contained to 0.8, its
 similarity with the window is at least 0.8 n / (2 m + 0.2 n) > 0.19 (n shingles, m the
 next power of two), and all bands miss with a probability below 0.81**64 < 2e-6. A window
 without any shingle of a template has no band in common with one and is not hashed.
+
+A template of fewer than five words is one shingle of its own length: it is looked up
+among all runs of so many words and matches where all its words are there, in order.
 """
 
 from __future__ import annotations
@@ -22,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stridecast.llm.textbatch import Spans, Texts, mix, texts_of
+from stridecast.llm.textbatch import Spans, Texts, Words, mix, texts_of
 
 SHINGLE, LIKENESS, BANDS = 5, 0.8, 64
 
 # Standard wording of public licenses and notices (fixed values).
 TEMPLATES = {
+    "all-rights-reserved-line": "All rights reserved.",
     "apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-notice": (
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
@@ -51,6 +55,15 @@ TEMPLATES = {
     ),
     "mit-line": "Released under the MIT License.",
     "mpl-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "spdx-apache-2.0": "SPDX-License-Identifier: Apache-2.0",
+    "spdx-bsd-3-clause": "SPDX-License-Identifier: BSD-3-Clause",
+    "spdx-cc-by-4.0": "SPDX-License-Identifier: CC-BY-4.0",
+    "spdx-cc-by-nc-4.0": "SPDX-License-Identifier: CC-BY-NC-4.0",
+    "spdx-gpl-3.0-only": "SPDX-License-Identifier: GPL-3.0-only",
+    "spdx-gpl-3.0-or-later": "SPDX-License-Identifier: GPL-3.0-or-later",
+    "spdx-mit": "SPDX-License-Identifier: MIT",
+    "spdx-mpl-2.0": "SPDX-License-Identifier: MPL-2.0",
+    "spdx-tag": "SPDX-License-Identifier:",  # of any license, also of those above
     "warranty": (
         "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
         "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT"
@@ -71,12 +84,21 @@ def folded(texts: Texts) -> Texts:
     return Texts(_FOLD[texts.data[kept]], before[texts.bounds], texts.first)
 
 
+def runs(words: Words, hashes: Spans, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """First words of all runs of ``length`` words that stay in one text, and their hashes."""
+    start = words.runs(length)
+    return start, hashes(start, start + length)
+
+
 def shingles(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all shingles, and where each text's begin; below five words none."""
     words = texts.words()
-    start = words.runs(SHINGLE)
-    hashes = Spans(words.hashes())(start, start + SHINGLE)
-    return hashes, np.searchsorted(words.text[start], np.arange(len(texts) + 1))
+    return _shingles(words, Spans(words.hashes()))
+
+
+def _shingles(words: Words, hashes: Spans) -> tuple[np.ndarray, np.ndarray]:
+    start, found = runs(words, hashes, SHINGLE)
+    return found, np.searchsorted(words.text[start], np.arange(len(words.count) + 1))
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
@@ -84,22 +106,33 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 
 
 class Templates:
-    """Templates by size class (a power of two), with their shingles and bands."""
+    """Templates by size class (a power of two), with their shingles and bands; those of
+    fewer words than a shingle by their number of words, with the hash of all words."""
 
     def __init__(self, texts: Mapping[str, str]):
-        self.names = sorted(texts)
+        self.names: list[str] = []
+        self.short: dict[int, dict[int, list[str]]] = defaultdict(lambda: defaultdict(list))
         self.shingles: list[np.ndarray] = []
         self.bands: dict[int, dict[tuple[int, int], list[int]]] = defaultdict(lambda: defaultdict(list))
-        for i, name in enumerate(self.names):
+        for name in sorted(texts):
             (text,) = texts_of(pa.array([texts[name]]))
-            own = np.unique(shingles(folded(text))[0])
-            if not len(own):
-                raise ValueError(f"template {name} has fewer than {SHINGLE} words")
+            words = folded(text).words()
+            hashes = Spans(words.hashes())
+            n = len(words.start)
+            if not n:
+                raise ValueError(f"template {name} has no words")
+            if n < SHINGLE:
+                self.short[n][int(runs(words, hashes, n)[1][0])].append(name)
+                continue
+            i = len(self.names)
+            self.names.append(name)
+            own = np.unique(_shingles(words, hashes)[0])
             self.shingles.append(own)
             size = 1 << (len(own) - 1).bit_length()
             for band, value in enumerate(signature(own).tolist()):
                 self.bands[size][band, value].append(i)
         self.bands = {size: dict(bands) for size, bands in self.bands.items()}
+        self.short = {n: dict(sorted(names.items())) for n, names in self.short.items()}
         self.all = np.unique(np.concatenate(self.shingles)) if self.shingles else np.zeros(0, np.uint64)
 
     def matches(self, own: np.ndarray) -> dict[int, tuple[float, int, int]]:
@@ -124,6 +157,27 @@ class Templates:
                         found[t] = (share, int(at[0]), int(at[-1]))
         return found
 
+    def found(self, texts: Texts) -> list[tuple[int, str, float, int, int]]:
+        """Of folded texts: text, template, containment, first and last word, in order."""
+        words = texts.words()
+        spans = Spans(words.hashes())
+        hashes, bounds = _shingles(words, spans)
+        out = []
+        for i in range(len(texts)):
+            for t, (share, a, b) in self.matches(hashes[bounds[i] : bounds[i + 1]]).items():
+                out.append((i, self.names[t], share, a, b + SHINGLE - 1))
+        for n, names in self.short.items():
+            start, hashes = runs(words, spans, n)
+            known = np.fromiter(names, np.uint64, len(names))
+            at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            hits = np.flatnonzero(known[at] == hashes)
+            text = words.text[start[hits]]
+            _, once = np.unique(text * len(known) + at[hits], return_index=True)
+            for i, k, word in zip(text[once], at[hits][once], start[hits][once], strict=True):
+                first = int(word - words.bounds[i])
+                out += [(int(i), name, 1.0, first, first + n - 1) for name in names[int(known[k])]]
+        return sorted(out)
+
 
 def licenses(
     docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, text: str = "text", doc_id: str = "doc_id"
@@ -132,8 +186,9 @@ def licenses(
     first_word, last_word``.
 
     The words, counted from 0, are those from the first to the last matching shingle of
-    the best window; of equal windows the first counts. Null, empty and short texts
-    match nothing. Repeated rows are reported each.
+    the best window; of equal windows the first counts. A template of fewer than five
+    words matches as a whole, and its first place counts. Null and empty texts match
+    nothing. Repeated rows are reported each.
     """
     prepared = Templates(templates)
 
@@ -141,14 +196,12 @@ def licenses(
         for batch in batches:
             rows, names, shares, first, last = [], [], [], [], []
             for texts in texts_of(batch.column(1)):
-                hashes, bounds = shingles(folded(texts))
-                for i in range(len(texts)):
-                    for t, (share, a, b) in sorted(prepared.matches(hashes[bounds[i] : bounds[i + 1]]).items()):
-                        rows.append(texts.first + i)
-                        names.append(prepared.names[t])
-                        shares.append(share)
-                        first.append(a)
-                        last.append(b + SHINGLE - 1)
+                for i, name, share, a, b in prepared.found(folded(texts)):
+                    rows.append(texts.first + i)
+                    names.append(name)
+                    shares.append(share)
+                    first.append(a)
+                    last.append(b)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(rows, pa.int64())),

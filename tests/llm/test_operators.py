@@ -3,6 +3,7 @@
 import hashlib
 import os
 import random
+import re
 
 import brute
 import numpy as np
@@ -254,6 +255,29 @@ def test_licenses_equal_brute_force(given):
         assert set(prepared.matches(own)) == expected
 
 
+def test_short_notices(spark):
+    lines = ["All rights reserved.", "SPDX-License-Identifier: MIT", "Released under the MIT License."]
+    texts = [prose(2, 9) + "\n" + a for a in lines]
+    texts += ["(c) 2020 ALL RIGHTS RESERVED; all rights reserved", "// SPDX-License-Identifier: X-1", "all rights", "All rights\tare reserved"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = sorted(tuple(r) for r in license.licenses(df).collect())
+    assert found == [
+        (0, "all-rights-reserved-line", 1.0, 9, 11),
+        (1, "spdx-mit", 1.0, 9, 10),
+        (1, "spdx-tag", 1.0, 9, 9),
+        (2, "mit-line", 1.0, 9, 13),
+        (3, "all-rights-reserved-line", 1.0, 2, 4),
+        (4, "spdx-tag", 1.0, 0, 0),
+    ]
+
+
+def test_given_notice_lines_are_found(spark, given):
+    notice = re.compile(r"licensed under|released under|rights reserved|spdx-license", re.IGNORECASE)
+    wanted = {d for d, t in given if t and notice.search(t.split("\n")[-1])}
+    found = {r["doc_id"] for r in license.licenses(spark.createDataFrame(given, "doc_id bigint, text string")).collect()}
+    assert wanted and wanted <= found
+
+
 def test_languages(spark, docs, cases):
     out = by_id(langid.predict(docs, langid.fit(docs)), "lang_pred", "score")
     assert {out[d][0] for d, t in cases if any(c.isalpha() for c in t or "")} == {"en"}
