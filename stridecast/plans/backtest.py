@@ -15,6 +15,9 @@ from stridecast.functions.errors import absolute_error, percentage_error, square
 LAST_DAYS = 90
 OUTLIER = 100
 
+#: Of the horizon of past executions nothing is known but the days they carry.
+BY_DAY = "by day"
+
 
 def _last_day(df: DataFrame, date: str, until: Day) -> Column:
     if until is None:
@@ -40,16 +43,19 @@ def matched(
     date: str,
     days: int = LAST_DAYS,
     until: Day = None,
-    months_ahead: int | None = None,
+    months_ahead: int | str | None = None,
 ) -> DataFrame:
     """Predictions for the last ``days`` days of actual values, with these values.
 
     Rows meet on the ids, and on the day where the predictions carry it. Then both
     sides are cut to those days before the join. An execution reaches from its day to
     the end of the month ``months_ahead`` later; where that is given, executions that
-    cannot reach those days are not read.
+    cannot reach those days are not read. ``BY_DAY`` leaves it to the days that the
+    predictions carry, whatever their horizon was; if they carry none it is ``MONTHS_AHEAD``.
     """
     end = _last_day(actuals, date, until)
+    if months_ahead == BY_DAY:
+        months_ahead = None if date in predictions.columns else MONTHS_AHEAD
     if months_ahead is not None:
         earliest = F.add_months(F.trunc(F.date_sub(end, days - 1), "month"), -months_ahead)
         made_on = F.col("dt_execution")
@@ -76,13 +82,14 @@ def backtest(
     last_execution: Day = None,
     remove_outliers: bool = True,
     outlier: float = OUTLIER,
-    months_ahead: int | None = MONTHS_AHEAD,
+    months_ahead: int | str | None = BY_DAY,
 ) -> DataFrame:
     """MAPE, MAE and MSE per execution over the last ``days`` days of actual values.
 
     With ``remove_outliers``, rows whose percentage error exceeds ``outlier`` are
     left out of the means and counted apart. ``months_ahead`` is the longest horizon of
-    the executions; None reads them all.
+    the executions; None reads them all. By default predictions that carry the day are
+    judged whatever their horizon was, and others up to ``MONTHS_AHEAD``.
     """
     if executions is not None:
         wanted = [as_date(d) for d in executions]

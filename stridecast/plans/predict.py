@@ -131,7 +131,8 @@ def predict(
     ``csv`` writes the predictions as CSV as well. Without ``root`` all is lazy.
     ``keys`` identify a row for the duplicate check. With ``checks``, ``root`` and the
     target in ``data``, the executions before ``first_day`` that are below ``root`` are
-    judged too, on the rows of ``data`` before that day that have the target.
+    judged too, on the rows of ``data`` before that day that have the target, whatever
+    horizon they were made with.
     """
     spark = data.sparkSession
     first_day = as_date(first_day)
@@ -164,11 +165,6 @@ def predict(
             past = read_predictions(spark, root, spec.target, schema=results.schema)
             known = data.where(before(typed(data, spec.date), first_day) & F.col(spec.target).isNotNull())
             past_errors = run_backtest(
-                past.where(before("dt_execution", first_day)),
-                known,
-                spec.ids,
-                spec.target,
-                spec.date,
-                months_ahead=months_ahead,
+                past.where(before("dt_execution", first_day)), known, spec.ids, spec.target, spec.date
             )
     return Prediction(results, report, metrics, months, past_errors)

@@ -10,6 +10,7 @@ from stridecast.operators.reports import prediction_metrics
 from stridecast.plans.predict import horizon_rows, predict, predictions, rows_to_score
 from stridecast.plans.train import fit_fold, train, training_set
 from stridecast.sources.artifacts import execution_path, load_models
+from stridecast.sources.results import write_predictions
 
 SPLIT = "2018-06-01"
 SPEC = FeatureSpec(
@@ -170,6 +171,15 @@ def test_past_executions_are_judged(data, training, tmp_path):
     ).count()
 
 
+def test_past_executions_of_any_horizon_are_judged(data, training, tmp_path):
+    root = str(tmp_path)
+    june = predict(data, SPEC, SPLIT, models=training.models, root=root).results
+    write_predictions(june, root, SPEC.target, execution="2017-10-15")
+    out = predict(data, SPEC, "2018-07-01", models=training.models, root=root, checks=True)
+    early, late = out.backtest.orderBy("dt_execution").collect()
+    assert (str(early.dt_execution), early.row_count) == ("2017-10-15", late.row_count)
+
+
 def test_lost_rows_show_up(data, training):
     """The test sets are counted at their source, not in the results."""
     out = predict(data, SPEC, SPLIT, models=training.models, checks=True)

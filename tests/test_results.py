@@ -144,3 +144,14 @@ def test_executions_that_cannot_reach_the_days_are_not_read(spark, root, actuals
     assert [str(r.dt_execution) for r in some.orderBy("dt_execution").collect()] == ["2017-08-01", "2018-03-31"]
     every = backtest(past, actuals, ["id"], "t", "d", until="2018-03-31", months_ahead=None)
     assert every.count() == 4
+
+
+def test_executions_of_a_longer_horizon_are_judged(spark, actuals):
+    made = spark.createDataFrame(
+        [(1, 10.0, "2018-03-01", "2017-03-15"), (1, 12.0, "2018-03-01", "2018-02-01")],
+        "id int, t_pred double, d string, e string",
+    ).selectExpr("id", "t_pred", "to_date(d) as d", "to_date(e) as dt_execution")
+    got = backtest(made, actuals, ["id"], "t", "d", until="2018-03-31")
+    assert {str(r.dt_execution): r.mae for r in got.collect()} == {"2017-03-15": 0.0, "2018-02-01": 2.0}
+    bounded = backtest(made, actuals, ["id"], "t", "d", until="2018-03-31", months_ahead=5)
+    assert [str(r.dt_execution) for r in bounded.collect()] == ["2018-02-01"]
