@@ -7,7 +7,8 @@ put on the scale of the labels by a logistic fit.
 
 Labels are known for documents, so in training all lines carry their document's label;
 what a line alone cannot tell is left to its neighbours and to the average. The field
-is fitted on about ``SAMPLE_DOCS`` labelled documents, chosen by a hash.
+is fitted on about ``SAMPLE_DOCS`` labelled documents, chosen by a hash, of at most
+``SAMPLE_LINES`` lines in all. Every document is scored, whatever its length.
 """
 
 from __future__ import annotations
@@ -20,13 +21,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stridecast.llm.tables import held_out
+from stridecast.llm.tables import held_out, text_or_empty
 from stridecast.llm.textbatch import Spans, Texts, texts_of
 
 #: Expected labelled documents that the field is fitted on, and steps of the fit.
 SAMPLE_DOCS, STEPS, RATE, PENALTY = 4000, 300, 0.05, 1e-3
 THRESHOLD = 0.3
 
+#: Most lines of all documents that the field is fitted on: about 600 bytes each on the
+#: driver. Whole documents are picked, in the order of the hash, while they fit.
+SAMPLE_LINES = 400_000
+#: Texts of more lines are worked on in pieces of so many, side by side.
+PIECE = 1024
+
 _KIND = np.full(256, 0, np.uint8)  # 0: other control characters
 _KIND[[0x20, *range(0x09, 0x0E)]] = 1
 _KIND[ord("0") : ord("9") + 1] = 2
@@ -97,20 +104,59 @@ def _step(message: np.ndarray, t: np.ndarray) -> np.ndarray:
     return np.logaddexp(message + t[1, 1], t[0, 1]) - np.logaddexp(message + t[1, 0], t[0, 0])
 
 
-def messages(unary: np.ndarray, bounds: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Forward log-odds (with the line's own) and backward log-odds (without) of all lines."""
-    count = np.diff(bounds)
+def _walk(out: np.ndarray, unary: np.ndarray, first: np.ndarray, count: np.ndarray, t: np.ndarray) -> None:
+    """Forward log-odds of runs of lines, of which those of the first lines are there."""
     order = np.argsort(-count, kind="stable")
-    first, count = bounds[:-1][order], count[order]
-    forward, backward = unary.copy(), np.zeros_like(unary)
+    first, count = first[order], count[order]
     longest = int(count[0]) if len(count) else 0
-    alive = np.searchsorted(-count, -np.arange(longest), side="left")  # texts with more lines
+    alive = np.searchsorted(-count, -np.arange(longest), side="left")  # runs with more lines
     for i in range(1, longest):
         at = first[: alive[i]] + i
-        forward[at] = unary[at] + _step(forward[at - 1], t)
-    for i in range(longest - 2, -1, -1):
-        at = first[: alive[i + 1]] + i
-        backward[at] = _step(unary[at + 1] + backward[at + 1], t.T)
+        out[at] = unary[at] + _step(out[at - 1], t)
+
+
+def _across(unary: np.ndarray, first: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Log weights ``[before, last, piece]`` of the ways through whole pieces."""
+    ways = np.repeat(t[:, :, None], len(first), axis=2)
+    for i in range(PIECE):
+        if i:
+            ways = np.logaddexp(ways[:, :1] + t[0][:, None], ways[:, 1:] + t[1][:, None])
+        ways[:, 1] += unary[first + i]
+    return ways
+
+
+def _forward(unary: np.ndarray, bounds: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Forward log-odds (with the line's own) of all lines."""
+    out, first, count = unary.copy(), bounds[:-1], np.diff(bounds)
+    _walk(out, unary, first, np.minimum(count, PIECE), t)
+    pieces = -(-count // PIECE)
+    more = np.flatnonzero(pieces > 1)
+    if not len(more):
+        return out
+    text = np.repeat(more, pieces[more] - 1)  # of all pieces but the first ones
+    number = np.concatenate([np.arange(1, n) for n in pieces[more]])
+    begin = first[text] + number * PIECE
+    length = np.minimum(bounds[1:][text] - begin, PIECE)
+    ways = np.zeros((2, 2, len(begin)))
+    whole = length == PIECE
+    ways[:, :, whole] = _across(unary, begin[whole], t)
+    message = out[begin - number * PIECE + PIECE - 1]  # from the text's first piece
+    for k in range(len(begin)):
+        if number[k] > 1:
+            message[k] = _step(message[k - 1], ways[:, :, k - 1])
+    out[begin] = unary[begin] + _step(message, t)
+    _walk(out, unary, begin, length, t)
+    return out
+
+
+def messages(unary: np.ndarray, bounds: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward log-odds (with the line's own) and backward log-odds (without) of all lines."""
+    forward, backward = _forward(unary, bounds, t), np.zeros_like(unary)
+    own = _forward(unary[::-1], len(unary) - bounds[::-1], t.T)[::-1]
+    inner = np.ones(len(unary), bool)
+    inner[bounds[1:] - 1] = False
+    here = np.flatnonzero(inner)
+    backward[here] = _step(own[here + 1], t.T)
     return forward, backward
 
 
@@ -206,10 +252,24 @@ def _sampled_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
+def _beyond(drawn: list) -> list:
+    """Ids of the drawn documents (``label_id, lines, draw``) that no longer fit."""
+    left, beyond = SAMPLE_LINES, []
+    for r in sorted(drawn, key=lambda r: (r["draw"], r["label_id"])):
+        if r["lines"] <= left:
+            left -= r["lines"]
+        else:
+            beyond.append(r)
+    if len(beyond) == len(drawn) and drawn:
+        beyond.remove(min(beyond, key=lambda r: (r["lines"], r["draw"])))
+    return [r["label_id"] for r in beyond]
+
+
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Field | None:
     """A field from the labelled documents that are not held out; None if there are none.
 
-    The features of the sample's lines come to the driver. Of repeated labels of one id
+    The features of the sample's lines come to the driver, at most ``SAMPLE_LINES``; a
+    longer document is not learned from, unless all are longer: then the shortest is. Of repeated labels of one id
     the larger counts; null labels are left out.
     """
     known = (
@@ -224,6 +284,10 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     draw = F.pmod(F.xxhash64(F.lit("quality"), "label_id"), F.lit(1 << 20))
     chosen = known.where(draw < min(1.0, SAMPLE_DOCS / n) * (1 << 20))
     rows = docs.select(F.col(doc_id).alias("label_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "label_id")
+    lines = rows.groupBy("label_id").agg(F.sum(F.regexp_count(text_or_empty(), F.lit("\n")) + 1).alias("lines"))
+    left_out = _beyond(lines.withColumn("draw", draw).collect())
+    if left_out:
+        rows = rows.where(~F.col("label_id").isin(left_out))
     sample = (
         rows.select("quality", "text")
         .mapInArrow(_sampled_lines, "quality int, features binary, length binary")

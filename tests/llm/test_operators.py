@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import zlib
 
 import brute
 import numpy as np
@@ -322,6 +323,33 @@ def test_marginals_equal_enumeration():
         assert found[a:b] == pytest.approx(good / weight)
 
 
+def test_messages_of_long_texts(monkeypatch):
+    rng = np.random.default_rng(6)
+    bounds = np.cumsum([0, 1, 7, 4, 29, 8, 12, 3])
+    unary, t = rng.normal(size=bounds[-1]), rng.normal(size=(2, 2))
+    whole = quality.messages(unary, bounds, t)
+    monkeypatch.setattr(quality, "PIECE", 4)
+    assert np.allclose(whole, quality.messages(unary, bounds, t))
+    monkeypatch.undo()
+    steps, step = [], quality._step
+    monkeypatch.setattr(quality, "_step", lambda *a: steps.append(1) or step(*a))
+    quality.messages(rng.normal(size=100_000), np.array([0, 100_000]), t)
+    assert len(steps) < 5_000
+
+
+def test_the_fit_is_bounded_in_lines(spark, monkeypatch):
+    texts = ["a b\n" * 5 + prose(i, 5) for i in range(40)] + ["x\n" * 5_000]
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5][: len(texts)]
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in ids], "doc_id bigint, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda f, n, bounds, y: seen.append(np.diff(bounds).tolist()))
+    for most in (6_000, 100, 3):
+        monkeypatch.setattr(quality, "SAMPLE_LINES", most)
+        quality.fit(docs, labels)
+    assert seen == [[6] * 40 + [5_001], [6] * 16, [6]]
+
+
 def test_quality_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert {r["score"] for r in quality.scored(docs, none).collect()} == {0.5}
