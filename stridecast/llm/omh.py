@@ -1,7 +1,9 @@
 """Fingerprints by Order MinHash, which follow the edit distance.
 
 The k-mers of a text are ``K`` consecutive words, each numbered by how often it has
-occurred before, so that repeats count. Every one of ``HASHES`` hash functions selects
+occurred before, so that repeats count. A word of more than ``LONG_WORD`` bytes counts
+as so many words of one code point, so that texts without white space (Chinese,
+Japanese, Thai, encoded data) have k-mers as others do. Every one of ``HASHES`` hash functions selects
 the ``PICKED`` k-mers with the smallest values, keeps them in the order of the text and
 hashes that tuple. Two texts are alike by the share of equal tuples: moved passages
 lower it as changed ones do.
@@ -25,24 +27,43 @@ from stridecast.llm.tables import shuffle_partitions
 from stridecast.llm.textbatch import Spans, Texts, mix, texts_of
 
 K, PICKED, HASHES = 2, 2, 64
+LONG_WORD = 48
 #: k-mers of one text that are hashed at a time.
 PART = 1 << 14
 
 _MULTIPLIERS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
+def _units(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words, or code points of long words, and where each text's begin."""
+    words = texts.words()
+    long = words.end - words.start > LONG_WORD
+    if not long.any():
+        return words.hashes(), words.bounds
+    edges = np.zeros(len(texts.data) + 1, np.int8)
+    np.add.at(edges, words.start[long], 1)
+    np.add.at(edges, words.end[long], -1)
+    points = np.flatnonzero((np.cumsum(edges[:-1], dtype=np.int8) > 0) & (texts.data & 0xC0 != 0x80))
+    word_end = words.end[long][np.searchsorted(words.start[long], points, side="right") - 1]
+    ends = np.minimum(np.append(points[1:], len(texts.data)), word_end)
+    start = np.concatenate([words.start[~long], points])
+    order = start.argsort(kind="stable")
+    start, end = start[order], np.concatenate([words.end[~long], ends])[order]
+    return Spans(texts.data.astype(np.uint64) + np.uint64(1))(start, end), np.searchsorted(start, texts.bounds)
+
+
 def _kmers(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all numbered k-mers, and where each text's begin.
 
     A text of fewer than ``K`` words has one k-mer, of all its words.
     """
-    words = texts.words()
-    hashes = words.hashes()
-    count = np.where(words.count > 0, np.maximum(words.count - K + 1, 1), 0)
+    hashes, units = _units(texts)
+    count = np.diff(units)
+    count = np.where(count > 0, np.maximum(count - K + 1, 1), 0)
     text = np.repeat(np.arange(len(texts)), count)
     bounds = np.append(0, np.cumsum(count))
-    start = words.bounds[text] + np.arange(bounds[-1]) - bounds[text]
-    grams = Spans(hashes)(start, np.minimum(start + K, words.bounds[text + 1]))
+    start = units[text] + np.arange(bounds[-1]) - bounds[text]
+    grams = Spans(hashes)(start, np.minimum(start + K, units[text + 1]))
     order = np.lexsort((grams, text))
     sorted_grams, sorted_text = grams[order], text[order]
     new = np.append(True, (sorted_grams[1:] != sorted_grams[:-1]) | (sorted_text[1:] != sorted_text[:-1]))

@@ -237,6 +237,17 @@ def test_fingerprint_picks_the_smallest_in_text_order():
     assert 0.2 < (a == b).mean() < 0.9  # the same words in another order are not the same
 
 
+def test_fingerprints_follow_edits_without_white_space():
+    draw = random.Random(3)
+    text = "".join(chr(0x4E00 + draw.randrange(2_000)) for _ in range(1_000))
+    some = text[:500] + "\u3002" + text[510:]
+    other = "".join(chr(0x4E00 + draw.randrange(2_000)) for _ in range(1_000))
+    own, near, far, *mixed = omh.sketch_of([text, some, other, "a b " + text, "a b", "a b c" * 10])
+    assert (own == near).mean() > 0.8 and (own == far).mean() < 0.1 and (own == mixed[0]).mean() > 0.8
+    (texts,) = texts_of(pa.array(["ab " + "x\u00fc" * 20 + " c", "", "y" * 49, "y" * 48]))
+    assert omh._units(texts)[1].tolist() == [0, 42, 42, 91, 92]
+
+
 def test_licenses(docs):
     out = license.licenses(docs).collect()
     assert [(r["license"], r["containment"], r["first_word"], r["last_word"]) for r in out] == [("mit-line", 1.0, 0, 4)]
