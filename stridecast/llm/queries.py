@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stridecast.llm import (
     exact_dedup,
+    fim,
     langid,
     license,
     mixing,
@@ -86,4 +87,13 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
-ORACLE_SQL = {"op3_exact_dedup": exact_dedup.ORACLE, "op10_mixing": mixing.ORACLE}
+@query
+def op13_fim(spark, sf_dir):
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = {
+    "op3_exact_dedup": exact_dedup.ORACLE,
+    "op10_mixing": mixing.ORACLE,
+    "op13_fim": fim.ORACLE,
+}
