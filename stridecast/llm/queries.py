@@ -18,6 +18,7 @@ from stridecast.llm import (
     sharding,
     simhash,
     substring,
+    warc,
 )
 from stridecast.llm.tables import table
 
@@ -87,6 +88,11 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_warc(spark, sf_dir):
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
 @query
 def op13_fim(spark, sf_dir):
     return fim.digests(table(spark, sf_dir, "documents"))
@@ -95,5 +101,6 @@ def op13_fim(spark, sf_dir):
 ORACLE_SQL = {
     "op3_exact_dedup": exact_dedup.ORACLE,
     "op10_mixing": mixing.ORACLE,
+    "op11_warc": warc.ORACLE,
     "op13_fim": fim.ORACLE,
 }
