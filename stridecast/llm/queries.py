@@ -19,6 +19,7 @@ from stridecast.llm import (
     simhash,
     substring,
     warc,
+    whitening,
 )
 from stridecast.llm.tables import table
 
@@ -93,6 +94,11 @@ def op11_warc(spark, sf_dir):
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+@query
+def op12_whitening(spark, sf_dir):
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_fim(spark, sf_dir):
     return fim.digests(table(spark, sf_dir, "documents"))
