@@ -38,6 +38,8 @@ PLAIN_PERCENT, SPM_PERCENT = 10, 20
 #: Bytes of a piece, and bytes of a text that are looked at together.
 PIECE_BYTES = 1 << 16
 LOOK_BYTES = 1 << 20
+#: Bytes of text that are dealt to one task of the sort, on average at most.
+TASK_BYTES = 1 << 26
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
@@ -152,7 +154,13 @@ def by_document(key: tuple) -> int:
 
 
 def sorted_pieces(docs: DataFrame, text: str, doc_id: str) -> RDD:
-    """``((row, place), (header of the first piece, bytes))`` in the order of the outputs."""
+    """``((row, place), (header of the first piece, bytes))`` in the order of the outputs.
+
+    The texts are measured first: a sort of an RDD is not planned anew while it runs, so
+    its number of tasks has to follow from the bytes.
+    """
+    size = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    tasks = max(shuffle_partitions(docs.sparkSession), -(-size // TASK_BYTES))
 
     def emit(rows: Iterator) -> Iterator[tuple]:
         for row, own, raw in rows:
@@ -165,9 +173,7 @@ def sorted_pieces(docs: DataFrame, text: str, doc_id: str) -> RDD:
         F.col(doc_id).cast("long").alias("own"),
         F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("raw"),
     )
-    return rows.rdd.mapPartitions(emit).repartitionAndSortWithinPartitions(
-        shuffle_partitions(docs.sparkSession), by_document
-    )
+    return rows.rdd.mapPartitions(emit).repartitionAndSortWithinPartitions(tasks, by_document)
 
 
 def _documents(pairs: Iterator[tuple]) -> Iterator[tuple[int, Header, Iterator[bytes]]]:
