@@ -3,18 +3,21 @@
 Every task keeps an array of levels: how many open sequences are filled to each level.
 A document goes to the level that makes the sum of the squared counts smallest, which
 keeps few sequences open and their levels spread, so that later documents fit. A
-document's parts of a whole sequence are cut off first. When a task ends, or more than
-``MOST_OPEN`` sequences are open, what the open sequences hold is laid end to end and
-cut into full ones; the last remainder is cut into powers of two, which need no padding.
+document's parts of a whole sequence are cut off first.
+
+No more than ``MOST_OPEN`` sequences stay open. Beyond, one sequence of the most crowded
+level is given up to fill another of that level, cut if it does not fit as a whole; all
+others keep their places, and the array goes on. When a task ends, what the open
+sequences hold is laid end to end and cut into full ones; the last remainder is cut into
+powers of two, which need no padding.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,30 +25,130 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stridecast.llm.textbatch import texts_of
+from stridecast.llm.textbatch import (
+    CHUNK_BYTES,
+    Texts,
+    texts_of,
+    unique_spans,
+    unrolled,
+    word_pieces,
+)
 
 CAPACITY, END = 4096, 2
 #: Sequences that a task holds open at most: their ids are all it keeps in memory.
 MOST_OPEN = 1024
-#: Words and parts of words whose ids a Python worker remembers at most (about 200 bytes each).
-REMEMBERED = 700_000
+#: Parts of words whose ids a Python worker remembers at most (about 200 bytes each).
+REMEMBERED = 400_000
+#: Bytes of text whose words are made unique together.
+TOGETHER_BYTES = 8_000_000
 
 # The tokenizer's own way to cut text into words, for ASCII and Latin-1 letters only
-# (fixed values); words with any other character go through the tokenizer whole.
-_LETTERS = "a-zß-öø-ÿ"
-_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+# (fixed values): contractions, runs of letters, single digits, runs of other characters.
+# Words with any other character go through the tokenizer whole.
+_CONTRACTIONS = (b"'s", b"'t", b"'re", b"'ve", b"'m", b"'ll", b"'d")
+_LATIN = 0xC3  # first byte of the letters from U+00C0 to U+00FF; second bytes:
+_SIGNS = (0x97, 0xB7)  # no letters
+_UPPER = range(0x80, 0x9F)
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[[*range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = _LETTER
+_CLASS[[*range(ord("0"), ord("9") + 1)]] = _DIGIT
+_CLASS[ord(" ")] = _SPACE
+_ASCII = np.zeros(256, bool)
+_ASCII[0x21:0x7F] = True
 
 
 def _bytes(ids: Iterable[int]) -> bytes:
     return array("I", ids).tobytes()
 
 
+def _after(data: np.ndarray, n: int = 1) -> np.ndarray:
+    """Each byte's ``n``-th next one; 0 at the end."""
+    return np.append(data[n:], np.zeros(min(n, len(data)), data.dtype))
+
+
+def plain_words(words: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Which words have nothing but visible ASCII and Latin-1 letters, and no ``<|``."""
+    follows = np.append(False, words[:-1] == _LATIN)
+    second = follows & (words & 0xC0 == 0x80) & ~np.isin(words, _SIGNS)
+    first = (words == _LATIN) & np.append(second[1:], False)
+    good = (_ASCII[words] & ~((words == ord("<")) & (_after(words) == ord("|")))) | first | second
+    bad = np.append(0, np.cumsum(~good))
+    return bad[end] == bad[start]
+
+
+def lowered(words: np.ndarray) -> np.ndarray:
+    upper = (words >= ord("A")) & (words <= ord("Z"))
+    upper[1:] |= (words[:-1] == _LATIN) & np.isin(words[1:], [b for b in _UPPER if b not in _SIGNS])
+    return words + upper * np.uint8(0x20)
+
+
+def part_starts(words: np.ndarray) -> np.ndarray:
+    """Where parts begin, in plain lower-case words with a space after each."""
+    kind = _CLASS[words]
+    before = np.append(np.uint8(_SPACE), kind[:-1])
+    start = ((kind != before) | (kind == _DIGIT)) & (kind != _SPACE)
+    quote = np.flatnonzero((words == ord("'")) & (before != _OTHER))
+    for contraction in _CONTRACTIONS:
+        n = len(contraction)
+        own = quote[quote + n <= len(words)]
+        for i in range(1, n):
+            own = own[words[own + i] == contraction[i]]
+        start[own + 1] = False
+        start[own + n] = kind[own + n] != _SPACE
+    return np.flatnonzero(start)
+
+
+class Memory:
+    """Values by key, of bounded number: what is not asked for in time is forgotten."""
+
+    def __init__(self, most: int):
+        self.half, self.new, self.old = max(1, most // 2), {}, {}
+
+    def get_all(self, keys: list, make: Callable) -> list:
+        found, new = [], self.new
+        for key in keys:
+            value = new.get(key)
+            if value is None:
+                value = self.old.get(key)
+                if value is None:
+                    value = make(key)
+                if len(new) >= self.half:
+                    self.new, self.old = {}, new
+                    new = self.new
+                new[key] = value
+            found.append(value)
+        return found
+
+
+class Ids:
+    """Rows of ids in one array: row ``i`` is ``flat[begin[i]:begin[i] + size[i]]``."""
+
+    def __init__(self, flat: np.ndarray, size: np.ndarray):
+        self.flat, self.size, self.begin = flat, size, np.cumsum(size) - size
+
+    @classmethod
+    def of(cls, rows: list[bytes]) -> Ids:
+        """From little-endian ids of four bytes each."""
+        return cls(np.frombuffer(b"".join(rows), "<u4"), np.fromiter(map(len, rows), np.int64, len(rows)) // 4)
+
+    def take(self, rows: np.ndarray) -> Ids:
+        size = self.size[rows]
+        return Ids(self.flat[unrolled(self.begin[rows], size)], size)
+
+    def merged(self, bounds: np.ndarray) -> Ids:
+        """The rows between two bounds as one row."""
+        ends = np.append(0, np.cumsum(self.size))
+        return Ids(self.flat, np.diff(ends[bounds]))
+
+
 class WordIds:
-    """Ids of texts by a tokenizer that drops white space, word by word.
+    """Ids of texts by a tokenizer that drops white space.
 
-    No token spans white space, so a text's ids are those of its words in turn, and a
-    word's ids are looked up again when it returns.
+    No token spans two words, or two parts of a word, so a text's ids are those of its
+    parts in turn. The words of many texts are made unique, then the parts of these; only
+    what is left is looked up or tokenised, and its ids are dealt out by their places.
     """
 
     def __init__(self, path: str):
@@ -59,42 +162,47 @@ class WordIds:
             for c in (*map(chr, range(0xC0, 0x100)),)
             if c not in "×÷"
         }
-        # Ids as little-endian bytes, four each: joining them makes a text's ids.
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.again: set[bytes] = set()
-
-    def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            letters = part if part.isascii() else part.translate(self.bytes_of)
-            ids = _bytes([t.id for t in self.tokenizer.model.tokenize(letters)])
-            self.parts[part] = ids
-        return ids
-
-    def _word(self, raw: bytes) -> bytes:
-        word = raw.decode()
-        if _PLAIN.fullmatch(word) and "<|" not in word:
-            return b"".join(map(self._part, _PARTS.findall(word.lower())))
-        return _bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
-
-    def _forget(self) -> None:
-        """Keeps the words that returned since the last time, if they are not too many."""
-        keep = self.again if len(self.again) < REMEMBERED // 2 else ()
-        self.words = {w: self.words[w] for w in keep}
-        self.parts, self.again = {}, set()
+        self.parts = Memory(REMEMBERED)
+
+    def _part(self, raw: bytes) -> bytes:
+        letters = raw.decode() if raw.isascii() else raw.decode().translate(self.bytes_of)
+        return _bytes([t.id for t in self.tokenizer.model.tokenize(letters)])
+
+    def _plain(self, words: np.ndarray, size: np.ndarray) -> Ids:
+        """The ids of plain words that stand in a row, each with a space after it."""
+        words = lowered(words)
+        start = part_starts(words)
+        space = np.cumsum(size) - 1
+        end = np.minimum(np.append(start[1:], len(words)), space[np.searchsorted(space, start)])
+        first, number = unique_spans(words, start, end)
+        raw = words.tobytes()
+        keys = [raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
+        ids = Ids.of(self.parts.get_all(keys, self._part)).take(number)
+        return ids.merged(np.append(0, np.searchsorted(start, space)))
+
+    def of_texts(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's begin."""
+        words = texts.words()
+        first, number = unique_spans(texts.data, words.start, words.end)
+        size = words.end[first] - words.start[first] + 1
+        # The unique words in a row, a space after each.
+        some = np.append(texts.data, np.uint8(0x20))[unrolled(words.start[first], size)]
+        ends = np.cumsum(size)
+        some[ends - 1] = 0x20
+        plain = plain_words(some, ends - size, ends - 1)
+        found = self._plain(some[np.repeat(plain, size)], size[plain])
+        others = [some[b - n : b - 1].tobytes().decode() for n, b in zip(size[~plain], ends[~plain], strict=True)]
+        rest = Ids.of([_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)])
+        unique = Ids(np.concatenate([found.flat, rest.flat]), np.concatenate([found.size, rest.size]))
+        row = np.empty(len(first), np.int64)
+        row[plain], row[~plain] = np.arange(plain.sum()), plain.sum() + np.arange(len(others))
+        ids = unique.take(row[number])
+        return ids.flat, np.append(0, np.cumsum(ids.size))[words.bounds]
 
     def __call__(self, raw: bytes) -> bytes:
-        """The ids of a text in UTF-8."""
-        words = raw.split()  # at space and U+0009 to U+000D
-        if len(self.words) + len(self.parts) > REMEMBERED:
-            self._forget()
-        known, used = self.words, set(words)
-        new = used.difference(known)
-        self.again |= used - new
-        for word in new:
-            known[word] = self._word(word)
-        return b"".join(map(known.__getitem__, words))
+        """The ids of one text in UTF-8, four bytes each; a long text is walked in pieces."""
+        pieces = word_pieces(np.frombuffer(raw, np.uint8))
+        return b"".join(self.of_texts(Texts(part, np.array([0, len(part)])))[0].tobytes() for part in pieces)
 
 
 _IDS: dict[str, WordIds] = {}
@@ -149,18 +257,48 @@ class Packer:
         level = self._level(size)
         sequence = []
         if level:
-            sequence = self.open[level].pop()
-            self.counts[level] -= 1
-            self.n_open -= 1
+            sequence = self._take(level)
         sequence.append((document, whole, ids[whole:]))
         if level + size == self.capacity:
             yield from self._close(sequence)
             return
-        self.open[level + size].append(sequence)
-        self.counts[level + size] += 1
-        self.n_open += 1
+        self._leave_open(level + size, sequence)
         if self.n_open > self.most_open:
-            yield from self.flush()
+            yield from self._relieve()
+
+    def _leave_open(self, level: int, sequence: list[tuple]) -> None:
+        self.open[level].append(sequence)
+        self.counts[level] += 1
+        self.n_open += 1
+
+    def _take(self, level: int) -> list[tuple]:
+        self.counts[level] -= 1
+        self.n_open -= 1
+        return self.open[level].pop()
+
+    def _relieve(self) -> Iterator[tuple]:
+        """One open sequence less: of the most crowded level one sequence is filled from
+        another; where no level has two, the fullest from the emptiest."""
+        level = given = int(self.counts.argmax())
+        if self.counts[level] < 2:
+            used = np.flatnonzero(self.counts)
+            level, given = int(used[-1]), int(used[0])
+        filled, other = self._take(level), self._take(given)
+        room = min(self.capacity - level, given)
+        left = room
+        while left:
+            document, start, ids = other.pop()
+            cut = max(0, len(ids) - left)
+            filled.append((document, start + cut, ids[cut:]))
+            left -= len(ids) - cut
+            if cut:
+                other.append((document, start, ids[:cut]))
+        if given > room:
+            self._leave_open(given - room, other)
+        if level + room < self.capacity:
+            self._leave_open(level + room, filled)
+        else:
+            yield from self._close(filled)
 
     def flush(self) -> Iterator[tuple]:
         """Lays what the open sequences hold end to end and cuts it anew."""
@@ -189,16 +327,19 @@ def _pack(tokenizer: str, capacity: int, end: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_ids(tokenizer)
         packer = Packer(capacity, first=TaskContext.get().partitionId() << 36)
-        final = np.array([end], "<u4").tobytes()
+        final = np.array([end], "<u4")
         totals: dict[int, int] = {}  # row of an open document -> its tokens
         names: dict[int, int | None] = {}
         row = 0
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for texts in texts_of(batch.column(1)):
+            for texts in texts_of(batch.column(1), TOGETHER_BYTES):
                 out = []
+                alone = len(texts) == 1 and len(texts.data) > CHUNK_BYTES
+                found, bounds = (None, None) if alone else encode.of_texts(texts)
                 for i in range(len(texts)):
-                    ids = np.frombuffer(encode(texts.raw(i)) + final, "<u4")
+                    ids = np.frombuffer(encode(texts.raw(i)), "<u4") if alone else found[bounds[i] : bounds[i + 1]]
+                    ids = np.concatenate([ids, final])
                     names[row], totals[row] = doc_ids[texts.first + i], len(ids)
                     out.extend(_row(p, names, totals) for p in packer.add(row, ids))
                     row += 1

@@ -62,6 +62,48 @@ class Spans:
         return mix((self.sums[end] - self.sums[start]) * self.inverse[start])
 
 
+def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, base: int = BASES[0]) -> np.ndarray:
+    """Hashes of spans of bytes in order, about ``CHUNK_BYTES`` of them at a time."""
+    found, at = [np.zeros(0, np.uint64)], 0
+    while at < len(start):
+        stop = max(at + 1, int(np.searchsorted(end, start[at] + CHUNK_BYTES, side="right")))
+        low, high = start[at], end[stop - 1]
+        spans = Spans(data[low:high].astype(np.uint64) + np.uint64(1), base)
+        found.append(spans(start[at:stop] - low, end[at:stop] - low))
+        at = stop
+    return np.concatenate(found)
+
+
+def unrolled(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The indices ``start[i] .. start[i] + count[i] - 1`` of all ``i`` in a row."""
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
+def unique_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of each set of equal spans of bytes, and for every span its set's number.
+
+    Sets come from hashes and are checked byte by byte.
+    """
+    _, first, number = np.unique(byte_hashes(data, start, end), return_index=True, return_inverse=True)
+    length = end - start
+    like = first[number]
+    odd = np.flatnonzero(like != np.arange(len(like)))
+    step = max(1, CHUNK_BYTES // 8)
+    for at in range(0, len(odd), step):
+        own = odd[at : at + step]
+        size = length[own]
+        if (size != length[like[own]]).any() or not np.array_equal(
+            data[unrolled(start[own], size)], data[unrolled(start[like[own]], size)]
+        ):
+            raw = data.tobytes()
+            numbers: dict[bytes, int] = {}
+            for a, b in zip(start.tolist(), end.tolist(), strict=True):
+                numbers.setdefault(raw[a:b], len(numbers))
+            number = np.array([numbers[raw[a:b]] for a, b in zip(start.tolist(), end.tolist(), strict=True)])
+            return np.unique(number, return_index=True)[1], number
+    return first, number
+
+
 class Texts:
     """Some texts in one byte buffer; text ``i`` is ``data[bounds[i]:bounds[i + 1]]``."""
 
@@ -110,8 +152,9 @@ class Words:
         return np.flatnonzero(self.text[: n - length + 1] == self.text[length - 1 :])
 
 
-def texts_of(column: pa.Array) -> Iterator[Texts]:
-    """The column (null: empty) in parts of about ``CHUNK_BYTES``, in order."""
+def texts_of(column: pa.Array, chunk_bytes: int | None = None) -> Iterator[Texts]:
+    """The column (null: empty) in parts of about ``chunk_bytes`` (``CHUNK_BYTES``), in order."""
+    chunk_bytes = chunk_bytes or CHUNK_BYTES
     column = column.cast(pa.large_string()).fill_null("")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[
         column.offset : column.offset + len(column) + 1
@@ -120,8 +163,21 @@ def texts_of(column: pa.Array) -> Iterator[Texts]:
     data = np.frombuffer(buffer, np.uint8) if buffer is not None else np.zeros(0, np.uint8)
     at = 0
     while at < len(column):
-        stop = int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, side="right")) - 1
+        stop = int(np.searchsorted(offsets, offsets[at] + chunk_bytes, side="right")) - 1
         stop = min(max(stop, at + 1), len(column))
         bounds = offsets[at : stop + 1]
         yield Texts(data[bounds[0] : bounds[-1]], bounds - bounds[0], at)
         at = stop
+
+
+def word_pieces(data: np.ndarray) -> Iterator[np.ndarray]:
+    """One text's bytes in pieces of about ``CHUNK_BYTES``, cut only after white space: a
+    longer word stays whole."""
+    at = 0
+    while at < len(data):
+        stop = min(at + CHUNK_BYTES, len(data))
+        while stop < len(data) and not SPACES[data[stop - 1]]:
+            near = np.flatnonzero(SPACES[data[stop : stop + CHUNK_BYTES]])
+            stop = stop + int(near[0]) + 1 if len(near) else min(stop + CHUNK_BYTES, len(data))
+        yield data[at:stop]
+        at = stop
