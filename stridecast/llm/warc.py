@@ -174,13 +174,14 @@ def _write(folder: str, archive_bytes: int) -> Callable:
         number, record = 0, next(waiting, None)
         while record is not None:
             path = f"{name}-{number:04d}.warc.zst"
-            with store.open_output_stream(f"{root}/{path}") as sink:
+            with store.open_output_stream(f"{root}/{path}", compression=None) as sink:
                 archive = ArchiveWriter(sink, dictionary)
                 info = "software: stridecast\r\nformat: WARC File Format 1.1\r\n".encode()
                 archive.write(
                     record_bytes("warcinfo", f"urn:archive:{path}", [("Content-Type", "application/warc-fields")], info)
                 )
-                while record is not None and archive.bytes < archive_bytes:
+                # An archive has one page at least, however large its dictionary.
+                while record is not None and (archive.records == 1 or archive.bytes < archive_bytes):
                     archive.write(record)
                     record = next(waiting, None)
                     if record is None and samples:
@@ -429,7 +430,7 @@ def _read(with_payload: bool) -> Callable:
             for path in paths.column(0).to_pylist():
                 store, name = FileSystem.from_uri(path)
                 rows, size = [], 0
-                with store.open_input_stream(name) as stream:
+                with store.open_input_stream(name, compression=None) as stream:
                     try:
                         for record in read_archive(stream):
                             rows.append((path, *record)[: len(names)])
