@@ -1,0 +1,150 @@
+"""Whitening against the eigenvectors of the covariance that NumPy finds."""
+
+import math
+
+import numpy as np
+import pytest
+
+from stridecast.llm import whitening
+
+SCHEMA = "vec_id bigint, embedding array<float>, x int, block string, component int"
+
+
+def grid(rows, width):
+    out = {}
+    for k, (vec_id, v, *_) in enumerate(rows):
+        if v is None or any(c is None or not math.isfinite(c) for c in v):
+            continue
+        own = [math.floor(256 * float(np.float32(c))) for c in v]
+        out[k] = (vec_id, own + [0] * (width - len(own)))
+    return out
+
+
+def solved(x):
+    u = np.array(sorted(set(map(tuple, x))), object)
+    n, sums = len(u), [int(s) for s in u.sum(axis=0)]
+    c = u.astype(float) - np.array([s / n for s in sums])
+    values, vectors = np.linalg.eigh(c.T @ c / n)
+    return n, sums, values[::-1], vectors[:, ::-1]
+
+
+def check(rows, found, width, components=4):
+    kept = grid(rows, width)
+    n, sums, values, vectors = solved([x for _, x in kept.values()])
+    m = min(components, width)
+    assert len(found) == m * len(kept) and {r["n"] for r in found} <= {n}
+    own = {(r["vec_id"], r["component"]): r for r in found}
+    # The sign of a component is free.
+    for i in range(m):
+        got = np.array([own[vec_id, i + 1]["whitened"] for vec_id, _ in kept.values()], float)
+        x = np.array([x for _, x in kept.values()], float) - np.array([s / n for s in sums])
+        want = x @ vectors[:, i] / np.sqrt(values[i])
+        sign = np.sign(got @ want)
+        assert got * sign == pytest.approx(want, abs=1e-9)
+        assert own[next(iter(kept.values()))[0], i + 1]["explained"] == pytest.approx(values[i] / values.sum(), rel=1e-9)
+    for vec_id, x in kept.values():
+        assert own[vec_id, 1]["deviation"] == sum((n * a - s) ** 2 for a, s in zip(x, sums))
+    assert all(r["identity_error"] < 1e-9 for r in found)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = np.random.default_rng(3)
+    data = rng.normal(size=(400, 48)) * np.linspace(1, 0.7, 48)
+    rows = [(i, v.tolist()) for i, v in enumerate(data)]
+    rows += [(1000 + i, rows[7][1]) for i in range(150)]  # a hot vector
+    rows += [(2000, None), (2001, [float("nan")] * 48), (2002, [None] + [0.0] * 47), (2003, [float("-inf")] + [0.0] * 47)]
+    rows += [(2004, [-0.0] * 48), (2005, [0.5, -0.001]), (2006, [])]
+    return [(*r, 1, "x", 2) for r in rows]
+
+
+def test_rows_equal_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    check(rows, whitening.report(df).collect(), 48)
+
+
+def test_many_partial_sums(spark, rows, monkeypatch):
+    monkeypatch.setattr(whitening, "FAN_IN", 2)
+    monkeypatch.setattr(whitening, "BLOCK_BYTES", 48 * 8 * 3)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    check(rows, whitening.report(df).collect(), 48)
+
+
+def test_exact_sums_of_large_values(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(np.float32(c)) for c in rng.normal(size=6) * 1e12], 1, "x", 2) for i in range(40)]
+    found = whitening.fit(spark.createDataFrame(rows, SCHEMA))
+    n, sums, *_ = solved([x for _, x in grid(rows, 6).values()])
+    assert (found.n, found.sums) == (n, sums)
+    model = whitening.whiten(spark.createDataFrame(rows, SCHEMA), found).collect()
+    assert all(r["deviation"] is None for r in model)  # beyond 64 bits
+
+
+def test_repeated_rows_and_null_ids(spark):
+    rng = np.random.default_rng(6)
+    rows = [(None if i % 3 else 5, rng.normal(size=5).tolist(), 1, "x", 2) for i in range(30)] * 2
+    found = whitening.report(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(found) == 60 * 4 and {r["n"] for r in found} == {30}
+    assert all(found.count(r) % 2 == 0 for r in found[:8])
+
+
+@pytest.mark.parametrize("vectors, components", [([], 0), ([None, [float("nan")]], 0), ([[], []], 0), ([[1.0, 2.0]] * 3, 2)])
+def test_nothing_to_fit(spark, vectors, components):
+    df = spark.createDataFrame([(i, v, 1, "x", 2) for i, v in enumerate(vectors)], SCHEMA)
+    found = whitening.report(df).collect()
+    assert len(found) == components * len(vectors)
+    assert all((r["whitened"], r["explained"], r["identity_error"], r["deviation"]) == (None, 0.0, None, 0) for r in found)
+
+
+def test_fewer_directions_than_components(spark):
+    rows = [(i, [float(i), 2.0 * i, 0.0, 1.0, 0.5], 1, "x", 2) for i in range(20)]
+    found = whitening.report(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r["component"] for r in found if r["whitened"] is not None} == {1}
+    assert {r["component"] for r in found} == {1, 2, 3, 4}
+    assert max(r["explained"] for r in found) == pytest.approx(1) and found[0]["identity_error"] < 1e-12
+
+
+def matrix(values, seed=1):
+    q = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(values), len(values))))[0]
+    return (q * np.array(values)) @ q.T
+
+
+@pytest.mark.parametrize(
+    "values, guard",
+    [
+        (np.linspace(1, 2, 200), 12),
+        (np.r_[np.linspace(0, 1, 150), 1.01, 1.02, 1.03, 1.04], 8),
+        (1.5 ** -np.arange(120.0), 4),
+        (np.r_[np.zeros(90), 1, 2, 3, 4, 5], 4),
+        (np.r_[np.zeros(95), 3, 4], 8),
+    ],
+)
+def test_leading_vectors(values, guard):
+    a = matrix(values)
+    found, vectors = whitening.leading(lambda q: a @ q, len(a), 4, guard)
+    true, exact = np.linalg.eigh(a)
+    assert found == pytest.approx(true[::-1][:4], abs=1e-12 * true[-1])
+    for i in range(4):
+        if true[::-1][i] > 1e-9:
+            assert abs(exact[:, ::-1][:, i] @ vectors[:, i]) == pytest.approx(1, abs=1e-9)
+
+
+def test_equal_eigenvalues_span_the_same_space():
+    a = matrix(np.r_[np.linspace(0, 1, 60), 3, 3, 3, 5])
+    found, vectors = whitening.leading(lambda q: a @ q, len(a), 4, 8)
+    assert found == pytest.approx([5, 3, 3, 3]) and vectors.T @ vectors == pytest.approx(np.eye(4), abs=1e-12)
+    assert a @ vectors == pytest.approx(vectors * found, abs=1e-9)
+
+
+def test_the_filter_damps_what_is_below():
+    a = np.diag(np.r_[np.linspace(0, 1, 50), 1.2])
+    q = np.ones((51, 1))
+    out = np.abs(whitening.chebyshev(lambda b: a @ b, q, a @ q, 1.0, 1.2, 10))
+    assert out[:50].max() < out[50] / 500
+
+
+def test_gives_up_with_an_error(monkeypatch):
+    monkeypatch.setattr(whitening, "MOST_ROUNDS", 2)
+    a = matrix(np.linspace(1, 1.001, 300))
+    with pytest.raises(ArithmeticError, match="not certified"):
+        whitening.leading(lambda q: a @ q, 300, 4, 0, 2)
