@@ -307,8 +307,11 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
 def with_quality(docs: DataFrame, field: Field | None, text: str = "text", score: str = "quality_score") -> DataFrame:
     """``docs`` with the column ``score``, 0 to 1; 0.5 if nothing was learned.
 
-    A null or empty text is scored as one empty line. Any other columns stay.
+    A null or empty text is scored as one empty line. Any other columns stay; one named
+    ``score``, in any case, is replaced. Equal texts have equal scores. An empty table
+    gives an empty one.
     """
+    docs = docs.drop(score)
     if field is None:
         return docs.withColumn(score, F.lit(0.5))
     shared = docs.sparkSession.sparkContext.broadcast(field)
@@ -324,7 +327,12 @@ def with_quality(docs: DataFrame, field: Field | None, text: str = "text", score
 
 
 def scored(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document: ``doc_id, held_out, score, predicted``."""
+    """One row per document: ``doc_id, held_out, score, predicted``.
+
+    A null or empty text is scored as one empty line; equal texts have equal scores;
+    repeated rows and null ids (never held out) are scored as others. Without labels all
+    scores are 0.5. An empty table gives an empty result. Other columns are not looked at.
+    """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), held_out(doc_id).alias("held_out"), F.col(text).alias("text")
     )
@@ -333,9 +341,13 @@ def scored(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
 
 
 def accepted(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` without the documents that the field rejects."""
+    """``docs`` without the documents that the field rejects.
+
+    Documents are judged by their text alone (null: empty), so of repeated rows all or
+    none stay. All columns stay as they are, whatever their names.
+    """
     score = "quality_score"
-    while score in docs.columns:
+    while score in map(str.lower, docs.columns):
         score += "_"
     out = with_quality(docs, fit(docs, labels, text, doc_id), text, score)
     return out.where(F.col(score) >= THRESHOLD).drop(score)

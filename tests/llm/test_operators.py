@@ -423,3 +423,28 @@ def test_pipeline_stages(spark):
     assert pieces.agg(F.sum("length")).first()[0] == mixed.select("text").rdd.map(
         lambda r: len(packing.word_ids(default_tokenizer())((r["text"] or "").encode())) // 4 + 1
     ).sum()
+
+
+CASED = "doc_id bigint, text string, lang string, source string, n_chars bigint, Quality_Score string, SCORE int, Doc string, ROW int, Digest string, Fingerprint int, Key int, Sequence_ID int, Held_Out int"
+
+
+@pytest.mark.parametrize("step", [stage for _, stage in corpus_pipeline.STAGES])
+def test_stages_with_names_that_differ_in_case(spark, cases, step, tmp_path):
+    rows = [(i, t, "en", "s", None, "x", 1, "y", 2, "z", 3, 4, 5, 6) for i, t in cases]
+    rows += [rows[3], (None, *rows[9][1:]), (None, None, None, None, None, *rows[0][5:])]
+    spark.createDataFrame([(rows[i][0], i % 2, 0) for i in range(20)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame(rows, CASED).repartition(3)
+    out = step(spark, docs, str(tmp_path))
+    assert out.count() > 0
+    if step is not corpus_pipeline.STAGES[-1][1]:
+        assert out.columns == docs.columns and {tuple(r[5:]) for r in out.collect()} == {tuple(rows[0][5:])}
+    assert step(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_a_score_column_is_replaced(spark, docs):
+    out = quality.with_quality(docs.withColumn("Score", F.lit("x")), None, score="score")
+    assert out.columns == [*docs.columns, "score"] and {r["score"] for r in out.collect()} == {0.5}
+    labels = spark.createDataFrame([(5 + 3 * i, i % 2, 0) for i in range(20)], "doc_id bigint, quality int, toxic int")
+    field = quality.fit(docs, labels)
+    out = quality.with_quality(docs.withColumn("Score", F.lit("x")), field, score="score")
+    assert out.columns == [*docs.columns, "score"] and all(0 <= r["score"] <= 1 for r in out.collect())
