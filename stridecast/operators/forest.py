@@ -6,8 +6,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stridecast.config import FULL, FeatureSpec, ForestParams
@@ -73,6 +74,85 @@ def score(model: FoldModel, frame: DataFrame, columns: Sequence[str]) -> DataFra
     )
 
 
+class SharedPreparation:
+    """The inputs of several models in one vector, so that a row is prepared once.
+
+    Numeric columns are taken once; equal label lists give one index and one encoding.
+    ``slots`` tells which entries of the vector are one model's features.
+    """
+
+    VECTOR = "_all_features"
+
+    def __init__(self, frame: DataFrame, models: Sequence[FoldModel]):
+        self.frame = frame
+        self._places: dict[str, range] = {}
+        self._encodings: dict[tuple, int] = {}
+        own = [self._inputs(m) for m in models]
+        columns = list(dict.fromkeys(c for inputs in own for c in inputs))
+        at = 0
+        for c in columns:
+            attributes = self.frame.schema[c].metadata.get("ml_attr", {})
+            size = attributes.get("num_attrs", 1) if c not in frame.columns else 1
+            self._places[c] = range(at, at + size)
+            at += size
+        # A row may lack a feature of another model than its own.
+        assembler = VectorAssembler(inputCols=columns, outputCol=self.VECTOR, handleInvalid="keep")
+        self.frame = assembler.transform(self.frame).select(*frame.columns, self.VECTOR)
+        self._own = {id(m.prep): inputs for m, inputs in zip(models, own, strict=True)}
+
+    def _inputs(self, model: FoldModel) -> list[str]:
+        """The columns that the model's vector is made of; encodes its categories if new."""
+        *encoders, assembler = model.prep.stages
+        inputs = assembler.getInputCols()
+        if not encoders:
+            return inputs
+        indexer, one_hot = encoders
+        key = (tuple(indexer.getInputCols()), tuple(map(tuple, indexer.labelsArray)))
+        number = self._encodings.get(key)
+        if number is None:
+            number = self._encodings[key] = len(self._encodings)
+            named = {"index": indexer.getOutputCols(), "slots": one_hot.getOutputCols()}
+            named = {kind: [f"_{c}_{kind}_{number}" for c in cols] for kind, cols in named.items()}
+            indexed = indexer.copy().setOutputCols(named["index"]).transform(self.frame)
+            encoder = one_hot.copy().setInputCols(named["index"]).setOutputCols(named["slots"])
+            self.frame = encoder.transform(indexed).drop(*named["index"])
+        encoded = set(one_hot.getOutputCols())
+        return [f"_{c}_slots_{number}" if c in encoded else c for c in inputs]
+
+    def slots(self, model: FoldModel) -> list[int]:
+        return [i for c in self._own[id(model.prep)] for i in self._places[c]]
+
+
+def score_routed(
+    rows: DataFrame, branches: Sequence[tuple[Column, FoldModel]], output: str
+) -> DataFrame:
+    """``rows`` with the prediction of the model whose condition holds; null if none does.
+
+    One scan and one projection for all models. Each prediction is used in one branch of
+    a CASE and nowhere else, so the optimizer moves it there, and a row passes through
+    its own model's trees alone. Conditions should exclude each other; models that are
+    the same object share a branch. Preparations are those of ``prep.preparation``.
+    """
+    merged: dict[tuple[int, int], tuple[Column, FoldModel]] = {}
+    for condition, model in branches:
+        key = (id(model.prep), id(model.forest))
+        known = merged.get(key)
+        merged[key] = (known[0] | condition if known else condition, model)
+    if not merged:
+        return rows.withColumn(output, F.lit(None).cast("double"))
+    shared = SharedPreparation(rows, [model for _, model in merged.values()])
+    frame, chosen, kept = shared.frame, F.lit(None).cast("double"), list(shared.frame.columns)
+    for i, (condition, model) in enumerate(reversed(merged.values())):
+        name, vector = f"_{output}_{i}", f"_{output}_features"
+        slicer = VectorSlicer(inputCol=shared.VECTOR, outputCol=vector, indices=shared.slots(model))
+        forest = model.forest.copy().setFeaturesCol(vector)
+        done = forest.transform(slicer.transform(frame))
+        frame = done.select(*kept, F.col(forest.getPredictionCol()).alias(name))
+        kept.append(name)
+        chosen = F.when(condition, F.col(name)).otherwise(chosen)
+    return frame.select(*rows.columns, chosen.alias(output))
+
+
 def feature_names(transformed: DataFrame, vector: str = "features") -> list[tuple[int, str]]:
     """Slot number and name of each vector entry, from whatever attribute groups exist."""
     groups = transformed.schema[vector].metadata["ml_attr"]["attrs"].values()

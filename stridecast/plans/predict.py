@@ -5,16 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.config import BASIC, FOLD_START_DAYS, FULL, MONTHS_AHEAD, UNSCORED, FeatureSpec
 from stridecast.functions.dates import Day, as_date, before, typed
-from stridecast.operators.folds import assign_fold, fold_rows, in_horizon
-from stridecast.operators.forest import FoldModel, importance_report, score
+from stridecast.operators.folds import assign_fold, fold_number, in_horizon
+from stridecast.operators.forest import FoldModel, importance_report, score_routed
 from stridecast.operators.reports import month_report, prediction_metrics, tag_execution
-from stridecast.operators.split import lacks, project_fold, route_nulls
+from stridecast.operators.split import lacks
 from stridecast.plans.backtest import backtest as run_backtest
 from stridecast.sources.artifacts import execution_path, load_models
 from stridecast.sources.results import csv_path, read_predictions, write_csv, write_predictions
@@ -80,32 +79,33 @@ def predictions(
 ) -> DataFrame:
     """Ids, date and prediction of every test row, with its fold and variant. Lazy.
 
-    Each model reads the date range of its fold alone. Rows that lack a feature go
-    to the basic model. Rows it cannot score either, or all of them where there is
-    none, keep their place with a null prediction.
+    One scan and one projection, whatever the number of models: a row's fold and the
+    features it lacks tell its model, and only that one is computed for it. Rows that lack
+    a feature go to the basic model. Rows it cannot score either, or all of them where
+    there is none, keep their place with a null prediction.
     """
     if len(starts) != len(spec.features):
         raise ValueError("the calendar and the spec differ in their number of folds")
-    parts = []
+    of = {(m.fold, m.variant): m for m in models}
     for fold in spec.folds:
-        rows = fold_rows(data, spec.date, split, fold, starts, months_ahead)
-        variants = {m.variant: m for m in models if m.fold == fold}
-        if FULL not in variants:
+        if (fold, FULL) not in of:
             raise ValueError(f"fold {fold} has no model")
-        rest = rows
-        for variant in (v for v in (FULL, BASIC) if v in variants):
-            frame, rest = route_nulls(rest, spec.numeric(fold, variant))
-            frame = project_fold(frame, spec, fold, variant, with_target=False)
-            parts.append(score(variants[variant], frame, _columns(spec)))
-        parts.append(
-            rest.select(
-                *_columns(spec),
-                F.lit(None).cast("double").alias(spec.prediction),
-                F.lit(fold).alias("fold"),
-                F.lit(UNSCORED).alias("variant"),
-            )
-        )
-    return tag_execution(union_results(parts), split, spec.date)
+    rows = horizon_rows(data, spec, split, starts, months_ahead)
+    rows = rows.withColumn("fold", fold_number(typed(rows, spec.date), split, starts))
+    variant = F.lit(UNSCORED)
+    for fold in spec.folds:
+        own = F.when(~lacks(rows, spec.numeric(fold, FULL)), FULL)
+        if (fold, BASIC) in of:
+            own = own.when(~lacks(rows, spec.numeric(fold, BASIC)), BASIC)
+        variant = F.when(F.col("fold") == fold, own.otherwise(UNSCORED)).otherwise(variant)
+    branches = [
+        ((F.col("fold") == fold) & (F.col("variant") == kind), model)
+        for (fold, kind), model in of.items()
+        if fold in spec.folds
+    ]
+    scored = score_routed(rows.withColumn("variant", variant), branches, spec.prediction)
+    results = scored.select(*_columns(spec), spec.prediction, "fold", "variant")
+    return tag_execution(results, split, spec.date)
 
 
 def predict(
@@ -126,8 +126,8 @@ def predict(
     Uses the given models, or those saved below ``root`` by the training of
     ``dt_execution`` (``first_day`` if not given). With ``root``, predictions are
     written below it as a partition of the execution and the importances as CSV.
-    The test rows are then cached while all models score them, and ``results``
-    reads what was written, so that the reports of ``checks`` do not score again.
+    ``results`` then reads what was written, so that the reports of ``checks`` do not
+    score again.
     ``csv`` writes the predictions as CSV as well. Without ``root`` all is lazy.
     ``keys`` identify a row for the duplicate check. With ``checks``, ``root`` and the
     target in ``data``, the executions before ``first_day`` that are below ``root`` are
@@ -145,13 +145,8 @@ def predict(
     if root is None:
         results = predictions(data, spec, models, first_day, starts, months_ahead)
     else:
-        rows = horizon_rows(data, spec, first_day, starts, months_ahead)
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            scored = predictions(rows, spec, models, first_day, starts, months_ahead)
-            write_predictions(scored, root, spec.target, execution=first_day)
-        finally:
-            rows.unpersist()
+        scored = predictions(data, spec, models, first_day, starts, months_ahead)
+        write_predictions(scored, root, spec.target, execution=first_day)
         results = read_predictions(spark, root, spec.target, [first_day], schema=scored.schema)
         write_csv(report, csv_path(root, spec.target, "feat_importance", first_day))
         if csv:

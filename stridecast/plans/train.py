@@ -13,7 +13,7 @@ from stridecast.config import BASIC, FULL, FeatureSpec, ForestParams
 from stridecast.functions.dates import Day, as_date
 from stridecast.functions.parallel import run_all
 from stridecast.operators.evaluate import error_means
-from stridecast.operators.forest import FoldModel, regressor, score
+from stridecast.operators.forest import FoldModel, regressor, score_routed
 from stridecast.operators.prep import fold_preparation
 from stridecast.operators.reports import date_range
 from stridecast.operators.split import (
@@ -119,29 +119,38 @@ def training_error(
 ) -> DataFrame:
     """MAPE, MAE and row count on the training rows, by fold and variant.
 
-    For the first and last fold unless others are asked for. Each model's rows
-    are reduced to one before the results are put together; a model without rows
-    has count 0 and null errors. Rows no model can score are left out.
+    For the first and last fold unless others are asked for. The rows are read once:
+    each is scored by its model of every judged fold. A model without rows has count 0
+    and null errors. Rows no model can score are left out.
     """
     folds = {spec.folds[0], spec.folds[-1]} if folds is None else set(folds)
     judged = [m for m in models if m.fold in folds]
-    report = None
-    for m in judged:
-        lacking = lacks(rows, spec.numeric(m.fold, FULL))
-        able = ~lacks(rows, spec.numeric(m.fold, m.variant))
-        wanted = rows.where(able & (lacking if m.variant == BASIC else ~lacking))
-        frame = project_fold(wanted, spec, m.fold, m.variant)
-        scored = score(m, frame, dict.fromkeys([*spec.ids, spec.target]))
-        part = scored.select(
-            F.lit(m.fold).alias("fold"),
-            F.lit(m.variant).alias("variant"),
-            *dict.fromkeys([spec.ids[0], spec.target, spec.prediction]),
-        )
-        part = error_means(part, spec.target, spec.prediction, spec.ids[0], ["fold", "variant"])
-        report = part if report is None else report.unionByName(part)
     names = rows.sparkSession.createDataFrame(
         [(m.fold, m.variant) for m in judged], "fold int, variant string"
     )
+    inputs = [c for m in judged for c in spec.numeric(m.fold, m.variant)]
+    lacking = {f: lacks(rows, spec.numeric(f, FULL)) for f in folds}
+    scored = rows.select(*dict.fromkeys([spec.ids[0], spec.target, *inputs, *spec.categorical]))
+    parts = []
+    for fold in sorted({m.fold for m in judged}):
+        routes = {}
+        for m in (m for m in judged if m.fold == fold):
+            able = ~lacks(rows, spec.numeric(fold, m.variant))
+            routes[m.variant] = able & (lacking[fold] if m.variant == BASIC else ~lacking[fold])
+        name = f"_predicted_{fold}"
+        branches = [(routes[m.variant], m) for m in judged if m.fold == fold]
+        scored = score_routed(scored, branches, name)
+        for variant, route in routes.items():
+            part = F.struct(
+                F.lit(fold).alias("fold"), F.lit(variant).alias("variant"), F.col(name).alias("value")
+            )
+            parts.append(F.when(route, part))
+    found = scored.select(
+        *dict.fromkeys([spec.ids[0], spec.target]), F.explode(F.array_compact(F.array(*parts))).alias("part")
+    ).select(
+        *dict.fromkeys([spec.ids[0], spec.target]), "part.fold", "part.variant", F.col("part.value").alias(spec.prediction)
+    )
+    report = error_means(found, spec.target, spec.prediction, spec.ids[0], ["fold", "variant"])
     return names.join(report, ["fold", "variant"], "left").fillna(0, ["row_count"])
 
 
