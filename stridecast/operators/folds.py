@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stridecast.config import FOLD_START_DAYS, MONTHS_AHEAD
 from stridecast.functions.dates import (
     Day,
+    TextDate,
     before,
     fold_end,
     fold_start,
@@ -15,6 +16,8 @@ from stridecast.functions.dates import (
     through,
     typed,
 )
+from stridecast.operators.lookup import BROADCAST_BYTES, ROWS_PER_TASK, attach, measured_bytes
+from stridecast.sources.shared import written
 
 
 def fold_calendar(
@@ -93,3 +96,60 @@ def assign_fold(
     date = typed(df, date)
     rows = df.where(in_horizon(date, split, starts, months_ahead))
     return rows.withColumn("fold", fold_number(date, split, starts))
+
+
+def fold_days(
+    splits: DataFrame,
+    split: str,
+    starts: tuple[int, ...] = FOLD_START_DAYS,
+    months_ahead: int = MONTHS_AHEAD,
+) -> DataFrame:
+    """Every day of any horizon, once, with the executions that test it: ``day`` and
+    ``tests``, an array of ``(split, fold)``. Repeated and null split dates count once
+    and not at all."""
+    days = splits.select(F.to_date(split).alias("split")).where("split is not null").distinct()
+    calendar = fold_calendar(days, "split", starts, months_ahead).where("start_date <= end_date")
+    each = calendar.select("split", "fold", F.explode(F.sequence("start_date", "end_date")).alias("day"))
+    return each.groupBy("day").agg(F.sort_array(F.collect_list(F.struct("split", "fold"))).alias("tests"))
+
+
+def assign_folds(
+    df: DataFrame,
+    date: str,
+    splits: DataFrame,
+    split: str,
+    starts: tuple[int, ...] = FOLD_START_DAYS,
+    months_ahead: int = MONTHS_AHEAD,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """The test rows of every execution day in ``splits``, with its day in the column
+    ``split`` and their ``fold``; a row comes once for each execution that tests it.
+
+    The intervals are laid out as days, so that a row meets its executions by an equal
+    day, and not by comparing it with each interval. The table of days is made at once; it
+    has a row per calendar day, whatever the number of rows, and is broadcast up to
+    ``broadcast_bytes``. Beyond, the rows are joined by their day, and a day with more than
+    ``rows_per_task`` rows is split (see ``lookup.attach``). Its first and last day bound
+    the scan. Rows without a date belong to no fold.
+    """
+    date = typed(df, date)
+    rows = df.drop(split, "fold")
+    days = written(fold_days(splits, split, starts, months_ahead), "fold-days")
+    first, last = days.agg(F.min("day"), F.max("day")).first()
+    if first is None:
+        bounds, day = F.lit(False), F.lit(None).cast("date")
+    else:
+        bounds = on_or_after(date, first) & through(date, last)
+        text = isinstance(date, TextDate)
+        day = F.to_date(F.substring(date, 1, 10)) if text else F.to_date(date)
+    keyed = rows.where(bounds).withColumn("_day", day)
+    tests = days.select(F.col("day").alias("_day"), F.col("tests").alias("_tests"))
+    if measured_bytes(tests) <= broadcast_bytes:
+        found = keyed.join(F.broadcast(tests), "_day")
+    else:
+        weights = keyed.groupBy("_day").agg(F.count(F.lit(1)).alias("_rows"))
+        table = written(tests.join(weights, "_day"), "fold-days")
+        found = attach(keyed, table, ["_day"], "_rows", -1, rows_per_task)
+    test = F.inline("_tests").alias(split, "fold")
+    return found.select(*rows.columns, test)

@@ -137,3 +137,54 @@ def test_text_dates_give_the_same_rows_and_reach_the_scan(spark, root):
         cut = split.train_test(df, text, "2018-03-01")
         assert rows(cut) == rows(split.train_test(df, "d", "2018-03-01"))
         assert rows(last_days(df, text, 7)) == rows(last_days(df, "d", 7)) != []
+
+
+MANY = ["2018-06-01", "2018-07-15", "2018-07-15", None, "2018-08-31", "2018-12-31", "2020-02-29"]
+
+
+def each_split(df, splits, **settings):
+    """The same rows split by split."""
+    found = []
+    for s in sorted({s for s in splits if s}):
+        one = folds.assign_fold(df, "x", s, **settings)
+        found += [(r.d, dt.date.fromisoformat(s), r.fold) for r in one.collect()]
+    return sorted(found, key=repr)
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "string"])
+@pytest.mark.parametrize("settings", [{}, {"months_ahead": 0}, {"starts": (0, 3), "months_ahead": 1}])
+def test_many_splits_equal_one_by_one(spark, days, kind, settings):
+    df = days.selectExpr(f"cast(d as {kind}) as x", "d").unionByName(
+        spark.sql(f"select cast(null as {kind}) as x, cast(null as date) as d")
+    )
+    if kind.startswith("timestamp"):
+        df = df.selectExpr("x + interval 23 hours as x", "d")
+    splits = spark.createDataFrame([(s,) for s in MANY], "split string")
+    got = folds.assign_folds(df, "x", splits, "split", **settings)
+    assert got.columns == ["x", "d", "split", "fold"]
+    assert rows(got, "d", "split", "fold") == each_split(df, MANY, **settings)
+
+
+def test_many_splits_without_broadcast(spark, days):
+    df = days.selectExpr("d as x", "d", "'old' as split", "9 as FOLD")
+    df = df.unionByName(df.where("d = '2018-08-01'").selectExpr("*", "explode(sequence(1, 500)) as n").drop("n"))
+    splits = spark.createDataFrame([(s,) for s in MANY], "split string")
+    got = folds.assign_folds(df, "x", splits, "split", broadcast_bytes=-1, rows_per_task=50)
+    assert rows(got, "d", "split", "fold") == each_split(df, MANY)
+    assert "BroadcastNestedLoopJoin" not in plan(got) and "CartesianProduct" not in plan(got)
+
+
+def test_many_splits_prune_the_scan(spark, days, root):
+    days.selectExpr("d as x", "1 as y").write.parquet(root + "/days")
+    df = spark.read.parquet(root + "/days")
+    splits = spark.createDataFrame([("2018-07-01",), ("2018-07-09",)], "s string")
+    text = plan(folds.assign_folds(df, "x", splits, "s", months_ahead=1))
+    pushed = next(line for line in text.splitlines() if "PushedFilters" in line and "x" in line)
+    assert "GreaterThanOrEqual(x,2018-07-01)" in pushed and "LessThan(x,2018-09-01)" in pushed
+    assert text.count("BroadcastHashJoin") >= 1 and "SortMergeJoin" not in text
+
+
+def test_no_splits(spark, days):
+    none = spark.createDataFrame([(None,)], "s string")
+    got = folds.assign_folds(days.selectExpr("d as x"), "x", none, "s")
+    assert got.collect() == [] and got.columns == ["x", "s", "fold"]
