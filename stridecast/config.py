@@ -29,7 +29,9 @@ class FeatureSpec:
 
     ``features`` holds one tuple of numeric columns per fold. Rows with a null in
     their fold's features go to the fold's basic model, which uses
-    ``basic_features`` instead; leave that empty to train no basic models.
+    ``basic_features`` instead; leave that empty to train no basic models. With
+    ``label_tables`` the labels of ``categorical`` are kept in tables and joined, for
+    columns with more labels than a driver holds.
     """
 
     target: str
@@ -39,6 +41,7 @@ class FeatureSpec:
     basic_features: tuple[tuple[str, ...], ...] = ()
     cyclical: tuple[str, ...] = ()
     categorical: tuple[str, ...] = ()
+    label_tables: bool = False
 
     def __post_init__(self):
         if self.basic_features and len(self.basic_features) != len(self.features):

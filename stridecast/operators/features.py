@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
 from pyspark.ml.feature import OneHotEncoder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -167,17 +167,16 @@ def dummies(
     return df.select(*kept, *(flag.alias(name) for name, flag in flags.items())), list(flags)
 
 
-def category_table(df: DataFrame, column: str) -> DataFrame:
-    """Every non-missing value of ``column`` with ``_place`` in their order, from 0, and
-    ``_rows``, their number; a table in the shared folder, made at once.
+def numbered(values: DataFrame, order: Sequence[Column], place: str = "_place") -> DataFrame:
+    """``values`` with ``place``, their number from 0 in the given order; a table in the
+    shared folder, made at once.
 
     Values are sorted by ranges and numbered within each range, so no task and not the
-    driver sees them all.
+    driver sees them all. The order should be total.
     """
-    values = df.where(~lacks(df, [column])).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = written(
-        values.repartitionByRange(ranges, column).withColumn("_range", F.spark_partition_id()),
+        values.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()),
         "categories",
     )
     before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
@@ -186,14 +185,19 @@ def category_table(df: DataFrame, column: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_size"))
         .select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     )
-    within = W.partitionBy("_range").orderBy(column)
-    numbered = placed.withColumn("_in_range", F.row_number().over(within) - 1).join(
+    within = W.partitionBy("_range").orderBy(*order)
+    found = placed.withColumn("_in_range", F.row_number().over(within) - 1).join(
         F.broadcast(starts), "_range"
     )
-    return written(
-        numbered.select(column, (F.col("_start") + F.col("_in_range")).alias("_place"), "_rows"),
-        "places",
-    )
+    kept = [c for c in values.columns if c != place]
+    return written(found.select(*kept, (F.col("_start") + F.col("_in_range")).alias(place)), "places")
+
+
+def category_table(df: DataFrame, column: str) -> DataFrame:
+    """Every non-missing value of ``column`` with ``_place`` in their order, from 0, and
+    ``_rows``, their number; a table in the shared folder, made at once (see ``numbered``)."""
+    values = df.where(~lacks(df, [column])).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
+    return numbered(values, [F.col(column)]).select(column, "_place", "_rows")
 
 
 def dummy_vector(

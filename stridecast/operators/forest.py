@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from stridecast.config import FULL, FeatureSpec, ForestParams
 from stridecast.functions.dates import Day
+from stridecast.operators.indexing import TableIndexerModel
 from stridecast.operators.reports import tag_execution
 
 
@@ -107,7 +108,9 @@ class SharedPreparation:
         if not encoders:
             return inputs
         indexer, one_hot = encoders
-        key = (tuple(indexer.getInputCols()), tuple(map(tuple, indexer.labelsArray)))
+        in_tables = isinstance(indexer, TableIndexerModel)
+        labels = indexer.identity if in_tables else tuple(map(tuple, indexer.labelsArray))
+        key = (tuple(indexer.getInputCols()), labels)
         number = self._encodings.get(key)
         if number is None:
             number = self._encodings[key] = len(self._encodings)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.config import FULL, INDEX, ONE_HOT, FeatureSpec
+from stridecast.operators.indexing import TableIndexer
 
 
 def string_indexer(columns: Sequence[str]) -> StringIndexer:
@@ -20,6 +21,11 @@ def string_indexer(columns: Sequence[str]) -> StringIndexer:
     )
 
 
+def table_indexer(columns: Sequence[str]) -> TableIndexer:
+    """The same index from a table of labels, for columns with very many of them."""
+    return TableIndexer(inputCols=list(columns), outputCols=[c + INDEX for c in columns])
+
+
 def one_hot_encoder(columns: Sequence[str]) -> OneHotEncoder:
     """One slot per label of the string index, and one for unseen or null."""
     return OneHotEncoder(
@@ -30,17 +36,24 @@ def one_hot_encoder(columns: Sequence[str]) -> OneHotEncoder:
     )
 
 
-def preparation(numeric: Sequence[str], categorical: Sequence[str] = ()) -> Pipeline:
-    """Unfitted stages from raw columns to ``features``."""
+def preparation(
+    numeric: Sequence[str], categorical: Sequence[str] = (), label_tables: bool = False
+) -> Pipeline:
+    """Unfitted stages from raw columns to ``features``.
+
+    With ``label_tables`` the labels of the categories stay in tables, and neither the
+    driver nor the tasks hold a list of them.
+    """
     stages = []
     if categorical:
-        stages = [string_indexer(categorical), one_hot_encoder(categorical)]
+        indexer = table_indexer if label_tables else string_indexer
+        stages = [indexer(categorical), one_hot_encoder(categorical)]
     inputs = [*numeric, *(c + ONE_HOT for c in categorical)]
     return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features")])
 
 
 def fold_preparation(spec: FeatureSpec, fold: int, variant: str = FULL) -> Pipeline:
-    return preparation(spec.numeric(fold, variant), spec.categorical)
+    return preparation(spec.numeric(fold, variant), spec.categorical, spec.label_tables)
 
 
 def slots(df: DataFrame, vector: str, prefix: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stridecast.functions.dates import Day, as_date, day_column
+from stridecast.sources.commits import CommitLog
 
 
 def results_path(root: str, target: str) -> str:
@@ -25,30 +27,39 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+_PART = "dt_execution="
+
+
+def _written_before(log: CommitLog) -> dict[str, str]:
+    """Executions of a table without commits, which lie below its path."""
+    return {name: name for name in log.folders(prefix=_PART)}
+
+
 def write_predictions(
     df: DataFrame, root: str, target: str, gather: bool = False, execution: Day = None
 ) -> str:
     """Writes predictions by ``dt_execution`` and returns the path.
 
-    Executions already there stay, but for those written again. ``execution`` names the
-    only one in ``df``; what it has written before goes, also if ``df`` has no rows. It is
-    written where its rows are. For a table of many executions ``gather`` brings
-    each day together first, so that not every task writes a file per day;
-    rebalancing splits large days over many tasks.
+    Executions already there stay, but for those written again. These are replaced in one
+    step when all rows are written (see ``CommitLog``): a write that fails changes
+    nothing, and what has been read before can still be used until the next write.
+    ``execution`` names the only one in ``df``; what it has written before goes, also if
+    ``df`` has no rows. It is written where its rows are. For a table of many executions
+    ``gather`` brings each day together first, so that not every task writes a file per
+    day; rebalancing splits large days over many tasks.
     """
     path = results_path(root, target)
+    log, version = CommitLog(df.sparkSession, path), f"version=v{uuid.uuid4().hex}"
     if execution is not None:
-        partition = f"{path}/dt_execution={as_date(execution).isoformat()}"
-        df.drop("dt_execution").write.mode("overwrite").parquet(partition)
-        return path
-    if gather:
-        df = df.hint("rebalance", "dt_execution")
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt_execution")
-        .parquet(path)
-    )
+        part = _PART + as_date(execution).isoformat()
+        df.drop("dt_execution").write.parquet(f"{path}/{version}/{part}")
+        changed = [part]
+    else:
+        if gather:
+            df = df.hint("rebalance", "dt_execution")
+        df.write.partitionBy("dt_execution").parquet(f"{path}/{version}")
+        changed = log.folders(version, _PART)
+    log.commit({part: f"{version}/{part}" for part in changed}, _written_before(log))
     return path
 
 
@@ -66,7 +77,19 @@ def read_predictions(
     look into the files, of which there may be none yet.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.parquet(results_path(root, target))
+    path = results_path(root, target)
+    parts = CommitLog(spark, path).latest()
+    if parts is None:
+        df = reader.parquet(path)
+    elif parts:
+        reader = reader.option("basePath", path)
+        # Executions that were written before there were commits have no version folder.
+        plain = [f"{path}/{f}" for f in sorted(parts.values()) if f.startswith(_PART)]
+        versions = [f"{path}/{f}" for f in sorted(parts.values()) if not f.startswith(_PART)]
+        frames = [reader.parquet(*folders).drop("version") for folders in (versions, plain) if folders]
+        df = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+    else:
+        df = spark.createDataFrame([], schema or "dt_execution date")
     if executions is not None:
         df = df.where(F.col("dt_execution").isin([as_date(d) for d in executions]))
     if last_execution is not None:

@@ -207,6 +207,35 @@ ORACLE_SQL = {
         from days cross join {_FOLD_DAYS} t(fold, a, b)
     """,
     "fold_assign": f"with {_FOLDS} select o_orderkey, d as o_orderdate, fold from folded",
+    "fold_assign_months": f"""
+        with splits as (
+            select distinct cast(date_trunc('month', o_orderdate) as date) as split_date from orders
+        ),
+        starts as (
+            select split_date, fold, split_date + a as first_day,
+                   case when b is null then cast(last_day(split_date + interval 5 month) as date)
+                        else split_date + b end as final_day
+            from splits cross join {_FOLD_DAYS} t(fold, a, b)
+        )
+        select o_orderkey, cast(o_orderdate as date) as o_orderdate, split_date, fold
+        from orders join starts on cast(o_orderdate as date) between first_day and final_day
+    """,
+    "fold_counts_daily": f"""
+        with splits as (select distinct cast(o_orderdate as date) as split_date from orders),
+        starts as (
+            select split_date, fold, split_date + a as first_day,
+                   least(coalesce(split_date + b, date '9999-12-31'),
+                         cast(last_day(split_date + interval 1 month) as date)) as final_day
+            from splits cross join {_FOLD_DAYS} t(fold, a, b)
+        ),
+        daily as (
+            select cast(o_orderdate as date) as d, count(*) as n,
+                   sum(cast(o_totalprice as decimal(18,2))) as price
+            from orders group by 1
+        )
+        select split_date, fold, cast(sum(n) as bigint) as row_count, cast(sum(price) as double) as total
+        from daily join starts on d between first_day and final_day group by all
+    """,
     "fold_assign_short": _SHORT,
     "fold_calendar_short": _SHORT,
     "fold_assign_timestamps": """
@@ -357,6 +386,16 @@ ORACLE_SQL = {
         from orders left join priorities p on o_orderpriority = p.label
         left join statuses s on o_orderstatus = s.label
     """,
+    "string_index_table": f"""
+        with {_RANKS.format(name="customers", column="cast(o_custkey as varchar)", more="")},
+        {_RANKS.format(name="priorities", column="o_orderpriority", more="")}
+        select o_orderkey,
+               cast(coalesce(c.i, (select count(*) from customers)) as double) as o_custkey_tmp,
+               cast(coalesce(p.i, (select count(*) from priorities)) as double)
+                   as o_orderpriority_tmp
+        from orders left join customers c on cast(o_custkey as varchar) = c.label
+        left join priorities p on o_orderpriority = p.label
+    """,
     "one_hot": f"""
         with {_RANKS.format(name="ranks", column="o_orderpriority",
                             more=" and o_orderpriority <> '5-LOW'")}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,6 +130,26 @@ def fold_assign(spark, sf_dir):
     return _plain_date(folds.assign_fold(orders, "o_orderdate", SPLIT))
 
 
+@query
+def fold_assign_months(spark, sf_dir):
+    """Each order's fold in every execution on the first of a month that tests it."""
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_orderdate")
+    months = orders.select(F.trunc("o_orderdate", "month").alias("month"))
+    found = folds.assign_folds(orders, "o_orderdate", months, "month")
+    return _plain_date(found.withColumnRenamed("month", "split_date"))
+
+
+@query
+def fold_counts_daily(spark, sf_dir):
+    """Rows and amount of each fold of every day on which an execution could have started."""
+    orders = _orders(spark, sf_dir).select("o_orderdate", money("o_totalprice").alias("price"))
+    days = orders.select(F.col("o_orderdate").alias("split_date"))
+    found = folds.assign_folds(orders, "o_orderdate", days, "split_date", months_ahead=1)
+    return found.groupBy("split_date", "fold").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("price").cast("double").alias("total")
+    )
+
+
 @query
 def fold_assign_short(spark, sf_dir):
     """A horizon that ends before the last folds begin: these have no rows."""
@@ -329,6 +349,16 @@ def string_index(spark, sf_dir):
     )
 
 
+@query
+def string_index_table(spark, sf_dir):
+    """The index of every customer from a table of labels, saved and loaded in a pipeline."""
+    path = shared_folder(spark, "index")
+    indexer = prep.table_indexer(["o_custkey", "o_orderpriority"])
+    Pipeline(stages=[indexer]).fit(_train_orders(spark, sf_dir)).write().save(path)
+    found = PipelineModel.load(path).transform(_orders(spark, sf_dir))
+    return found.select("o_orderkey", "o_custkey" + INDEX, "o_orderpriority" + INDEX)
+
+
 @query
 def one_hot(spark, sf_dir):
     """Fitted without one priority, which then shares the last slot with nulls."""

@@ -1,0 +1,109 @@
+"""Results that are replaced as a whole or not at all."""
+
+import os
+import threading
+
+import pytest
+from helpers import plan, rows
+from pyspark.sql import functions as F
+
+from stridecast.sources.commits import CommitLog
+from stridecast.sources.results import read_predictions, results_path, write_predictions
+
+COLUMNS = ("id", "t_pred", "dt_execution")
+
+
+def forecasts(spark, value, days=("2018-01-01", "2018-02-01"), n=4):
+    made = [(i, float(value), d) for d in days for i in range(n)]
+    return spark.createDataFrame(made, "id int, t_pred double, e string").selectExpr(
+        "id", "t_pred", "to_date(e) as dt_execution"
+    )
+
+
+def read(spark, root, **kwargs):
+    return rows(read_predictions(spark, root, "t", **kwargs), *COLUMNS)
+
+
+def folders(root):
+    top = results_path(root, "t")
+    return {f"{v}/{d}" for v in os.listdir(top) if v.startswith("version") for d in os.listdir(f"{top}/{v}") if "=" in d}
+
+
+@pytest.mark.parametrize("execution", [None, "2018-02-01"])
+def test_a_failed_write_changes_nothing(spark, root, execution):
+    write_predictions(forecasts(spark, 1), root, "t")
+    before = read(spark, root)
+    bad = forecasts(spark, 2, ["2018-02-01"], 500).repartition(8)
+    bad = bad.withColumn("t_pred", F.when(F.col("id") < 499, 2.0).otherwise(F.raise_error(F.lit("lost")).cast("double")))
+    with pytest.raises(Exception, match="lost"):
+        write_predictions(bad, root, "t", execution=execution)
+    assert read(spark, root) == before
+    write_predictions(forecasts(spark, 3, ["2018-02-01"]), root, "t", execution=execution)
+    assert read(spark, root) == rows(forecasts(spark, 1, ["2018-01-01"]).unionByName(forecasts(spark, 3, ["2018-02-01"])))
+
+
+def test_a_failed_first_write_leaves_no_table(spark, root):
+    bad = forecasts(spark, 2).withColumn("t_pred", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        write_predictions(bad, root, "t")
+    assert CommitLog(spark, results_path(root, "t")).latest() is None
+
+
+def test_a_reader_that_has_begun_keeps_its_rows(spark, root):
+    write_predictions(forecasts(spark, 1), root, "t")
+    begun = read_predictions(spark, root, "t")
+    write_predictions(forecasts(spark, 2), root, "t")
+    assert rows(begun, *COLUMNS) == rows(forecasts(spark, 1)) and read(spark, root) == rows(forecasts(spark, 2))
+
+
+def test_replaced_folders_go(spark, root):
+    for value in range(4):
+        write_predictions(forecasts(spark, value, ["2018-02-01"]), root, "t", execution="2018-02-01")
+    write_predictions(forecasts(spark, 9, ["2018-03-01"]), root, "t", execution="2018-03-01")
+    assert len(folders(root)) == 2 and len(os.listdir(results_path(root, "t") + "/_commits")) <= 4
+    write_predictions(forecasts(spark, 8, ["2018-03-01"]), root, "t", execution="2018-03-01")
+    assert len(folders(root)) == 3  # the one before stays for its readers
+    assert read(spark, root) == rows(forecasts(spark, 3, ["2018-02-01"]).unionByName(forecasts(spark, 8, ["2018-03-01"])))
+
+
+def test_writers_at_the_same_time(spark, root):
+    days = [f"2018-0{m}-01" for m in range(1, 7)]
+    failed = []
+
+    def write(day):
+        try:
+            write_predictions(forecasts(spark, 5, [day]), root, "t", execution=day)
+        except Exception as e:
+            failed.append(e)
+
+    threads = [threading.Thread(target=write, args=(d,)) for d in days]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert not failed and read(spark, root) == rows(forecasts(spark, 5, days))
+
+
+def test_a_taken_number_is_not_overwritten(spark, root):
+    log = CommitLog(spark, root + "/table")
+    assert log._put(0, {"a": "x"}) and not log._put(0, {"a": "y"})
+    assert log.latest() == {"a": "x"}
+    log.commit({"b": "z"})
+    assert log.latest() == {"a": "x", "b": "z"}
+
+
+def test_tables_without_commits_are_taken_over(spark, root):
+    forecasts(spark, 1).write.partitionBy("dt_execution").parquet(results_path(root, "t"))
+    assert read(spark, root) == rows(forecasts(spark, 1))
+    write_predictions(forecasts(spark, 2, ["2018-02-01"]), root, "t")
+    assert read(spark, root) == rows(forecasts(spark, 1, ["2018-01-01"]).unionByName(forecasts(spark, 2, ["2018-02-01"])))
+
+
+def test_only_wanted_executions_are_read(spark, root):
+    write_predictions(forecasts(spark, 1), root, "t")
+    found = read_predictions(spark, root, "t", executions=["2018-01-01"])
+    assert found.columns == list(COLUMNS) and "PartitionFilters: [isnotnull(dt_execution" in plan(found)
+    assert read(spark, root, last_execution="2018-01-15") == rows(forecasts(spark, 1, ["2018-01-01"]))
+
+
+def test_nothing_written(spark, root):
+    write_predictions(forecasts(spark, 1).limit(0), root, "t")
+    assert read_predictions(spark, root, "t", schema=forecasts(spark, 1).schema).collect() == []
