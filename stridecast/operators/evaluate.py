@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.config import AE, APE, OUTLIER_PERCENT, SE
@@ -62,6 +62,35 @@ def _finest(df: DataFrame, target: str, prediction: str, levels: Sequence[str],
     )
 
 
+def partial_sums(
+    df: DataFrame,
+    target: str,
+    prediction: str,
+    levels: Sequence[str],
+    outliers: Sequence[int] = OUTLIER_PERCENT,
+    more: Sequence[Column] = (),
+) -> DataFrame:
+    """One row per combination of levels, with all that errors are made of.
+
+    The columns behind the levels are sums and counts (``more`` of them can be given):
+    those of several tables can be put together, and ``levels_of`` and ``summary_of`` add
+    them up.
+    """
+    ape, ae = percentage_error(target, prediction), absolute_error(target, prediction)
+    return _finest(
+        df,
+        target,
+        prediction,
+        levels,
+        F.sum(ape).alias("_ape"),
+        F.count(ape).alias("_ape_rows"),
+        F.sum(ae).alias("_ae"),
+        F.count(ae).alias("_ae_rows"),
+        *(F.count_if(ape > float(k)).alias(f"_over_{k}") for k in outliers),
+        *more,
+    )
+
+
 def level_errors(
     df: DataFrame, target: str, prediction: str, levels: Sequence[str], full: bool = True
 ) -> DataFrame:
@@ -69,14 +98,18 @@ def level_errors(
 
     ``level`` is the grouping id: it tells a total from a null group.
     """
-    finest = _finest(df, target, prediction, levels)
-    sums = finest.groupingSets(_grouping_sets(levels, full), *levels).agg(
+    return levels_of(_finest(df, target, prediction, levels), levels, full)
+
+
+def levels_of(sums: DataFrame, levels: Sequence[str], full: bool = True) -> DataFrame:
+    """``level_errors`` from partial sums."""
+    found = sums.groupingSets(_grouping_sets(levels, full), *levels).agg(
         F.grouping_id().alias("level"),
         F.sum("_target").cast("double").alias("sum_target"),
         F.sum("_prediction").cast("double").alias("sum_prediction"),
         F.sum("_rows").alias("row_count"),
     )
-    return sums.withColumns(
+    return found.withColumns(
         {
             "abs_error": absolute_error("sum_target", "sum_prediction"),
             "abs_perc_error": percentage_error("sum_target", "sum_prediction"),
@@ -98,19 +131,21 @@ def error_summary(
     the grouped columns. Level values are unweighted means over the groups, null
     errors left out. An empty input gives null values.
     """
-    ape, ae = percentage_error(target, prediction), absolute_error(target, prediction)
-    parts = [
-        F.sum(ape).alias("_ape"),
-        F.count(ape).alias("_ape_rows"),
-        F.sum(ae).alias("_ae"),
-        F.count(ae).alias("_ae_rows"),
-        *(F.count_if(ape > float(k)).alias(f"_over_{k}") for k in outliers),
-    ]
-    finest = _finest(df, target, prediction, levels, *parts)
+    return summary_of(partial_sums(df, target, prediction, levels, outliers), levels, full, outliers)
+
+
+def summary_of(
+    sums: DataFrame,
+    levels: Sequence[str],
+    full: bool = True,
+    outliers: Sequence[int] = OUTLIER_PERCENT,
+) -> DataFrame:
+    """``error_summary`` from partial sums."""
     sets = _grouping_sets(levels, full)
-    sums = finest.groupingSets([*sets, []], *levels).agg(
+    added = ["_target", "_prediction", "_rows", "_ape", "_ape_rows", "_ae", "_ae_rows"]
+    sums = sums.groupingSets([*sets, []], *levels).agg(
         F.grouping_id().alias("level"),
-        *(F.sum(c).alias(c) for c in finest.columns if c not in levels),
+        *(F.sum(c).alias(c) for c in [*added, *(f"_over_{k}" for k in outliers)]),
     )
     sums = sums.withColumns(
         {

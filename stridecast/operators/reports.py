@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stridecast.functions.dates import Day, day_column, month_of
@@ -47,6 +47,47 @@ def date_range(df: DataFrame, date: str, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by).agg(F.min(day).alias("date_min"), F.max(day).alias("date_max"))
 
 
+class Seen:
+    """What a job sees of rows while it passes them on: full and basic test rows, scored
+    rows, and their days. Read it when the job is done; it costs no scan of its own.
+
+    Counts are Spark's observed metrics, of the tasks whose results are used.
+    """
+
+    def __init__(self):
+        self._tests, self._scored = Observation(), Observation()
+
+    def tests(self, rows: DataFrame, is_basic: Column) -> DataFrame:
+        return rows.observe(
+            self._tests,
+            F.coalesce(F.count_if(~is_basic), F.lit(0)).alias("n_full"),
+            F.coalesce(F.count_if(is_basic), F.lit(0)).alias("n_basic"),
+        )
+
+    def scored(self, rows: DataFrame, date: str) -> DataFrame:
+        day = F.to_date(date)
+        return rows.observe(
+            self._scored,
+            F.count(F.lit(1)).alias("n"),
+            F.min(day).alias("first"),
+            F.max(day).alias("last"),
+        )
+
+    def metrics(self, results: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """``prediction_metrics`` of the rows that were seen; ``results`` are read for
+        duplicates of their keys alone."""
+        tests, scored = self._tests.get, self._scored.get
+        # The names of the metrics.
+        return duplicate_check(results, keys).select(
+            F.col("duplicates").alias("check_duplicates"),
+            F.lit(scored["n"]).cast("long").alias("results_full_count"),
+            F.lit(tests["n_full"]).cast("long").alias("test_set_count"),
+            F.lit(tests["n_basic"]).cast("long").alias("test_basic_set_count"),
+            F.lit(scored["first"]).cast("date").alias("pred_date_min"),
+            F.lit(scored["last"]).cast("date").alias("pred_date_max"),
+        )
+
+
 def prediction_metrics(
     df: DataFrame, tests: DataFrame, keys: Sequence[str], date: str
 ) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +20,7 @@ from stridecast.config import (
 from stridecast.functions.dates import Day, before, typed
 from stridecast.functions.sampling import in_fraction, sampling_hash
 from stridecast.operators.folds import fold_number, in_fold, in_horizon
+from stridecast.sources.shared import written
 
 # Leading hex digits of the sampling hash that are counted, level by level, to find
 # the n-th key. A level has 16**3 groups, few enough to be combined before the
@@ -146,37 +147,43 @@ def sample_count(
 
     ``keys`` should identify a row; of the copies of the last key so many are taken
     that ``n`` rows come out.
-    Counting runs at once, in three jobs that read the keys alone: each counts the
-    rows per hash prefix and moves into the group where the running count reaches
-    ``n``. That fixes the last hash to keep. The rows themselves only pass a
-    filter; they are neither shuffled nor sorted.
+    The last hash to keep is found at once, by two scans of the keys: one counts the rows
+    per leading digits of the hash, the other writes the hashes of the group in which the
+    running count reaches ``n``, with their rows, to the shared folder. What is left is
+    decided there, one in 4,096 rows or a hot key counted up. The rows themselves
+    only pass a filter; they are neither shuffled nor sorted.
     """
     if not keys:
         raise ValueError("sampling a number of rows needs the columns that identify a row")
     digest = sampling_hash(keys, seed)
-    inside, ahead, last = F.lit(True), 0, None
+    hashes = df.select(digest.alias("_digest"), F.lit(1).alias("_rows"))
+    ahead, last = 0, None
     for digits in _DIGITS:
-        prefix = F.substring(digest, 1, digits)
-        per_prefix = df.where(inside).groupBy(prefix.alias("prefix")).agg(
-            F.count(F.lit(1)).alias("rows")
-        )
-        upto = F.sum("rows").over(W.orderBy("prefix")) + ahead
-        edge = (
-            per_prefix.withColumn("upto", upto)
-            .where(F.col("upto") >= n)
-            .agg(F.min_by(F.struct("prefix", "rows", "upto"), "prefix").alias("edge"))
-            .first()
-            .edge
-        )
+        if last is not None:
+            hashes = hashes.where(F.startswith("_digest", F.lit(last)))
+            if digits == _DIGITS[1]:
+                counts = hashes.groupBy("_digest").agg(F.sum("_rows").alias("_rows"))
+                hashes = written(counts, "sample")
+        edge = _edge(hashes, digits, n - ahead)
         if edge is None:
             return df
-        last, ahead = edge.prefix, edge.upto - edge.rows
-        inside = prefix == last
-    if edge.upto == n:
+        last, ahead = edge.prefix, ahead + edge.upto - edge.rows
+    if ahead + edge.rows == n:
         return df.where(digest <= last)
     return df.where(digest < last).unionByName(df.where(digest == last).limit(n - ahead))
 
 
+def _edge(hashes: DataFrame, digits: int, n: int) -> Row | None:
+    """The first ``prefix`` of so many digits up to which there are ``n`` rows, with its
+    ``rows`` and those ``upto`` it; None if there are fewer."""
+    per_prefix = hashes.groupBy(F.substring("_digest", 1, digits).alias("prefix")).agg(
+        F.sum("_rows").alias("rows")
+    )
+    upto = F.sum("rows").over(W.orderBy("prefix"))
+    reached = per_prefix.withColumn("upto", upto).where(F.col("upto") >= n)
+    return reached.agg(F.min_by(F.struct("prefix", "rows", "upto"), "prefix").alias("edge")).first().edge
+
+
 def lacks(df: DataFrame, columns: Sequence[str]) -> Column:
     """True where any of the columns is null or, as a float, not a number."""
     flag = F.lit(False)

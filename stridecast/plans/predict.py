@@ -12,7 +12,7 @@ from stridecast.config import BASIC, FOLD_START_DAYS, FULL, MONTHS_AHEAD, UNSCOR
 from stridecast.functions.dates import Day, as_date, before, typed
 from stridecast.operators.folds import assign_fold, fold_number, in_horizon
 from stridecast.operators.forest import FoldModel, importance_report, score_routed
-from stridecast.operators.reports import month_report, prediction_metrics, tag_execution
+from stridecast.operators.reports import Seen, month_report, prediction_metrics, tag_execution
 from stridecast.operators.split import lacks
 from stridecast.plans.backtest import backtest as run_backtest
 from stridecast.sources.artifacts import execution_path, load_models
@@ -76,13 +76,15 @@ def predictions(
     split: Day,
     starts: tuple[int, ...] = FOLD_START_DAYS,
     months_ahead: int = MONTHS_AHEAD,
+    seen: Seen | None = None,
 ) -> DataFrame:
     """Ids, date and prediction of every test row, with its fold and variant. Lazy.
 
     One scan and one projection, whatever the number of models: a row's fold and the
     features it lacks tell its model, and only that one is computed for it. Rows that lack
     a feature go to the basic model. Rows it cannot score either, or all of them where
-    there is none, keep their place with a null prediction.
+    there is none, keep their place with a null prediction. ``seen`` counts the rows while
+    they pass.
     """
     if len(starts) != len(spec.features):
         raise ValueError("the calendar and the spec differ in their number of folds")
@@ -103,9 +105,13 @@ def predictions(
         for (fold, kind), model in of.items()
         if fold in spec.folds
     ]
-    scored = score_routed(rows.withColumn("variant", variant), branches, spec.prediction)
+    rows = rows.withColumn("variant", variant)
+    if seen is not None:
+        rows = seen.tests(rows, F.col("variant") != FULL)
+    scored = score_routed(rows, branches, spec.prediction)
     results = scored.select(*_columns(spec), spec.prediction, "fold", "variant")
-    return tag_execution(results, split, spec.date)
+    results = tag_execution(results, split, spec.date)
+    return results if seen is None else seen.scored(results, spec.date)
 
 
 def predict(
@@ -127,7 +133,7 @@ def predict(
     ``dt_execution`` (``first_day`` if not given). With ``root``, predictions are
     written below it as a partition of the execution and the importances as CSV.
     ``results`` then reads what was written, so that the reports of ``checks`` do not
-    score again.
+    score again; rows are counted while they are written, and ``data`` is not read again.
     ``csv`` writes the predictions as CSV as well. Without ``root`` all is lazy.
     ``keys`` identify a row for the duplicate check. With ``checks``, ``root`` and the
     target in ``data``, the executions before ``first_day`` that are below ``root`` are
@@ -142,10 +148,11 @@ def predict(
         trained = first_day if dt_execution is None else dt_execution
         models = load_models(spark, execution_path(root, spec.target, trained), spec)
     report = importance_report(models, data, spec.target, first_day)
+    seen = Seen() if checks and root is not None else None
     if root is None:
         results = predictions(data, spec, models, first_day, starts, months_ahead)
     else:
-        scored = predictions(data, spec, models, first_day, starts, months_ahead)
+        scored = predictions(data, spec, models, first_day, starts, months_ahead, seen)
         write_predictions(scored, root, spec.target, execution=first_day)
         results = read_predictions(spark, root, spec.target, [first_day], schema=scored.schema)
         write_csv(report, csv_path(root, spec.target, "feat_importance", first_day))
@@ -153,8 +160,11 @@ def predict(
             write_csv(results, csv_path(root, spec.target, "results", first_day))
     metrics = months = past_errors = None
     if checks:
-        tests = rows_to_score(data, spec, first_day, starts, months_ahead)
-        metrics = prediction_metrics(results, tests, keys or spec.ids, spec.date)
+        if seen is not None:
+            metrics = seen.metrics(results, keys or spec.ids)
+        else:
+            tests = rows_to_score(data, spec, first_day, starts, months_ahead)
+            metrics = prediction_metrics(results, tests, keys or spec.ids, spec.date)
         months = month_report(results, spec.date, spec.ids[0], spec.prediction)
         if root is not None and spec.target in data.columns:
             past = read_predictions(spark, root, spec.target, schema=results.schema)

@@ -35,10 +35,8 @@ def _written_before(log: CommitLog) -> dict[str, str]:
     return {name: name for name in log.folders(prefix=_PART)}
 
 
-def write_predictions(
-    df: DataFrame, root: str, target: str, gather: bool = False, execution: Day = None
-) -> str:
-    """Writes predictions by ``dt_execution`` and returns the path.
+def replace_executions(df: DataFrame, path: str, gather: bool = False, execution: Day = None) -> None:
+    """Writes the rows of ``df`` to the table at ``path`` by ``dt_execution``.
 
     Executions already there stay, but for those written again. These are replaced in one
     step when all rows are written (see ``CommitLog``): a write that fails changes
@@ -48,7 +46,6 @@ def write_predictions(
     ``gather`` brings each day together first, so that not every task writes a file per
     day; rebalancing splits large days over many tasks.
     """
-    path = results_path(root, target)
     log, version = CommitLog(df.sparkSession, path), f"version=v{uuid.uuid4().hex}"
     if execution is not None:
         part = _PART + as_date(execution).isoformat()
@@ -60,24 +57,21 @@ def write_predictions(
         df.write.partitionBy("dt_execution").parquet(f"{path}/{version}")
         changed = log.folders(version, _PART)
     log.commit({part: f"{version}/{part}" for part in changed}, _written_before(log))
-    return path
 
 
-def read_predictions(
+def read_executions(
     spark: SparkSession,
-    root: str,
-    target: str,
+    path: str,
     executions: Sequence[Day] | None = None,
     last_execution: Day = None,
     schema: StructType | None = None,
 ) -> DataFrame:
-    """Predictions of the given executions, or of all up to the last one wanted.
+    """The given executions of a table, or all up to the last one wanted.
 
     Both are partition filters: other executions are not read. ``schema`` spares a
     look into the files, of which there may be none yet.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    path = results_path(root, target)
     parts = CommitLog(spark, path).latest()
     if parts is None:
         df = reader.parquet(path)
@@ -95,3 +89,25 @@ def read_predictions(
     if last_execution is not None:
         df = df.where(F.col("dt_execution") <= day_column(last_execution))
     return df
+
+
+def write_predictions(
+    df: DataFrame, root: str, target: str, gather: bool = False, execution: Day = None
+) -> str:
+    """Writes predictions by ``dt_execution`` and returns the path; see ``replace_executions``."""
+    path = results_path(root, target)
+    replace_executions(df, path, gather, execution)
+    return path
+
+
+def read_predictions(
+    spark: SparkSession,
+    root: str,
+    target: str,
+    executions: Sequence[Day] | None = None,
+    last_execution: Day = None,
+    schema: StructType | None = None,
+) -> DataFrame:
+    """Predictions of the given executions, or of all up to the last one wanted; see
+    ``read_executions``."""
+    return read_executions(spark, results_path(root, target), executions, last_execution, schema)

@@ -456,6 +456,21 @@ ORACLE_SQL = {
                min(d) as pred_date_min, max(d) as pred_date_max
         from tested
     """,
+    "predict_checks": f"""
+        with {_FOLDS},
+        tested as (
+            select f.*, exists (select 1 from lineitem where l_orderkey = o_orderkey) as has_lines
+            from folded f
+        )
+        select (select count(*) from (select distinct o_orderkey, o_custkey from tested))
+                   - count(*) as check_duplicates,
+               count(*) as results_full_count,
+               count(*) filter (where has_lines) as test_set_count,
+               count(*) filter (where not has_lines) as test_basic_set_count,
+               min(d) as pred_date_min, max(d) as pred_date_max,
+               count(*) as csv_count
+        from tested
+    """,
     "results_written": f"""
         with {_HISTORY}
         select o_orderkey, d as o_orderdate, gross as o_totalprice_pred,
@@ -494,6 +509,43 @@ ORACLE_SQL = {
                count(*) filter (where is_outlier) as outlier_count
         from flagged group by 1
     """,
+    "backtest_history": f"""
+        with {_HISTORY},
+        scored as (
+            select cast(date_trunc('month', d) as date) as dt_execution,
+                   abs((o_totalprice - gross) / nullif(o_totalprice, 0) * 100) as ape,
+                   abs(o_totalprice - gross) as ae
+            from history
+            where d > (select max(cast(o_orderdate as date)) from orders) - 900
+        ),
+        flagged as (select *, coalesce(ape > 100, false) as is_outlier from scored)
+        select dt_execution,
+               round(avg(ape) filter (where not is_outlier), 6) as mape,
+               round(avg(ae) filter (where not is_outlier), 4) as mae,
+               round(sqrt(avg(ae * ae) filter (where not is_outlier)), 4) as rmse,
+               count(*) filter (where not is_outlier) as row_count,
+               count(*) filter (where is_outlier) as outlier_count
+        from flagged group by 1
+    """,
+    "history_levels": f"""
+        with {_HISTORY},
+        rows as (
+            select cast(date_trunc('month', d) as date) as dt_execution, o_orderpriority,
+                   cast(o_totalprice as decimal(18,2)) as t, cast(gross as decimal(18,2)) as p
+            from history where d between date '2000-01-15' and date '2001-02-10'
+        ),
+        sums as (
+            select dt_execution, o_orderpriority,
+                   grouping(dt_execution, o_orderpriority) as level,
+                   cast(sum(t) as double) as sum_target, cast(sum(p) as double) as sum_prediction,
+                   count(*) as row_count
+            from rows
+            group by grouping sets ((dt_execution, o_orderpriority), (dt_execution), (o_orderpriority))
+        )
+        select *, abs(sum_target - sum_prediction) as abs_error,
+               abs((sum_target - sum_prediction) / nullif(sum_target, 0) * 100) as abs_perc_error
+        from sums
+    """,
     "rf_predict": f"""
         with {_FOLDS}, {_STUMP},
         tested as (

@@ -13,6 +13,7 @@ from stridecast.config import BASIC, FULL, INDEX, ONE_HOT, ForestParams
 from stridecast.functions.dates import as_date, before
 from stridecast.operators import evaluate, features, folds, prep, reports, split
 from stridecast.operators.forest import importance_report
+from stridecast.plans import history
 from stridecast.plans.backtest import backtest as run_backtest
 from stridecast.plans.evaluation import Evaluation, evaluate as run_evaluation
 from stridecast.plans.predict import predict, union_results
@@ -501,9 +502,46 @@ def backtest(spark, sf_dir):
     )
 
 
+@query
+def backtest_history(spark, sf_dir):
+    """The back-test from recorded sums: all executions but one, then that one, and one again."""
+    root = shared_folder(spark, "history")
+    made, actuals = _monthly_forecasts(spark, sf_dir), _orders(spark, sf_dir)
+    late, again = as_date("2001-03-01"), as_date(SPLIT)
+    spoilt = F.when(F.col("dt_execution") == again, 0.0).otherwise(F.col("o_totalprice_pred"))
+    first = made.where(F.col("dt_execution") != late).withColumn("o_totalprice_pred", spoilt)
+    settings = (actuals, root, ["o_orderkey"], "o_totalprice", "o_orderdate")
+    history.record(first, *settings)
+    history.record(made, *settings, execution=late)
+    history.record(made, *settings, execution=again)
+    sums = history.history(spark, root, "o_totalprice")
+    errors = history.recorded_backtest(sums, days=900)
+    return errors.select(
+        "dt_execution",
+        F.round("mape", 6).alias("mape"),
+        F.round("mae", 4).alias("mae"),
+        F.round(F.sqrt("mse"), 4).alias("rmse"),
+        "row_count",
+        "outlier_count",
+    )
+
+
+@query
+def history_levels(spark, sf_dir):
+    """Errors by execution and priority, and by each alone, from recorded sums."""
+    root = shared_folder(spark, "history")
+    orders = _orders(spark, sf_dir).withColumn("o_totalprice", money("o_totalprice"))
+    made = _monthly_forecasts(spark, sf_dir)
+    made = made.withColumn("o_totalprice_pred", money("o_totalprice_pred"))
+    history.record(made, orders, root, ["o_orderkey"], "o_totalprice", "o_orderdate", ["o_orderpriority"])
+    sums = history.history(spark, root, "o_totalprice", first_day="2000-01-15", last_day="2001-02-10")
+    return history.recorded_levels(sums, ["dt_execution", "o_orderpriority"])
+
+
 # --- models
 
 
+SMALL = ForestParams(num_trees=3, max_depth=2, max_features="all")
 # One tree of one split on flags, without a bootstrap: SQL finds the split with the
 # largest reduction of the variance, and the means of its two sides.
 STUMP = ForestParams(num_trees=1, max_depth=1, max_features="all", bootstrap=False)
@@ -519,6 +557,18 @@ def rf_predict(spark, sf_dir):
     return results.withColumn(FLAG_SPEC.prediction, F.round(FLAG_SPEC.prediction, 4))
 
 
+@query
+def predict_checks(spark, sf_dir):
+    """The metrics of a prediction that is written, also as CSV: counted while it is written."""
+    root = shared_folder(spark, "checked")
+    data = order_features(spark, sf_dir)
+    models = train(data, ORDER_SPEC, SPLIT, SMALL).models
+    out = predict(data, ORDER_SPEC, SPLIT, models=models, root=root, checks=True, csv=True)
+    saved = spark.read.option("header", True).csv(csv_path(root, ORDER_SPEC.target, "results", SPLIT))
+    rows = saved.agg(F.count(F.lit(1)).alias("csv_count")).scalar()
+    return out.metrics.withColumn("csv_count", rows)
+
+
 @query
 def feature_importance(spark, sf_dir):
     """Name, slot, value and rank of every feature, written as CSV and read back."""
@@ -570,8 +620,6 @@ def forest_training_error(spark, sf_dir):
 
 # What holds for any forest, so that SQL can check it.
 
-SMALL = ForestParams(num_trees=3, max_depth=2, max_features="all")
-
 
 @query
 def rf_predict_counts(spark, sf_dir):

@@ -6,6 +6,7 @@ from helpers import rows
 from stridecast.config import BASIC, FULL, FeatureSpec
 from stridecast.functions.sampling import sampling_hash
 from stridecast.operators import split
+from stridecast.sources.shared import written
 
 SPEC = FeatureSpec(
     target="t",
@@ -171,3 +172,21 @@ def test_one_pass_split_equals_the_frames(spark):
 def test_variant_in_one_pass(spark):
     df = spark.createDataFrame([(1, 1.0), (2, None), (3, float("nan"))], "id int, x double")
     assert rows(split.with_variant(df, ["x"]), "id", "variant") == [(1, "full"), (2, "basic"), (3, "basic")]
+
+
+@pytest.mark.parametrize("n", [2, 100, 1999, 2000, 2001, 2999, 3000, 3001])
+def test_sample_count_reads_the_keys_twice(spark, n, monkeypatch):
+    """Exact for unique keys, a hot key and nulls; all but the first count is made on a table."""
+    from stridecast.operators import split as module
+
+    tables = []
+    monkeypatch.setattr(module, "written", lambda df, name: tables.append(write(df, name)) or tables[-1])
+    write = written
+    df = spark.range(3000).selectExpr("if(id < 1000, 7, if(id % 100 = 0, null, id)) as k", "id")
+    found = module.sample_count(df, ["k"], n)
+    kept = [(r.k, r.id) for r in found.collect()]
+    assert len(kept) == min(n, 3000) == len(set(kept))
+    ranked = df.select("k", "id", sampling_hash(["k"]).alias("h")).collect()
+    last = sorted(r.h for r in ranked)[min(n, 3000) - 1]
+    assert {r.id for r in ranked if r.h < last} <= {i for _, i in kept} <= {r.id for r in ranked if r.h <= last}
+    assert len(tables) == (n <= 3000) and all(t.count() <= 10 for t in tables)
