@@ -12,8 +12,11 @@ A window is ``WINDOW`` consecutive words. The steps:
    through its shard's automaton, which gives all occurrences; a second digest of the
    whole window guards each of them.
 
-Copies of whole word sequences are set aside before step 1. Crowded shards are split:
-the text by a salt, the phrases into parts, each piece of text meeting every part.
+Copies of whole word sequences are set aside before step 1, by their SHA-256: they lose
+all words, and only text around recurring anchors is streamed, as nothing else can hold a
+recurring window. Automata match block digests and not characters, which would need about
+300 nodes a window; equality is that of two 64-bit digests of the window. Crowded shards
+are split: the text by a salt, the phrases into parts, each piece of text meeting every part.
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ WINDOW, ANCHOR = 50, 8
 BLOCK = WINDOW // 2
 #: Aims per task of step 3: phrases in an automaton, pieces of text that it reads, their bytes.
 PHRASES, PIECES, PIECE_BYTES = 100_000, 50_000, 32_000_000
+#: A shard is also split if it is crowded beside the others, but not below so many pieces and bytes.
+EVEN, LEAST_PIECES, LEAST_BYTES = 2, 500, 500_000
 #: So many shards' sizes are broadcast at most.
 BROADCAST_SHARDS = 200_000
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -311,13 +316,19 @@ def _spans(texts: DataFrame, phrases: DataFrame, shards: int) -> DataFrame:
         "pieces",
     )
     # A phrase that a text repeats over and over makes one long piece.
-    crowding = (F.count(F.lit(1)) / PIECES, F.sum(F.octet_length("piece")) / PIECE_BYTES)
-    sizes = (
-        pieces.groupBy("shard")
-        .agg(F.ceil(F.greatest(*crowding)).cast("int").alias("salts"))
-        .join(
-            phrases.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / PHRASES).cast("int").alias("parts")), "shard"
-        )
+    crowds = stage(
+        pieces.groupBy("shard").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("piece")).alias("bytes")
+        ),
+        "crowds",
+    )
+    total = crowds.agg(F.sum("n"), F.sum("bytes")).first()
+    each = [EVEN * (t or 0) / shuffle_partitions(pieces.sparkSession) for t in total]
+    most = min(PIECES, max(LEAST_PIECES, each[0])), min(PIECE_BYTES, max(LEAST_BYTES, each[1]))
+    salts = F.ceil(F.greatest(F.col("n") / most[0], F.col("bytes") / most[1])).cast("int")
+    parts = F.ceil(F.count(F.lit(1)) / PHRASES).cast("int")
+    sizes = crowds.select("shard", salts.alias("salts")).join(
+        phrases.groupBy("shard").agg(parts.alias("parts")), "shard"
     )
     sizes = checked_broadcast(stage(sizes, "shards"), shards, BROADCAST_SHARDS)
 
