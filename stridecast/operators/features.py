@@ -17,18 +17,49 @@ from stridecast.operators.lookup import BROADCAST_BYTES, ROWS_PER_TASK, attach
 from stridecast.operators.split import lacks
 from stridecast.sources.shared import written
 
+#: Columns with at most about so many values are counted by gathering them in sets.
+MOST_IN_SETS = 10_000
+
 # A day number no date has; rows without a date form their own day.
 _NO_DAY = -(10**9)
 
 
-def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row with the number of distinct values per column, null being a value."""
-    return df.agg(
-        *(
-            (F.count_distinct(c) + F.coalesce(F.max(F.isnull(c).cast("int")), F.lit(0))).alias(c)
-            for c in columns
-        )
-    )
+def distinct_values(
+    df: DataFrame, columns: Sequence[str], most_in_sets: int = MOST_IN_SETS
+) -> DataFrame:
+    """One row with the exact number of distinct values per column, null being a value.
+
+    Several distinct counts in one aggregate would make a row of every row and column.
+    So a sketch, taken at once, tells the columns with few values: their sets are
+    gathered side by side in one pass. Each other column (more than about ``most_in_sets``
+    values) is counted in a pass of its own.
+    """
+    columns = list(dict.fromkeys(columns))
+    if not columns:
+        raise ValueError("no columns to count")
+    sketched = df.agg(*(F.approx_count_distinct(F.col(c)).alias(c) for c in columns)).first()
+
+    def has_null(c: str) -> Column:
+        return F.coalesce(F.max(F.isnull(c).cast("int")), F.lit(0))
+
+    def in_set(c: str) -> Column:
+        if not isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+            return F.size(F.collect_set(c)).cast("long")
+        # -0.0 is 0.0, and all that is not a number is one value; sets tell them apart.
+        values = F.size(F.collect_set(F.when(~F.isnan(c), F.col(c) + 0.0))).cast("long")
+        return values + F.coalesce(F.max(F.isnan(c).cast("int")), F.lit(0))
+
+    def counted(c: str) -> DataFrame:
+        return df.select(c).distinct().agg(F.count(F.lit(1)).alias(c))
+
+    few = [c for c in columns if sketched[c] <= most_in_sets]
+    alone = [c for c in columns if c not in few]
+    if few:
+        found = df.agg(*((in_set(c) + has_null(c)).alias(c) for c in few))
+    else:
+        found = counted(alone.pop(0))
+    rest = {c: counted(c).scalar() for c in alone}
+    return found.select(*(rest[c].alias(c) if c in rest else c for c in columns))
 
 
 def cyclical(

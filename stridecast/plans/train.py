@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stridecast.config import BASIC, FULL, FeatureSpec, ForestParams
@@ -193,8 +192,9 @@ def train(
     """Fits every fold's models on the rows before ``split`` (today if not given).
 
     All folds share their training rows, so these are prepared once: spread
-    evenly, written to the shared folder, and cached on top, on disk where memory
-    is short. ``parallelism`` models are fitted at a time to keep the cluster busy
+    evenly and written to the shared folder, with the columns that some fold needs. Each
+    fit reads its own columns of that table, and nothing is cached beside it; rows
+    without target and the days of the rest are noted while it is written. ``parallelism`` models are fitted at a time to keep the cluster busy
     while one of them grows its last tree levels. ``fit_partitions`` fixes the
     number of partitions, which otherwise follows the size of the rows; with
     ``spread`` off, rows that are even already are not shuffled. Models are saved
@@ -205,17 +205,21 @@ def train(
     rows = training_set(data, spec, split, training_sample, sample_keys)
     if spread:
         rows = spread_evenly(rows, spec.ids, fit_partitions)
-    with staged(rows, "training") as table:
-        rows = table.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            lost = rows.where(lacks(rows, [spec.target])).count()
-            if lost:
-                raise ValueError(f"{lost} training rows have no {spec.target}")
-            models = fit_all(rows, spec, params, parallelism)
-            metrics = _gathered(training_metrics(rows, spec, params, training_sample))
-            errors = _gathered(training_error(models, rows, spec)) if checks else None
-        finally:
-            rows.unpersist()
+    seen, day = Observation(), F.to_date(spec.date)
+    rows = rows.observe(
+        seen,
+        F.coalesce(F.count_if(lacks(rows, [spec.target])), F.lit(0)).alias("lost"),
+        F.min(day).alias("first"),
+        F.max(day).alias("last"),
+    )
+    with staged(rows, "training") as rows:
+        if seen.get["lost"]:
+            raise ValueError(f"{seen.get['lost']} training rows have no {spec.target}")
+        models = fit_all(rows, spec, params, parallelism)
+        days = [(seen.get["first"],), (seen.get["last"],)]
+        days = spark.createDataFrame(days, f"`{spec.date}` date")
+        metrics = _gathered(training_metrics(days, spec, params, training_sample))
+        errors = _gathered(training_error(models, rows, spec)) if checks else None
     path = None
     if root is not None:
         path = execution_path(root, spec.target, split)

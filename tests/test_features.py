@@ -221,3 +221,21 @@ def test_dummy_vectors_without_categories(spark):
         "(0,[],[])"
     }
     assert features.dummy_vector(df.limit(0), "c").count() == 0
+
+
+def test_distinct_values_without_expand(spark):
+    from helpers import plan
+
+    df = spark.range(3000).selectExpr(
+        "cast(id % 7 as int) as few", "if(id % 50 = 0, null, id) as many", "concat('k', id % 900) as k",
+        "case id % 4 when 0 then -0.0D when 1 then 0.0D when 2 then double('NaN') else null end as f",
+        "date_add(date'2018-01-01', cast(id % 365 as int)) as d",
+    )
+    expected = {"few": 7, "many": 2941, "k": 900, "f": 3, "d": 365}
+    columns = list(expected)
+    for most in (10_000, 500, 5, -1):
+        found = features.distinct_values(df, columns, most)
+        assert found.columns == columns and found.first().asDict() == expected
+        assert "Expand" not in plan(found) and "NestedLoop" not in plan(found)
+    assert features.distinct_values(df.where("false"), columns).first().asDict() == dict.fromkeys(columns, 0)
+    assert features.distinct_values(df.where("false"), columns, -1).first().asDict() == dict.fromkeys(columns, 0)
