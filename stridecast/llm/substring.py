@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from stridecast.llm.tables import checked_broadcast, shuffle_partitions, stage
 from stridecast.llm.textbatch import BASES, Spans, Texts, Words, texts_of
+from stridecast.operators.lookup import attach
 
 WINDOW, ANCHOR = 50, 8
 BLOCK = WINDOW // 2
@@ -273,9 +274,8 @@ def find_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
         .groupBy("sha")
         .agg(F.min("doc_id").alias("owner"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .drop("n")
     )
-    profile = stage(profile.join(copied, "sha", "left"), "owners")
+    profile = stage(attach(profile, stage(copied, "copies"), ["sha"], "n", how="left"), "owners")
     keys = ["doc_id", "text_key"]
     anchored = (
         profile.where(F.col("doc_id") == F.coalesce("owner", "doc_id"))
