@@ -101,9 +101,10 @@ def test_one_scan_with_a_root(data, models, root, monkeypatch):
 
     plans, write = [], module.write_predictions
     monkeypatch.setattr(module, "write_predictions", lambda df, *a, **k: (plans.append(plan(df)), write(df, *a, **k)))
+    cached = set(data.sparkSession.sparkContext._jsc.getPersistentRDDs())
     result = predict(data, SPEC, SPLIT, models=models, root=root)
     assert of_each_kind(plans[0])["Scan"] == 1 and len(plans) == 1
-    assert not data.sparkSession.sparkContext._jsc.getPersistentRDDs()
+    assert set(data.sparkSession.sparkContext._jsc.getPersistentRDDs()) <= cached
     assert rows(result.results, "id", "t_pred") == [(i, p) for i, _, _, p in model_by_model(data, models)]
 
 
