@@ -17,7 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stridecast.llm.tables import SPACE_CLASS, shuffle_partitions, stage, text_or_empty
+from stridecast.llm.tables import (
+    SPACE_CLASS,
+    PlacedRows,
+    shuffle_partitions,
+    stage,
+    text_or_empty,
+)
 
 LEAST_COUNTERS = 256
 #: Summaries that one task merges at a time.
@@ -72,16 +78,16 @@ def frequent_digests(digests: DataFrame, k: int) -> DataFrame:
     return summaries.select(F.explode("digests").alias("digest"))
 
 
-def _marked(docs: DataFrame, text: str, doc_id: str, key: Column) -> DataFrame:
-    """``doc_id, key, digest, row`` of every document, with its group's ``winner`` (a
-    struct that ends in that row's ``id, key, row``) and ``group_size``."""
+def _marked(docs: DataFrame, text: str, doc_id: str, *place: Column) -> DataFrame:
+    """``doc_id``, the ``place`` columns, ``digest`` and ``row`` of every document, with its
+    group's ``winner`` (a struct that ends in that row's ``id, row``) and ``group_size``."""
     spark = docs.sparkSession
     k = max(LEAST_COUNTERS, 4 * shuffle_partitions(spark))
     body = text_or_empty(text)
     rows = stage(
         docs.select(
             F.col(doc_id).alias("doc_id"),
-            key.alias("key"),
+            *place,
             F.char_length(body).alias("n"),
             F.unhex(F.sha2(F.regexp_replace(body, f"{SPACE_CLASS}+", ""), 256)).alias("digest"),
             F.monotonically_increasing_id().alias("row"),
@@ -90,7 +96,7 @@ def _marked(docs: DataFrame, text: str, doc_id: str, key: Column) -> DataFrame:
     )
     # The largest struct wins: most code points, then an id, then the smallest one.
     has_id = F.col("doc_id").isNotNull().alias("has_id")
-    rank = F.struct("n", has_id, (-F.col("doc_id")).alias("id"), "key", "row")
+    rank = F.struct("n", has_id, (-F.col("doc_id")).alias("id"), "row")
     candidates = stage(frequent_digests(rows, k), "candidates")
     winners = stage(
         rows.join(F.broadcast(candidates), "digest", "left_semi")
@@ -115,7 +121,7 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     with the smallest id (null ids last), then, of repeated rows, any one of them.
     An empty table gives an empty result. Other columns are not looked at.
     """
-    return _marked(docs, text, doc_id, F.lit(0)).select(
+    return _marked(docs, text, doc_id).select(
         "doc_id",
         (-F.col("winner.id")).alias("keep_id"),
         "group_size",
@@ -127,20 +133,12 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 def distinct_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without the documents that do not stay (see ``exact_groups``).
 
-    Rows are matched with those that stay by id and a hash of the original text; of rows
-    equal in both one stays.
+    The rows that stay are told by their place in the table, so that of rows equal in all
+    columns one stays, and no text is shuffled. Null, empty and blank texts are one group.
     """
-    key = F.xxhash64(F.col(text))
-    marked = _marked(docs, text, doc_id, key)
-    kept = stage(
-        marked.where(F.col("row") == F.col("winner.row")).select(
-            F.col("doc_id").alias("exact_id"), F.col("key").alias("exact_key")
-        ),
-        "kept",
-    )
-    keyed = docs.select(F.struct("*").alias("doc"), F.col(doc_id).alias("doc_id"), key.alias("key"))
-    same = F.col("doc_id").eqNullSafe(F.col("exact_id")) & (F.col("key") == F.col("exact_key"))
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "key"]).select("doc.*")
+    rows = PlacedRows(docs)
+    marked = _marked(rows.docs, text, doc_id, *rows.place)
+    return rows.only(marked.where(F.col("row") == F.col("winner.row")).select("place_file", "place_row"))
 
 
 ORACLE = r"""

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.llm.components import components
-from stridecast.llm.tables import checked_broadcast, shuffle_partitions, stage
+from stridecast.llm.tables import PlacedRows, checked_broadcast, shuffle_partitions, stage
 from stridecast.llm.textbatch import Texts, texts_of
 from stridecast.operators.lookup import attach
 
@@ -221,15 +221,14 @@ def near_duplicate_groups(docs: DataFrame, text: str = "text", doc_id: str = "do
 def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with one document of each group: that with the smallest id (null ids last).
 
-    Of rows with equal id and equal text one stays.
+    Null, empty and blank texts have fingerprint zero and are linked like any other. Of
+    rows with equal ids one stays, told by its place in the table, so that no text is
+    shuffled. An empty table gives an empty result.
     """
-    key = F.xxhash64(text)
-    keyed = docs.select(F.col(doc_id).alias("doc_id"), key.alias("key"), F.col(text).alias("text"))
-    found = stage(near_duplicates(keyed, ["doc_id", "key"]), "near")
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
-    kept = found.groupBy("root").agg(F.min(rank).alias("kept")).select(
-        F.col("kept.doc_id").alias("near_id"), F.col("kept.key").alias("near_key")
-    )
-    rows = docs.select(F.struct("*").alias("doc"), F.col(doc_id).alias("doc_id"), key.alias("key"))
-    same = F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("key") == F.col("near_key"))
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "key"]).select("doc.*")
+    rows = PlacedRows(docs)
+    keyed = rows.docs.select(F.col(doc_id).alias("doc_id"), *rows.place, F.col(text).alias("text"))
+    place = ["place_file", "place_row"]
+    found = stage(near_duplicates(keyed, ["doc_id", *place]), "near")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *place)
+    kept = found.groupBy("root").agg(F.min(rank).alias("kept"))
+    return rows.only(kept.select(*(f"kept.{c}" for c in place)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stridecast.operators.lookup import attach
 from stridecast.sources.shared import shared_folder
 
 #: White space of all contracts: space and U+0009 to U+000D.
@@ -29,6 +30,50 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Fixed: rows that one bitmap of ``bitmap_construct_agg`` covers.
+BITMAP_ROWS = 32_768
+
+
+class PlacedRows:
+    """The rows of a table, named by ``place_file`` and ``place_row``: their file and their
+    number in it, which any reading repeats.
+
+    Rows that are no table yet are written first. So some of them can be told apart from
+    the others, also from equal ones, without their values being shuffled.
+    """
+
+    def __init__(self, docs: DataFrame):
+        plan = docs._jdf.queryExecution().analyzed().getClass().getSimpleName()
+        is_table = plan == "LogicalRelation" and bool(docs.inputFiles())
+        self.docs = docs if is_table else stage(docs, "rows")
+        place = self.docs.metadataColumn("_metadata")
+        self.place = [
+            place.getField("file_path").alias("place_file"),
+            place.getField("row_index").alias("place_row"),
+        ]
+
+    def only(self, kept: DataFrame) -> DataFrame:
+        """The rows whose places are in ``kept``, with all their columns.
+
+        The places become bitmaps, one for some 32,000 rows of a file. Up to 64 MB of
+        them are broadcast and no row moves; beyond, one join shuffles the rows.
+        """
+        chunk = F.floor(F.col("place_row") / BITMAP_ROWS).alias("chunk")
+        bit = F.col("place_row") % BITMAP_ROWS
+        bitmaps = stage(
+            kept.groupBy("place_file", chunk).agg(
+                F.bitmap_construct_agg(bit).alias("bits"), F.count(F.lit(1)).alias("n")
+            ),
+            "bitmaps",
+        )
+        rows = self.docs.select(F.struct("*").alias("doc"), *self.place)
+        found = attach(rows.select("*", chunk), bitmaps, ["place_file", "chunk"], "n")
+        byte = F.substring("bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))
+        mask = F.expr(f"shiftleft(1, cast(place_row % {BITMAP_ROWS} % 8 as int))")
+        is_kept = F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(mask) != 0
+        return found.where(is_kept).select("doc.*")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -5,6 +5,7 @@ import os
 import random
 import re
 import zlib
+from functools import partial
 
 import brute
 import numpy as np
@@ -24,6 +25,7 @@ from stridecast.llm import (
     sharding,
     simhash,
     substring,
+    tables,
 )
 from stridecast.llm.components import components
 from stridecast.llm.queries import QUERIES, default_tokenizer
@@ -83,6 +85,34 @@ def test_exact_repeated_rows_and_null_ids(spark):
     assert sorted(exact_dedup.distinct_texts(df).collect(), key=repr) == [(1, "a b"), (None, "c")]
 
 
+def shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hash")
+
+
+def test_kept_rows_of_a_table_do_not_move(spark, cases, tmp_path):
+    rows = [*cases, cases[9], (None, cases[9][1]), (None, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).write.parquet(f"{tmp_path}/docs")
+    table = spark.read.parquet(f"{tmp_path}/docs")
+    for operator in (exact_dedup.distinct_texts, simhash.representatives):
+        out = operator(table)
+        assert shuffles(out) == 0
+        assert sorted(map(tuple, out.collect()), key=repr) == sorted(
+            map(tuple, operator(spark.createDataFrame(rows, table.schema)).collect()), key=repr
+        )
+
+
+@pytest.mark.parametrize("broadcast_bytes", [64 * 1024 * 1024, -1])
+def test_rows_picked_by_place(spark, tmp_path, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(tables, "attach", partial(tables.attach, broadcast_bytes=broadcast_bytes))
+    spark.range(200_000).selectExpr("id % 7 as id", "id as Doc").coalesce(2).write.parquet(f"{tmp_path}/rows")
+    rows = tables.PlacedRows(spark.read.parquet(f"{tmp_path}/rows"))
+    places = rows.docs.select("Doc", *rows.place)
+    wanted = places.where("Doc % 11 = 3 or Doc between 60000 and 70000")
+    got = rows.only(wanted.select("place_file", "place_row"))
+    assert got.columns == ["id", "Doc"]
+    assert sorted(r["Doc"] for r in got.collect()) == [i for i in range(200_000) if i % 11 == 3 or 60000 <= i <= 70000]
+
+
 def test_misra_gries_finds_frequent_digests(spark):
     values = [b"hot"] * 700 + [b"warm"] * 250 + [str(i).encode() for i in range(900)]
     random.Random(1).shuffle(values)
