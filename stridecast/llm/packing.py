@@ -151,7 +151,7 @@ class WordIds:
     what is left is looked up or tokenised, and its ids are dealt out by their places.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -162,7 +162,7 @@ class WordIds:
             for c in (*map(chr, range(0xC0, 0x100)),)
             if c not in "×÷"
         }
-        self.parts = Memory(REMEMBERED)
+        self.parts = Memory(remembered or REMEMBERED)
 
     def _part(self, raw: bytes) -> bytes:
         letters = raw.decode() if raw.isascii() else raw.decode().translate(self.bytes_of)
@@ -205,13 +205,13 @@ class WordIds:
         return b"".join(self.of_texts(Texts(part, np.array([0, len(part)])))[0].tobytes() for part in pieces)
 
 
-_IDS: dict[str, WordIds] = {}
+_IDS: dict[tuple[str, int | None], WordIds] = {}
 
 
-def word_ids(path: str) -> WordIds:
-    if path not in _IDS:
-        _IDS[path] = WordIds(path)
-    return _IDS[path]
+def word_ids(path: str, remembered: int | None = None) -> WordIds:
+    if (path, remembered) not in _IDS:
+        _IDS[path, remembered] = WordIds(path, remembered)
+    return _IDS[path, remembered]
 
 
 class Packer:
@@ -323,9 +323,9 @@ class Packer:
         return min(self.capacity, 1 << (left.bit_length() - 1)) if left else 0
 
 
-def _pack(tokenizer: str, capacity: int, end: int, with_ids: bool):
+def _pack(tokenizer: str, capacity: int, end: int, with_ids: bool, together: int | None, remembered: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_ids(tokenizer)
+        encode = word_ids(tokenizer, remembered)
         packer = Packer(capacity, first=TaskContext.get().partitionId() << 36)
         final = np.array([end], "<u4")
         totals: dict[int, int] = {}  # row of an open document -> its tokens
@@ -333,7 +333,7 @@ def _pack(tokenizer: str, capacity: int, end: int, with_ids: bool):
         row = 0
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for texts in texts_of(batch.column(1), TOGETHER_BYTES):
+            for texts in texts_of(batch.column(1), together or TOGETHER_BYTES):
                 out = []
                 alone = len(texts) == 1 and len(texts.data) > CHUNK_BYTES
                 found, bounds = (None, None) if alone else encode.of_texts(texts)
@@ -381,6 +381,8 @@ def packed(
     text: str = "text",
     doc_id: str = "doc_id",
     with_ids: bool = True,
+    together: int | None = None,
+    remembered: int | None = None,
 ) -> DataFrame:
     """The pieces of all documents: ``doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset`` and, unless they are not wanted, ``ids``.
@@ -390,7 +392,10 @@ def packed(
     unique over all tasks; ``offset`` runs from 0 without a gap. Repeated rows are packed
     each. An empty table gives no pieces. Tasks pack apart, so a task that is run again
     gives the same pieces of the same rows.
+
+    ``together`` and ``remembered`` bound a worker's memory (``TOGETHER_BYTES`` and
+    ``REMEMBERED`` unless given) and change no result.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = f"{SCHEMA}, ids array<int>" if with_ids else SCHEMA
-    return rows.mapInArrow(_pack(tokenizer, capacity, end, with_ids), schema)
+    return rows.mapInArrow(_pack(tokenizer, capacity, end, with_ids, together, remembered), schema)
