@@ -13,6 +13,11 @@ from stridecast.llm import exact_dedup, mixing, packing, quality, simhash
 from stridecast.llm.queries import default_tokenizer
 from stridecast.llm.tables import stage, table
 
+#: A packing worker's memory: the executor's heap is grown by then, and the workers of
+#: the stages before have left theirs. Bytes of text at a time, and parts of words kept.
+PACK_BYTES = 2_000_000
+PACK_PARTS = 100_000
+
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
@@ -36,7 +41,7 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 4096 tokens, with their ids."""
-    return packing.packed(docs, default_tokenizer())
+    return packing.packed(docs, default_tokenizer(), together=PACK_BYTES, remembered=PACK_PARTS)
 
 
 STAGES = [
