@@ -75,6 +75,52 @@ def score(model: FoldModel, frame: DataFrame, columns: Sequence[str]) -> DataFra
     )
 
 
+class SharedEncodings:
+    """Categories of several preparations: equal label lists give one index and one encoding."""
+
+    def __init__(self, frame: DataFrame):
+        self.frame = frame
+        self._numbers: dict[tuple, int] = {}
+
+    def inputs(self, prep: PipelineModel) -> list[str]:
+        """The columns that the vector is made of; encodes the categories if new."""
+        *encoders, assembler = prep.stages
+        inputs = assembler.getInputCols()
+        if not encoders:
+            return inputs
+        indexer, one_hot = encoders
+        in_tables = isinstance(indexer, TableIndexerModel)
+        labels = indexer.identity if in_tables else tuple(map(tuple, indexer.labelsArray))
+        key = (tuple(indexer.getInputCols()), labels)
+        number = self._numbers.get(key)
+        if number is None:
+            number = self._numbers[key] = len(self._numbers)
+            named = {"index": indexer.getOutputCols(), "slots": one_hot.getOutputCols()}
+            named = {kind: [f"_{c}_{kind}_{number}" for c in cols] for kind, cols in named.items()}
+            indexed = indexer.copy().setOutputCols(named["index"]).transform(self.frame)
+            encoder = one_hot.copy().setInputCols(named["index"]).setOutputCols(named["slots"])
+            self.frame = encoder.transform(indexed).drop(*named["index"])
+        encoded = set(one_hot.getOutputCols())
+        return [f"_{c}_slots_{number}" if c in encoded else c for c in inputs]
+
+
+def with_vectors(
+    rows: DataFrame, preps: Sequence[PipelineModel], names: Sequence[str]
+) -> DataFrame:
+    """``rows`` with the features of each preparation, one vector column each. Lazy.
+
+    Every row gets all vectors; a feature that it lacks is NaN there. Preparations are
+    those of ``prep.preparation``.
+    """
+    encodings = SharedEncodings(rows)
+    inputs = [encodings.inputs(p) for p in preps]
+    frame = encodings.frame
+    for name, columns in zip(names, inputs, strict=True):
+        assembler = VectorAssembler(inputCols=columns, outputCol=name, handleInvalid="keep")
+        frame = assembler.transform(frame)
+    return frame.select(*rows.columns, *names)
+
+
 class SharedPreparation:
     """The inputs of several models in one vector, so that a row is prepared once.
 
@@ -85,10 +131,10 @@ class SharedPreparation:
     VECTOR = "_all_features"
 
     def __init__(self, frame: DataFrame, models: Sequence[FoldModel]):
-        self.frame = frame
         self._places: dict[str, range] = {}
-        self._encodings: dict[tuple, int] = {}
-        own = [self._inputs(m) for m in models]
+        encodings = SharedEncodings(frame)
+        own = [encodings.inputs(m.prep) for m in models]
+        self.frame = encodings.frame
         columns = list(dict.fromkeys(c for inputs in own for c in inputs))
         at = 0
         for c in columns:
@@ -101,27 +147,6 @@ class SharedPreparation:
         self.frame = assembler.transform(self.frame).select(*frame.columns, self.VECTOR)
         self._own = {id(m.prep): inputs for m, inputs in zip(models, own, strict=True)}
 
-    def _inputs(self, model: FoldModel) -> list[str]:
-        """The columns that the model's vector is made of; encodes its categories if new."""
-        *encoders, assembler = model.prep.stages
-        inputs = assembler.getInputCols()
-        if not encoders:
-            return inputs
-        indexer, one_hot = encoders
-        in_tables = isinstance(indexer, TableIndexerModel)
-        labels = indexer.identity if in_tables else tuple(map(tuple, indexer.labelsArray))
-        key = (tuple(indexer.getInputCols()), labels)
-        number = self._encodings.get(key)
-        if number is None:
-            number = self._encodings[key] = len(self._encodings)
-            named = {"index": indexer.getOutputCols(), "slots": one_hot.getOutputCols()}
-            named = {kind: [f"_{c}_{kind}_{number}" for c in cols] for kind, cols in named.items()}
-            indexed = indexer.copy().setOutputCols(named["index"]).transform(self.frame)
-            encoder = one_hot.copy().setInputCols(named["index"]).setOutputCols(named["slots"])
-            self.frame = encoder.transform(indexed).drop(*named["index"])
-        encoded = set(one_hot.getOutputCols())
-        return [f"_{c}_slots_{number}" if c in encoded else c for c in inputs]
-
     def slots(self, model: FoldModel) -> list[int]:
         return [i for c in self._own[id(model.prep)] for i in self._places[c]]
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from stridecast.config import BASIC, FULL, FeatureSpec, ForestParams
 from stridecast.functions.dates import Day, as_date
 from stridecast.functions.parallel import run_all
 from stridecast.operators.evaluate import error_means
-from stridecast.operators.forest import FoldModel, regressor, score_routed
+from stridecast.operators.forest import FoldModel, regressor, score_routed, with_vectors
 from stridecast.operators.prep import fold_preparation
 from stridecast.operators.reports import date_range
 from stridecast.operators.split import (
@@ -74,40 +76,78 @@ def training_frame(rows: DataFrame, spec: FeatureSpec, fold: int, variant: str)
     return fold_variant(rows, spec, fold, variant)
 
 
+def fit_preparation(
+    rows: DataFrame, spec: FeatureSpec, fold: int, variant: str = FULL
+) -> PipelineModel:
+    return fold_preparation(spec, fold, variant).fit(training_frame(rows, spec, fold, variant))
+
+
 def fit_fold(
     rows: DataFrame, spec: FeatureSpec, params: ForestParams, fold: int, variant: str = FULL
 ) -> FoldModel:
-    frame = training_frame(rows, spec, fold, variant)
-    prep = fold_preparation(spec, fold, variant).fit(frame)
-    forest = regressor(spec, params).fit(prep.transform(frame))
-    return FoldModel(fold, variant, prep, forest)
+    """One model alone; ``train`` prepares the rows of all models in one pass instead."""
+    prep = fit_preparation(rows, spec, fold, variant)
+    frame = prep.transform(training_frame(rows, spec, fold, variant))
+    return FoldModel(fold, variant, prep, regressor(spec, params).fit(frame))
 
 
-def fit_all(
-    rows: DataFrame, spec: FeatureSpec, params: ForestParams, parallelism: int
-) -> list[FoldModel]:
-    """Every fold's models. Folds with the same features share one fit.
+@dataclass(frozen=True)
+class Prepared:
+    """The preparations of all models by their numeric inputs, and the rows in vectors.
 
-    They learn from the same rows with the same seed, so their models are equal.
+    Models with the same inputs learn from the same rows with the same seed, so they are
+    equal, whatever their folds and variants: they share one preparation and one fit.
+    ``vectors`` names each preparation's column of ``rows``, by its uid.
     """
-    wanted = [(fold, variant) for fold in spec.folds for variant in spec.variants]
-    first_with: dict[tuple, tuple[int, str]] = {}
-    for fold, variant in wanted:
-        first_with.setdefault(_inputs_of(spec, fold, variant), (fold, variant))
+
+    preps: dict[tuple[str, ...], PipelineModel]
+    vectors: dict[str, str]
+    rows: DataFrame
+
+    def on(self, rows: DataFrame) -> Prepared:
+        return replace(self, rows=rows)
+
+
+def prepare_all(rows: DataFrame, spec: FeatureSpec, parallelism: int) -> Prepared:
+    """Fits the preparations. The rows have what fits and training errors need: first id,
+    target, numeric inputs and one vector per preparation. They are lazy."""
+    first_with: dict[tuple[str, ...], tuple[int, str]] = {}
+    for fold in spec.folds:
+        for variant in spec.variants:
+            first_with.setdefault(tuple(spec.numeric(fold, variant)), (fold, variant))
     distinct = list(first_with)
     fitted = run_all(
         rows.sparkSession,
-        lambda inputs: fit_fold(rows, spec, params, *first_with[inputs]),
+        lambda inputs: fit_preparation(rows, spec, *first_with[inputs]),
         distinct,
         parallelism,
     )
-    model_of = dict(zip(distinct, fitted, strict=True))
-    return [replace(model_of[_inputs_of(spec, f, v)], fold=f) for f, v in wanted]
+    vectors = {p.uid: f"_features_{i}" for i, p in enumerate(fitted)}
+    needed = dict.fromkeys([spec.ids[0], spec.target, *(c for inputs in distinct for c in inputs)])
+    frame = with_vectors(rows, fitted, list(vectors.values())).select(*needed, *vectors.values())
+    return Prepared(dict(zip(distinct, fitted, strict=True)), vectors, frame)
+
+
+def fit_all(
+    prepared: Prepared, spec: FeatureSpec, params: ForestParams, parallelism: int
+) -> list[FoldModel]:
+    """Every fold's models, from rows that are prepared: a fit reads its target and vector."""
+    rows = prepared.rows
 
+    def grown(inputs: tuple[str, ...]) -> RandomForestRegressionModel:
+        vector = F.col(prepared.vectors[prepared.preps[inputs].uid]).alias("features")
+        known = rows.where(~lacks(rows, inputs))
+        return regressor(spec, params).fit(known.select(spec.target, vector))
 
-def _inputs_of(spec: FeatureSpec, fold: int, variant: str) -> tuple:
-    """What tells the training set of one model from another's: rows, then columns."""
-    return variant, tuple(spec.numeric(fold, FULL)), tuple(spec.numeric(fold, variant))
+    distinct = list(prepared.preps)
+    forests = run_all(rows.sparkSession, grown, distinct, parallelism)
+    forest_of = dict(zip(distinct, forests, strict=True))
+    models = []
+    for fold in spec.folds:
+        for variant in spec.variants:
+            inputs = tuple(spec.numeric(fold, variant))
+            models.append(FoldModel(fold, variant, prepared.preps[inputs], forest_of[inputs]))
+    return models
 
 
 def training_error(
@@ -192,9 +232,10 @@ def train(
     """Fits every fold's models on the rows before ``split`` (today if not given).
 
     All folds share their training rows, so these are prepared once: spread
-    evenly and written to the shared folder, with the columns that some fold needs. Each
-    fit reads its own columns of that table, and nothing is cached beside it; rows
-    without target and the days of the rest are noted while it is written. ``parallelism`` models are fitted at a time to keep the cluster busy
+    evenly and written to the shared folder, with the columns that some fold needs. Rows
+    without target and the days of the rest are noted while it is written. The vectors of
+    all models are then made in one pass and written too; each fit reads its own column of
+    that table, and nothing is cached beside it. ``parallelism`` models are fitted at a time to keep the cluster busy
     while one of them grows its last tree levels. ``fit_partitions`` fixes the
     number of partitions, which otherwise follows the size of the rows; with
     ``spread`` off, rows that are even already are not shuffled. Models are saved
@@ -215,7 +256,9 @@ def train(
     with staged(rows, "training") as rows:
         if seen.get["lost"]:
             raise ValueError(f"{seen.get['lost']} training rows have no {spec.target}")
-        models = fit_all(rows, spec, params, parallelism)
+        prepared = prepare_all(rows, spec, parallelism)
+        with staged(prepared.rows, "prepared") as vectors:
+            models = fit_all(prepared.on(vectors), spec, params, parallelism)
         days = [(seen.get["first"],), (seen.get["last"],)]
         days = spark.createDataFrame(days, f"`{spec.date}` date")
         metrics = _gathered(training_metrics(days, spec, params, training_sample))

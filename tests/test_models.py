@@ -1,7 +1,7 @@
 from dataclasses import replace
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from stridecast.config import BASIC, FULL, FeatureSpec, ForestParams
@@ -66,6 +66,38 @@ def test_folds_with_the_same_features_share_a_fit(data, training):
     assert alone.fold == 5 and alone.prep is not training.models[-1].prep
 
 
+def test_models_with_the_same_inputs_share_a_fit(data, training):
+    basic = [m for m in training.models if m.variant == BASIC]
+    assert all(m.forest is basic[0].forest and m.prep is basic[0].prep for m in basic)
+    for fold, variant in ((0, FULL), (5, FULL), (5, BASIC)):
+        alone = fit_fold(training_set(data, SPEC, SPLIT).coalesce(1).sort("id"), SPEC, PARAMS, fold, variant)
+        found = next(m for m in training.models if (m.fold, m.variant) == (fold, variant))
+        trees = [m.forest.toDebugString.split("\n", 1)[1] for m in (alone, found)]
+        assert trees[0] == trees[1]
+
+
+def test_a_row_is_prepared_once_for_all_fits(data, monkeypatch):
+    from stridecast.plans import train as module
+
+    plans, tables = [], []
+    real, stage = module.regressor, module.staged
+
+    class Spy:
+        def __init__(self, *args):
+            self.forest = real(*args)
+
+        def fit(self, frame):
+            plans.append(plan(frame))
+            return self.forest.fit(frame)
+
+    monkeypatch.setattr(module, "regressor", Spy)
+    monkeypatch.setattr(module, "staged", lambda df, name: tables.append((name, plan(df))) or stage(df, name))
+    train(data, SPEC, SPLIT, PARAMS)
+    assert len(plans) == 3  # x and y, x, z
+    assert not any("UDF" in text or "k#" in text for text in plans)
+    assert [name for name, _ in tables] == ["training", "prepared"]
+
+
 def test_one_prediction_per_test_row(data, scored):
     assert rows(scored, "id") == rows(horizon_rows(data, SPEC, SPLIT), "id")
     assert scored.where("t_pred is null").count() == 0
