@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -152,14 +152,18 @@ class SharedPreparation:
 
 
 def score_routed(
-    rows: DataFrame, branches: Sequence[tuple[Column, FoldModel]], output: str
+    rows: DataFrame,
+    branches: Sequence[tuple[Column, FoldModel]],
+    output: str,
+    vectors: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """``rows`` with the prediction of the model whose condition holds; null if none does.
 
     One scan and one projection for all models. Each prediction is used in one branch of
     a CASE and nowhere else, so the optimizer moves it there, and a row passes through
     its own model's trees alone. Conditions should exclude each other; models that are
-    the same object share a branch. Preparations are those of ``prep.preparation``.
+    the same object share a branch. Preparations are those of ``prep.preparation``; rows
+    that hold their vectors already are told by ``vectors``, the column of each by its uid.
     """
     merged: dict[tuple[int, int], tuple[Column, FoldModel]] = {}
     for condition, model in branches:
@@ -168,13 +172,21 @@ def score_routed(
         merged[key] = (known[0] | condition if known else condition, model)
     if not merged:
         return rows.withColumn(output, F.lit(None).cast("double"))
-    shared = SharedPreparation(rows, [model for _, model in merged.values()])
-    frame, chosen, kept = shared.frame, F.lit(None).cast("double"), list(shared.frame.columns)
+    frame, shared = rows, None
+    if vectors is None:
+        shared = SharedPreparation(rows, [model for _, model in merged.values()])
+        frame = shared.frame
+    chosen, kept = F.lit(None).cast("double"), list(frame.columns)
     for i, (condition, model) in enumerate(reversed(merged.values())):
-        name, vector = f"_{output}_{i}", f"_{output}_features"
-        slicer = VectorSlicer(inputCol=shared.VECTOR, outputCol=vector, indices=shared.slots(model))
+        name = f"_{output}_{i}"
+        if shared is None:
+            vector = vectors[model.prep.uid]
+        else:
+            vector, slots = f"_{output}_features", shared.slots(model)
+            slicer = VectorSlicer(inputCol=shared.VECTOR, outputCol=vector, indices=slots)
+            frame = slicer.transform(frame)
         forest = model.forest.copy().setFeaturesCol(vector)
-        done = forest.transform(slicer.transform(frame))
+        done = forest.transform(frame)
         frame = done.select(*kept, F.col(forest.getPredictionCol()).alias(name))
         kept.append(name)
         chosen = F.when(condition, F.col(name)).otherwise(chosen)
